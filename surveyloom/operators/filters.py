@@ -60,7 +60,7 @@ def drop_all_null(responses: DataFrame, questions: DataFrame | None = None) -> D
         return responses.filter(F.size("answers") > 0)
     columns = questions.groupBy("survey_id").agg(F.collect_set("column_id").alias("_columns"))
     joined = with_survey_dimension(responses, columns)
-    answered = F.exists("answers", lambda a: F.array_contains("_columns", a["column_id"]))
+    answered = F.arrays_overlap(F.col("answers")["column_id"], F.col("_columns"))
     return joined.filter(answered).drop("_columns")
 
 

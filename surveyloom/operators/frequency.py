@@ -1,180 +1,167 @@
 """Frequency tables of every question of every survey in one pass.
 
-The responses are read and shuffled once, by (survey, column, kind, code),
-after a map-side count. All later steps work on those counts.
+Responses are read and shuffled once: counted map-side by (survey, column,
+kind, code), and the counts put on reliable storage. Everything after that
+works on counts, whose number depends on the questions and not on how many
+people answered them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.answers import NULL_CODE, codes, percentage, percentage_text
 from surveyloom.operators.filters import REPORTABLE, regional_nonzero
+from surveyloom.session import checkpoint
 
-# Kinds of counted rows that stand for no code of their own.
+# Kind of the row that stands for a respondent; its ``column_id`` is empty.
 RESPONDENT = "respondent"
+KEYS = ["survey_id", "column_id"]
+# What is counted: name -> which responses; None for all.
+ALL: Mapping[str, Column | None] = {"n": None}
 
 CHART_ROWS = 10
 
 
-def counted_rows(responses: DataFrame, by: Sequence[str] = ("survey_id",)) -> DataFrame:
+def counted_rows(responses: DataFrame) -> DataFrame:
     """What is counted, one row each: every code, every list, every respondent.
 
-    A respondent has an empty ``column_id``; a list adds one row without code,
-    so that lists can be counted as well as what they hold.
+    A list adds a row without code, so that lists can be counted as well as
+    what they hold; a respondent is a row without answer.
     """
-    kind_code = "struct<column_id:string,kind:string,code:string>"
-
-    def entry(column_id: Column, kind: Column, code: Column) -> Column:
-        return F.struct(
-            column_id.alias("column_id"), kind.alias("kind"), code.alias("code")
-        ).cast(kind_code)
-
-    def rows_of(answer: Column) -> Column:
-        own = F.transform(
-            codes(answer), lambda c: entry(answer["column_id"], answer["kind"], c)
-        )
-        is_list = answer["kind"] == "list"
-        marker = F.array(entry(answer["column_id"], answer["kind"], F.lit(None)))
-        return F.when(is_list, F.concat(own, marker)).otherwise(own)
-
-    respondent = F.array(entry(F.lit(""), F.lit(RESPONDENT), F.lit(None)))
-    answered = F.flatten(F.transform("answers", rows_of))
-    # Keys that cannot be null keep joins on them from filtering below the count,
-    # which would make every use of the counts read the responses again.
-    keys = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in by]
-    return responses.select(*keys, F.explode(F.concat(answered, respondent)).alias("r")).select(
-        *by,
-        F.coalesce("r.column_id", F.lit("")).alias("column_id"),
-        F.coalesce("r.kind", F.lit("")).alias("kind"),
-        F.col("r.code").alias("code"),
+    rows = responses.withColumn("a", F.explode(F.array_append("answers", F.lit(None))))
+    answer = F.col("a")
+    listed = (
+        F.when(answer.isNull(), F.array(F.lit(None).cast("string")))
+        .when(answer["kind"] == "list", F.array_append(F.array_compact(answer["items"]), F.lit(None)))
+        .otherwise(codes(answer))
     )
-
-
-def tally(responses: DataFrame, by: Sequence[str] = ("survey_id",)) -> DataFrame:
-    """``(by, column_id, kind, code, n)`` - the only shuffle of response-sized data."""
-    return counted_rows(responses, by).groupBy(*by, "column_id", "kind", "code").agg(
-        F.count("*").alias("n")
+    return rows.select(
+        "*",
+        F.coalesce(answer["column_id"], F.lit("")).alias("column_id"),
+        F.coalesce(answer["kind"], F.lit(RESPONDENT)).alias("kind"),
+        F.explode(listed).alias("code"),
     )
 
 
-def _if(condition: Column, value: Column) -> Column:
-    return F.when(condition, value).otherwise(F.lit(0))
+def tally(responses: DataFrame, measures: Mapping[str, Column | None] = ALL) -> DataFrame:
+    """``(survey_id, column_id, kind, code, measures)`` - the one shuffle of response data.
 
+    The counts are read several times below; the checkpoint makes sure that the
+    responses are not.
+    """
+    counts = [
+        (F.count("*") if which is None else F.count_if(which)).alias(name)
+        for name, which in measures.items()
+    ]
+    return checkpoint(counted_rows(responses).groupBy(*KEYS, "kind", "code").agg(*counts))
 
-def column_totals(tallied: DataFrame, by: Sequence[str], scope: Sequence[str]) -> DataFrame:
-    """Per column: how many answered, and what kinds its answers have.
 
-    ``scope`` is the part of ``by`` within which a column is one column.
-    """
-    n, kind = F.col("n"), F.col("kind")
-    answered = F.sum(_if((kind != "list") | F.col("code").isNull(), n))
-    return tallied.groupBy(*scope, "column_id").agg(
-        answered.alias("answered"),
-        F.min(kind == "number").alias("all_number"),
-        F.min(kind == "bool").alias("all_bool"),
-    )
+def _total(measures: Iterable[str]) -> Column:
+    first, *rest = [F.col(m) for m in measures]
+    for more in rest:
+        first = first + more
+    return first
 
 
-def respondents(tallied: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows per survey (and phase): the base of every percentage."""
-    return tallied.groupBy(*by).agg(
-        F.sum(_if(F.col("kind") == RESPONDENT, F.col("n"))).alias("base")
+def bases(tallied: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
+    """Respondents per survey: what percentages are taken of."""
+    return tallied.groupBy("survey_id").agg(
+        *[F.sum(F.when(F.col("kind") == RESPONDENT, F.col(m)).otherwise(0)).alias(f"base_{m}") for m in measures]
     )
 
 
-def code_counts(
-    tallied: DataFrame, by: Sequence[str] = ("survey_id",), scope: Sequence[str] = ("survey_id",)
-) -> DataFrame:
-    """Final counts per code ``(by, column_id, code, n)``, without skipped answers.
+def column_stats(tallied: DataFrame, questions: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
+    """Per question: respondents, how many of them answered, and the kinds of its answers.
 
-    Numbers count under their own code only where the whole column is numeric;
-    among texts or lists they count as ``NULL``. A column in which everyone
-    answered with a boolean gives no codes.
+    ``numeric_<m>`` tells whether all answers behind that measure are numbers.
     """
-    totals = column_totals(tallied, by, scope).join(respondents(tallied, scope), [*scope])
-    joined = tallied.join(totals, [*scope, "column_id"])
     kind = F.col("kind")
-    only_bool = F.col("all_bool") & (F.col("answered") == F.col("base"))
-    final = (
-        F.when((kind == RESPONDENT) | only_bool, F.lit(None))
-        .when((kind == "number") & ~F.col("all_number"), F.lit(NULL_CODE))
-        .otherwise(F.col("code"))
-    )
-    return (
-        joined.select(*by, "column_id", final.alias("code"), "n")
-        .groupBy(*by, "column_id", "code")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("code").isNotNull())
+    is_answer = (kind != "list") | F.col("code").isNull()
+    totals = tallied.groupBy(*KEYS).agg(
+        *[F.sum(F.when(is_answer, F.col(m)).otherwise(0)).alias(f"answered_{m}") for m in measures],
+        *[F.min(F.when(F.col(m) > 0, kind == "number")).alias(f"numeric_{m}") for m in measures],
+        F.min(kind == "number").alias("numeric"),
+        F.min(kind == "bool").alias("boolean"),
     )
+    asked = questions.select(*KEYS).distinct()
+    joined = asked.join(bases(tallied, measures), "survey_id").join(totals, KEYS, "left")
+    return joined.fillna(0, [f"answered_{m}" for m in measures])
 
 
-def skipped_counts(
-    tallied: DataFrame, questions: DataFrame, by: Sequence[str] = ("survey_id",)
+def seen_codes(
+    tallied: DataFrame, stats: DataFrame, measures: Sequence[str] = ("n",), apart: bool = False
 ) -> DataFrame:
-    """Skipped answers per question as ``(by, column_id, 'NULL', n)``; only where there are any."""
-    answered = column_totals(tallied, by, by).select(*by, "column_id", "answered")
-    asked = respondents(tallied, by).join(
-        questions.select("survey_id", "column_id").distinct(), "survey_id"
-    )
-    skipped = F.col("base") - F.coalesce("answered", F.lit(0))
-    return (
-        asked.join(answered, [*by, "column_id"], "left")
-        .select(*by, "column_id", F.lit(NULL_CODE).alias("code"), skipped.alias("n"))
-        .filter("n > 0")
+    """Codes given, ``(survey_id, column_id, code, measures)``; not grouped yet.
+
+    Numbers keep their own code only in a column of nothing but numbers; among
+    texts or lists they count as ``NULL``. A column that everyone answered with
+    a boolean gives no codes. With ``apart`` each measure's answers decide by
+    themselves whether their column is numeric.
+    """
+    base = _total(f"base_{m}" for m in measures)
+    answered = _total(f"answered_{m}" for m in measures)
+    only_bool = F.col("boolean") & (base == answered)
+
+    def final(numeric: str) -> Column:
+        return F.when((F.col("kind") == "number") & ~F.col(numeric), F.lit(NULL_CODE)).otherwise(F.col("code"))
+
+    rows = tallied.join(stats, KEYS).filter(F.col("code").isNotNull() & ~only_bool)
+    if not apart:
+        return rows.select(*KEYS, final("numeric").alias("code"), *measures)
+    split = F.array(
+        *[
+            F.struct(
+                final(f"numeric_{m}").alias("code"),
+                *[(F.col(o) if o == m else F.lit(0).cast("bigint")).alias(o) for o in measures],
+            )
+            for m in measures
+        ]
     )
+    return rows.select(*KEYS, F.explode(split).alias("r")).select(*KEYS, "r.*").filter(_total(measures) > 0)
+
 
+def skipped(stats: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
+    """Answers not given, under the code ``NULL``; only where there are any."""
+    return stats.select(
+        *KEYS,
+        F.lit(NULL_CODE).alias("code"),
+        *[(F.col(f"base_{m}") - F.col(f"answered_{m}")).alias(m) for m in measures],
+    ).filter(_total(measures) > 0)
 
-def normalise_answers(
-    responses: DataFrame, questions: DataFrame, by: Sequence[str] = ("survey_id",),
-    scope: Sequence[str] | None = None,
+
+def given_codes(
+    tallied: DataFrame, stats: DataFrame, measures: Sequence[str] = ("n",), apart: bool = False
 ) -> DataFrame:
-    """Counts per code of every question, skipped answers under ``NULL``."""
-    tallied = tally(responses, by)
-    return normalised(tallied, questions, by, scope or by)
+    """All codes of the questions, skipped answers included; not grouped yet."""
+    return seen_codes(tallied, stats, measures, apart).unionByName(skipped(stats, measures))
 
 
-def normalised(tallied, questions, by, scope) -> DataFrame:
-    asked = questions.select("survey_id", "column_id").distinct()
-    counts = code_counts(tallied, by, scope).join(asked, ["survey_id", "column_id"], "left_semi")
-    return (
-        counts.unionByName(skipped_counts(tallied, questions, by))
-        .groupBy(*by, "column_id", "code")
-        .agg(F.sum("n").alias("n"))
-    )
+def normalise_answers(responses: DataFrame, questions: DataFrame) -> DataFrame:
+    """Count of each code of every question, skipped answers under ``NULL``."""
+    tallied = tally(responses)
+    given = given_codes(tallied, column_stats(tallied, questions))
+    return given.groupBy(*KEYS, "code").agg(F.sum("n").alias("n"))
 
 
-def labelled(counts: DataFrame, choices: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
-    """Full outer join of counts and choices on the code.
+def labelled(given: DataFrame, choices: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
+    """Full outer join of code counts and choices.
 
-    Both sides are unique per (survey, column, code), so stacking and grouping
-    gives the same rows with one shuffle. Options never chosen get 0, codes
-    never offered an empty label.
+    Choices are unique per (survey, column, code), so stacking both sides and
+    grouping gives the same rows with one shuffle and also finishes the counts.
+    Options never chosen get 0, codes never offered an empty label.
     """
-    seen = counts.withColumn("value", F.lit(None).cast("string"))
     offered = choices.select(
-        "survey_id",
-        "column_id",
+        *KEYS,
         F.col("answer_id").cast("string").alias("code"),
         F.col("question_value").cast("string").alias("value"),
         *[F.lit(0).cast("bigint").alias(m) for m in measures],
     )
-    return seen.unionByName(offered).groupBy("survey_id", "column_id", "code").agg(
-        F.coalesce(F.max("value"), F.lit("")).alias("value"),
-        *[F.sum(m).alias(m) for m in measures],
-    )
-
-
-def with_percentages(table: DataFrame, bases: DataFrame) -> DataFrame:
-    pct = percentage(F.col("n"), F.col("base"))
-    return (
-        table.join(bases, "survey_id")
-        .withColumn("pct", pct)
-        .withColumn("frequency", percentage_text(F.col("pct")))
-        .drop("base")
+    return offered.unionByName(given, allowMissingColumns=True).groupBy(*KEYS, "code").agg(
+        F.coalesce(F.max("value"), F.lit("")).alias("value"), *[F.sum(m).alias(m) for m in measures]
     )
 
 
@@ -184,26 +171,39 @@ def of_type(questions: DataFrame, *data_types: str) -> DataFrame:
 
 def offered_for(choices: DataFrame, questions: DataFrame) -> DataFrame:
     """Choices of the given questions."""
-    return choices.join(
-        questions.select("survey_id", "column_id").distinct(), ["survey_id", "column_id"], "left_semi"
+    return choices.join(questions.select(*KEYS).distinct(), KEYS, "left_semi")
+
+
+def shares(measures: Sequence[str], names: Sequence[tuple[str, str]]) -> dict[str, Column]:
+    """Percentage columns: per measure the names of the number and of its text."""
+    columns = {}
+    for measure, (number, text) in zip(measures, names):
+        pct = percentage(F.col(measure), F.col(f"base_{measure}"))
+        columns |= {number: pct, text: percentage_text(pct)}
+    return columns
+
+
+def _with_shares(table: DataFrame, tallied: DataFrame) -> DataFrame:
+    return (
+        table.join(bases(tallied), "survey_id")
+        .withColumns(shares(["n"], [("pct", "frequency")]))
+        .drop("base_n")
     )
 
 
 def frequency_mc(responses: DataFrame, questions: DataFrame, choices: DataFrame) -> DataFrame:
     """``(survey_id, column_id, code, value, n, pct, frequency)`` for the given questions."""
-    by = ("survey_id",)
     tallied = tally(responses)
-    counts = normalised(tallied, questions, by, by)
-    table = labelled(counts, offered_for(choices, questions))
-    return with_percentages(table, respondents(tallied, by))
+    given = given_codes(tallied, column_stats(tallied, questions))
+    return _with_shares(labelled(given, offered_for(choices, questions)), tallied)
 
 
 def frequency_numeric(responses: DataFrame, questions: DataFrame) -> DataFrame:
     """``(survey_id, column_id, value, n, pct, frequency)``; the value labels itself."""
-    by = ("survey_id",)
     tallied = tally(responses)
-    counts = normalised(tallied, questions, by, by).withColumnRenamed("code", "value")
-    return with_percentages(counts, respondents(tallied, by))
+    given = given_codes(tallied, column_stats(tallied, questions))
+    counts = given.groupBy(*KEYS, F.col("code").alias("value")).agg(F.sum("n").alias("n"))
+    return _with_shares(counts, tallied)
 
 
 def frequency_numeric_labelled(
@@ -213,6 +213,19 @@ def frequency_numeric_labelled(
     return frequency_mc(responses, questions, choices).drop("code")
 
 
+def described(
+    table: DataFrame, tallied: DataFrame, questions: DataFrame, measures: Sequence[str]
+) -> DataFrame:
+    """Question columns and bases beside the counts; a numeric value is its own label."""
+    about = questions.join(bases(tallied, measures), "survey_id").select(
+        *KEYS, "block_name", "flow_pos", "data_type", "question_name", "question_text",
+        F.concat_ws(": ", "question_name", "question_text").alias("heading"),
+        *[f"base_{m}" for m in measures],
+    )
+    value = F.when(F.col("data_type") == "Numeric", F.col("code")).otherwise(F.col("value"))
+    return table.join(about, KEYS).withColumn("value", value)
+
+
 def survey_frequency(
     responses: DataFrame,
     questions: DataFrame,
@@ -224,38 +237,27 @@ def survey_frequency(
     MultipleChoice questions come with their offered choices, Numeric ones with
     the values seen.
     """
-    by = ("survey_id",)
     reported = of_type(questions, *REPORTABLE)
     tallied = tally(responses)
-    counts = normalised(tallied, reported, by, by)
-    table = labelled(counts, offered_for(choices, of_type(questions, "MultipleChoice")))
-    table = with_percentages(table, respondents(tallied, by))
-    described = describe(table, reported)
-    return regional_nonzero(described, regional) if regional else described
-
-
-def describe(table: DataFrame, questions: DataFrame) -> DataFrame:
-    """Question columns beside the counts; a numeric value is its own label."""
-    about = questions.select(
-        "survey_id", "column_id", "block_name", "flow_pos", "data_type", "question_name",
-        "question_text", F.concat_ws(": ", "question_name", "question_text").alias("heading"),
+    given = given_codes(tallied, column_stats(tallied, reported))
+    table = labelled(given, offered_for(choices, of_type(questions, "MultipleChoice")))
+    result = (
+        described(table, tallied, reported, ["n"])
+        .withColumns(shares(["n"], [("pct", "frequency")]))
+        .drop("base_n")
     )
-    value = F.when(F.col("data_type") == "Numeric", F.col("code")).otherwise(F.col("value"))
-    return table.join(about, ["survey_id", "column_id"]).withColumn("value", value)
+    return regional_nonzero(result, regional) if regional else result
 
 
 def report_order(table: DataFrame) -> DataFrame:
     """Rows as a report prints them: numeric codes by size, others as text, NULL last."""
     numeric = F.when(F.col("data_type") == "Numeric", F.col("code").try_cast("double"))
-    return table.orderBy(
-        "survey_id", "flow_pos", "column_id", numeric.asc_nulls_last(), "code"
-    )
+    return table.orderBy("survey_id", "flow_pos", "column_id", numeric.asc_nulls_last(), "code")
 
 
 def chart_series(table: DataFrame, limit: int = CHART_ROWS) -> DataFrame:
     """Rows of the tables short enough for a chart, with a flag on the NULL bar."""
-    keys = ["survey_id", "column_id"]
-    short = table.groupBy(*keys).agg(F.count("*").alias("bars")).filter(F.col("bars") < limit)
-    return table.join(short.select(*keys), keys, "left_semi").withColumn(
+    short = table.groupBy(*KEYS).agg(F.count("*").alias("bars")).filter(F.col("bars") < limit)
+    return table.join(short.select(*KEYS), KEYS, "left_semi").withColumn(
         "is_null_bar", F.col("code") == NULL_CODE
     )

@@ -101,6 +101,11 @@ def _block_of(n_blocks: Column) -> Column:
     return F.pmod(F.xxhash64(*NAME), n_blocks).cast("int")
 
 
+def _fresh(columns: list[str]) -> list[Column]:
+    """Columns as new ones: both sides may come from the same people."""
+    return [F.col(c).alias(c) for c in columns]
+
+
 def _left_cells(left: DataFrame, layout: DataFrame, n_left_blocks: Column) -> DataFrame:
     """Left names, once for every right cell that may hold something good enough."""
     vowels, others = _profile(F.col("last"))
@@ -121,7 +126,7 @@ def _left_cells(left: DataFrame, layout: DataFrame, n_left_blocks: Column) -> Da
         spread.filter(reachable)
         .join(layout, ["vowels", "others"])
         .withColumn("right_block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .select(*CELL, *NAME, "known")
+        .select(*_fresh([*CELL, *NAME, "known"]))
     )
 
 
@@ -132,7 +137,7 @@ def _right_cells(right: DataFrame, layout: DataFrame, n_left_blocks: Column) ->
         .join(layout, ["vowels", "others"])
         .withColumn("right_block", _block_of(F.col("n_blocks")))
         .withColumn("left_block", F.explode(F.sequence(F.lit(0), n_left_blocks - 1)))
-        .select(*CELL, *NAME, "right_id")
+        .select(*_fresh([*CELL, *NAME, "right_id"]))
     )
 
 

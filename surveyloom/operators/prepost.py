@@ -1,67 +1,57 @@
-"""Pre/post tables: both phases counted in one pass, no join of two tables."""
+"""Pre/post tables: both phases are counted in the same pass, not joined afterwards."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions.answers import percentage, percentage_text
 from surveyloom.operators import frequency as freq
 from surveyloom.operators.filters import REPORTABLE, regional_nonzero
 
-PHASES = ("pre", "post")
-BY = ("survey_id", "phase")
+MEASURES = ["pre_n", "post_n"]
+SHARES = [("pre_pct", "pre_frequency"), ("post_pct", "post_frequency")]
 
 
-def _side_by_side(tallied: DataFrame, questions: DataFrame, scope: Sequence[str]) -> DataFrame:
-    """``(survey_id, column_id, code, pre_n, post_n)``."""
-    counts = freq.normalised(tallied, questions, BY, scope)
-    return counts.groupBy("survey_id", "column_id", "code").agg(
-        *[
-            F.sum(F.when(F.col("phase") == p, F.col("n")).otherwise(0)).alias(f"{p}_n")
-            for p in PHASES
-        ]
-    )
+def phase_tally(phased: DataFrame) -> DataFrame:
+    phase = F.col("phase")
+    return freq.tally(phased, {"pre_n": phase == "pre", "post_n": phase == "post"})
+
+
+def _given(tallied: DataFrame, questions: DataFrame, apart: bool) -> DataFrame:
+    stats = freq.column_stats(tallied, questions, MEASURES)
+    return freq.given_codes(tallied, stats, MEASURES, apart)
 
 
 def _with_shares(table: DataFrame, tallied: DataFrame) -> DataFrame:
-    """Percentages over the rows of each phase; 0 where a phase has none."""
-    bases = freq.respondents(tallied, BY).groupBy("survey_id").agg(
-        *[
-            F.sum(F.when(F.col("phase") == p, F.col("base")).otherwise(0)).alias(f"{p}_base")
-            for p in PHASES
-        ]
-    )
-    joined = table.join(bases, "survey_id")
-    for p in PHASES:
-        joined = joined.withColumn(
-            f"{p}_pct", percentage(F.col(f"{p}_n"), F.col(f"{p}_base"))
-        ).withColumn(f"{p}_frequency", percentage_text(F.col(f"{p}_pct")))
-    return joined.drop(*[f"{p}_base" for p in PHASES])
+    """Percentages of the respondents of each phase; 0 where a phase has none."""
+    return _shares(table.join(freq.bases(tallied, MEASURES), "survey_id"))
+
+
+def _shares(table: DataFrame) -> DataFrame:
+    return table.withColumns(freq.shares(MEASURES, SHARES)).drop(*[f"base_{m}" for m in MEASURES])
 
 
 def pre_post_mc(
-    phased: DataFrame, questions: DataFrame, choices: DataFrame, scope: Sequence[str] = ("survey_id",)
+    phased: DataFrame, questions: DataFrame, choices: DataFrame, apart: bool = False
 ) -> DataFrame:
     """Choice questions: code, label, count and share in each phase.
 
-    ``scope`` = (survey_id, phase) when the phases come from different surveys,
-    so each decides for itself whether a column is numeric.
+    ``apart`` when the phases come from different surveys, so that each decides
+    for itself whether a column is numeric.
     """
-    tallied = freq.tally(phased, BY)
-    counts = _side_by_side(tallied, questions, scope)
-    table = freq.labelled(counts, freq.offered_for(choices, questions), ("pre_n", "post_n"))
-    return _with_shares(table, tallied)
+    tallied = phase_tally(phased)
+    given = _given(tallied, questions, apart)
+    return _with_shares(freq.labelled(given, freq.offered_for(choices, questions), MEASURES), tallied)
 
 
-def pre_post_numeric(
-    phased: DataFrame, questions: DataFrame, scope: Sequence[str] = ("survey_id",)
-) -> DataFrame:
+def pre_post_numeric(phased: DataFrame, questions: DataFrame, apart: bool = False) -> DataFrame:
     """Numeric questions: value, count and share in each phase."""
-    tallied = freq.tally(phased, BY)
-    counts = _side_by_side(tallied, questions, scope).withColumnRenamed("code", "value")
+    tallied = phase_tally(phased)
+    counts = _given(tallied, questions, apart).groupBy(*freq.KEYS, F.col("code").alias("value")).agg(
+        *[F.sum(m).alias(m) for m in MEASURES]
+    )
     return _with_shares(counts, tallied)
 
 
@@ -70,17 +60,15 @@ def pre_post_report(
     questions: DataFrame,
     choices: DataFrame,
     regional: Iterable[str] = (),
-    scope: Sequence[str] = ("survey_id",),
+    apart: bool = False,
 ) -> DataFrame:
     """Pre/post tables of every reportable question of every survey."""
-    tallied = freq.tally(phased, BY)
+    tallied = phase_tally(phased)
     reported = freq.of_type(questions, *REPORTABLE)
-    counts = _side_by_side(tallied, reported, scope)
     offered = freq.offered_for(choices, freq.of_type(questions, "MultipleChoice"))
-    table = freq.describe(
-        _with_shares(freq.labelled(counts, offered, ("pre_n", "post_n")), tallied), reported
-    )
-    return regional_nonzero(table, regional, ("pre_n", "post_n")) if regional else table
+    table = freq.labelled(_given(tallied, reported, apart), offered, MEASURES)
+    result = _shares(freq.described(table, tallied, reported, MEASURES))
+    return regional_nonzero(result, regional, MEASURES) if regional else result
 
 
 def two_surveys(pre: DataFrame, post: DataFrame, survey_id: str) -> DataFrame:

@@ -23,7 +23,7 @@ TYPE_TO_DATA_TYPE = {
 def survey_columns(responses: DataFrame) -> DataFrame:
     """Distinct answer columns per survey, with all-null columns absent."""
     return responses.select(
-        "survey_id", F.explode(F.transform("answers", lambda a: a["column_id"])).alias("column_id")
+        "survey_id", F.explode(F.col("answers")["column_id"]).alias("column_id")
     ).distinct()
 
 

@@ -45,7 +45,7 @@ def missing_stats(responses: DataFrame, questions: DataFrame) -> DataFrame:
     marked = responses.select(
         F.coalesce("survey_id", F.lit("")).alias("survey_id"),
         F.explode(
-            F.concat(F.transform("answers", lambda a: a["column_id"]), F.array(F.lit("")))
+            F.concat(F.col("answers")["column_id"], F.array(F.lit("")))
         ).alias("column_id"),
     ).select("survey_id", F.coalesce("column_id", F.lit("")).alias("column_id"))
     counted = marked.groupBy("survey_id", "column_id").agg(F.count("*").alias("n"))

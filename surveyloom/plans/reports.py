@@ -56,7 +56,7 @@ def pre_post_of_two_surveys(
     sides = prepost.two_surveys(flt.drop_preview(pre), flt.drop_preview(post), survey_id)
     phased = flt.drop_all_null(sides, dimensions.questions)
     table = prepost.pre_post_report(
-        phased, dimensions.questions, dimensions.choices, regional, scope=prepost.BY
+        phased, dimensions.questions, dimensions.choices, regional, apart=True
     )
     return summary.pre_post_header(phased), freq.report_order(table)
 
@@ -112,17 +112,12 @@ def match_people(
 def matched_pre_post_report(
     matching: Matching, dimensions: Dimensions, regional: Iterable[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """(header, table) over the matched people, one pre and one post row per match.
-
-    A match without a person found counts as a row that answers nothing.
-    """
+    """(header, table) over the matched people, one pre and one post row per match."""
     def side(name: str) -> DataFrame:
         rows = match.side_of_matches(matching.matches, matching.people, name)
-        return rows.withColumn("phase", F.lit(name)).withColumn(
-            "answers", F.coalesce("answers", F.array().cast(rows.schema["answers"].dataType))
-        )
+        return rows.withColumn("phase", F.lit(name))
 
-    phased = side("pre").unionByName(side("post")).filter(F.col("survey_id").isNotNull())
+    phased = side("pre").unionByName(side("post"))
     table = prepost.pre_post_report(phased, dimensions.questions, dimensions.choices, regional)
     return summary.pre_post_header(phased), freq.report_order(table)
 
