@@ -132,24 +132,24 @@ MISSING = """SELECT survey_id, column_id, count(*) FILTER (NOT present) AS missi
         LEFT JOIN a ON a.survey_id = u.survey_id AND a.response_id = u.response_id AND a.column_id = q.column_id) """
 ORACLE["missing_stats"] = ctes(R, A, Q, U) + MISSING + "GROUP BY survey_id, column_id"
 ORACLE["pct_text"] = f"""SELECT o_orderstatus, o_orderpriority, {pct("n", "base")} AS pct, ({pct("n", "base")})::VARCHAR || '%' AS frequency FROM
-    (SELECT o_orderstatus, o_orderpriority, count(*) AS n, sum(count(*)) OVER (PARTITION BY o_orderstatus) AS base FROM orders GROUP BY ALL)"""
+    (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL) JOIN (SELECT o_orderstatus, count(*) AS base FROM orders GROUP BY ALL) USING (o_orderstatus)"""
 
 # -- export documents ----------------------------------------------------------------------
 
 X = """x AS (SELECT 'SV_' || o_orderstatus AS survey_id, 'R_' || o_orderkey || '_' || i AS response_id, i, o_orderkey AS k, o_custkey, o_orderstatus, o_orderpriority,
-        o_orderdate + to_hours(o_orderkey % 24) AS at, [(b + 1)::VARCHAR FOR b IN range(3) IF (o_custkey & (1 << b)) != 0] AS picked
+        o_orderdate + to_hours(o_orderkey % 24) AS stamp, [(b + 1)::VARCHAR FOR b IN range(3) IF (o_custkey & (1 << b)) != 0] AS picked
     FROM orders, unnest(range(o_orderkey % 3)) t(i))"""
-ORACLE["read_responses"] = ctes(X) + """SELECT survey_id, response_id, CASE WHEN k % 97 != 0 THEN strftime(at, '%Y-%m-%d %H:%M:%S') END AS recorded,
+ORACLE["read_responses"] = ctes(X) + """SELECT survey_id, response_id, CASE WHEN k % 97 != 0 THEN strftime(stamp, '%Y-%m-%d %H:%M:%S') END AS recorded,
     CASE WHEN k % 20 = 0 THEN 'preview' WHEN k % 20 != 1 THEN 'anonymous' END AS channel, (k % 101)::DOUBLE AS progress,
     2 + CASE WHEN k % 7 != 0 THEN 1 ELSE 0 END AS n_answers, substr(o_orderpriority, 1, 1) AS q1, coalesce(list_aggregate(picked, 'string_agg', ','), '') AS q2,
     CASE WHEN k % 7 != 0 THEN (o_custkey + i)::DOUBLE END AS q3, o_orderstatus AS status FROM x"""
 ORACLE["flatten_values"] = ctes(X) + """SELECT survey_id, response_id, name, value FROM (
     SELECT survey_id, response_id, unnest(['recordedDate', 'distributionChannel', 'progress', 'location.customer', 'location.state.status', 'QID1', 'QID2', 'QID3']) AS name,
-        unnest([CASE WHEN k % 97 = 0 THEN 'not a date' ELSE strftime(at, '%Y-%m-%dT%H:%M:%SZ') END,
+        unnest([CASE WHEN k % 97 = 0 THEN 'not a date' ELSE strftime(stamp, '%Y-%m-%dT%H:%M:%SZ') END,
             CASE WHEN k % 20 = 0 THEN 'preview' WHEN k % 20 != 1 THEN 'anonymous' END, (k % 101)::VARCHAR, o_custkey::VARCHAR, o_orderstatus,
             substr(o_orderpriority, 1, 1), '[' || coalesce(list_aggregate(list_transform(picked, lambda p: '"' || p || '"'), 'string_agg', ','), '') || ']',
             CASE WHEN k % 7 != 0 THEN (o_custkey + i)::VARCHAR END]) AS value FROM x) WHERE value IS NOT NULL"""
-ORACLE["parse_recorded_date"] = ctes(X) + """SELECT survey_id, response_id, CASE WHEN k % 97 != 0 THEN strftime(at, '%Y-%m-%d %H:%M:%S') END AS recorded FROM x"""
+ORACLE["parse_recorded_date"] = ctes(X) + """SELECT survey_id, response_id, CASE WHEN k % 97 != 0 THEN strftime(stamp, '%Y-%m-%d %H:%M:%S') END AS recorded FROM x"""
 
 # -- listings -------------------------------------------------------------------------------
 
@@ -186,7 +186,7 @@ DIC = """dic AS (SELECT c.survey_id, c.column_id, c.base_qid, c.loop_no, c.kind,
     CASE WHEN c.kind = 'Matrix' THEN main || '| Row ' || sub_key || ' ' || p_name
         WHEN c.kind = 'CS' THEN main || '| ' || (SELECT txt FROM cho WHERE cho.survey_id = c.survey_id AND cho.base_qid = c.base_qid AND cho.i::VARCHAR = c.sub_key)
         WHEN c.kind = 'RO' AND suffix != 'TEXT' THEN main || ' | ' || (SELECT label FROM cho WHERE cho.survey_id = c.survey_id AND cho.base_qid = c.base_qid
-            AND cho.i = c.n_choices + 1 - c.sub_key::INT)
+            AND cho.i = c.n_choices + 1 - TRY_CAST(c.sub_key AS INT))
         WHEN c.kind = 'Slider' THEN main || ' | ' || coalesce((SELECT txt FROM cho WHERE cho.survey_id = c.survey_id AND cho.base_qid = c.base_qid AND cho.i::VARCHAR = c.sub_key), '')
         WHEN c.kind = 'PGR' THEN main || '| Group ' || sub_key || ' ' || p_name
         ELSE main END AS question_text,
@@ -207,7 +207,7 @@ BLK = """blk AS (SELECT survey_id, base_qid, 'B' || (number % 4 + 1) AS block_id
 FLO = """flo AS (SELECT survey_id, (row_number() OVER (PARTITION BY survey_id ORDER BY o) - 1)::INT AS block_pos, block_id FROM
     (SELECT DISTINCT survey_id, survey_no FROM p), (VALUES (1, 'B2'), (2, 'B1'), (3, 'B3'), (4, 'B4')) v(o, block_id) WHERE o < 4 OR survey_no % 2 = 0)"""
 PLACED = """placed AS (SELECT blk.survey_id, block_name, blk.base_qid, column_id, data_type, printf('%06d.%06d.%06d.%06d', block_pos, element_pos,
-        CASE WHEN regexp_full_match(coalesce(sub_key, ''), '\\d+') THEN sub_key::INT ELSE 0 END, coalesce(loop_no, 0)) AS flow_pos, question_text
+        CASE WHEN regexp_full_match(coalesce(sub_key, ''), '\\d+') THEN TRY_CAST(sub_key AS INT) ELSE 0 END, coalesce(loop_no, 0)) AS flow_pos, question_text
     FROM flo JOIN blk USING (survey_id, block_id) LEFT JOIN typ ON typ.survey_id = blk.survey_id AND typ.base_qid = blk.base_qid)"""
 DIMS = ctes(P, COL, CHO, DIC, OFF, TYP, BLK, FLO, PLACED)
 
@@ -220,9 +220,9 @@ ORACLE["block_questions"] = ctes(P, BLK) + "SELECT * FROM blk"
 ORACLE["flow_order"] = ctes(P, FLO) + "SELECT * FROM flo"
 ORACLE["blocks"] = ctes(P, BLK, FLO) + "SELECT survey_id, block_pos, element_pos, block_name, base_qid FROM flo JOIN blk USING (survey_id, block_id)"
 ORACLE["parse_column_id"] = ctes(P, COL) + """SELECT survey_id, column_id, base_qid, loop_no, (number + 1)::INT AS question_no, sub_key,
-    CASE WHEN regexp_full_match(sub_key, '\\d+') THEN sub_key::INT ELSE 0 END AS sub_no, suffix FROM col"""
+    CASE WHEN regexp_full_match(sub_key, '\\d+') THEN TRY_CAST(sub_key AS INT) ELSE 0 END AS sub_no, suffix FROM col"""
 ORACLE["order_columns"] = ctes(P, COL) + """SELECT survey_id, column_id, row_number() OVER (PARTITION BY survey_id ORDER BY number, sub, loop_no, column_id)::INT AS position FROM (
-    SELECT survey_id, column_id, number, CASE WHEN regexp_full_match(sub_key, '\\d+') THEN sub_key::INT ELSE 0 END AS sub, loop_no FROM col
+    SELECT survey_id, column_id, number, CASE WHEN regexp_full_match(sub_key, '\\d+') THEN TRY_CAST(sub_key AS INT) ELSE 0 END AS sub, loop_no FROM col
     UNION ALL SELECT DISTINCT survey_id, 'recordedDate', -2, 0, 0 FROM p UNION ALL SELECT DISTINCT survey_id, 'endDate', -1, 0, 0 FROM p)"""
 ORACLE["question_dictionary"] = ctes(P, COL, CHO, DIC) + """SELECT survey_id, column_id, question_name, question_text, question_type, question_selector, is_numeric FROM dic"""
 ORACLE["is_numeric"] = ctes(P) + "SELECT survey_id, base_qid, kind IN ('RO', 'Slider') OR selector = 'SL' AS is_numeric FROM p"

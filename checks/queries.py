@@ -26,7 +26,7 @@ from surveyloom.operators import summary
 from surveyloom.operators import translation as tr
 from surveyloom.plans.dimensions import Dimensions, survey_dimensions
 from surveyloom.plans import reports
-from surveyloom.session import shared_folder
+from surveyloom.session import checkpoint, shared_folder
 from surveyloom.sources import definitions as D
 from surveyloom.sources import exports as E
 from surveyloom.sources import listings as L
@@ -468,7 +468,8 @@ SETTINGS = reports.MatchingSettings(
 
 
 def cohorts(spark, d) -> DataFrame:
-    return reports.cohorts_of(V.people_responses(spark, d), SETTINGS)
+    """Deduplicated people; stored, since matching uses them many times."""
+    return checkpoint(reports.cohorts_of(V.people_responses(spark, d), SETTINGS))
 
 
 @query
@@ -492,7 +493,8 @@ QUERIES["has_answer"] = QUERIES.pop("has_answer_")
 
 @query
 def latest_valid_per_name(spark, d):
-    return cohorts(spark, d).select("cohort", "first", "last", "response_id", "marker", day_time("recorded_at").alias("recorded"))
+    people = reports.cohorts_of(V.people_responses(spark, d), SETTINGS)
+    return people.select("cohort", "first", "last", "response_id", "marker", day_time("recorded_at").alias("recorded"))
 
 
 def sides(spark, d):
@@ -580,7 +582,7 @@ CONFIRMED_ABOVE = 95
 def confirmed(spark, d):
     """A reviewer who accepts candidates above a score, and names one that does not exist."""
     matches, leftovers = M.match_cascade(cohorts(spark, d))
-    found = fuzzy.fuzzy_candidates(leftovers)
+    found = checkpoint(fuzzy.fuzzy_candidates(leftovers))
     accepted = found.filter(F.col("match_score") > CONFIRMED_ABOVE).select(*IDS)
     unknown = accepted.agg(F.lit("P_none").alias("pre_id"), F.max("post_id").alias("post_id")).withColumn(
         "unsure_id", F.lit(None).cast("string")

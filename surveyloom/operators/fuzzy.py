@@ -16,7 +16,6 @@ Comparing all pairs is avoided in three steps that never lose the best one:
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scores import FIRST_WEIGHT, LAST_WEIGHT
-from surveyloom.operators.matching import MATCH_COLUMNS, NAME, PAIRS
+from surveyloom.operators.matching import COHORTS, NAME, PAIRS
+from surveyloom.session import checkpoint
 
 # Executors get the cell function itself, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,9 +41,12 @@ SLACK = 1e-6
 WORD_CHARS = 63
 FIRST_SCORES_KEPT = 512
 
-CELL = ["vowels", "others", "right_block", "left_block"]
+# ``pair`` tells apart several pairs of groups that are matched in one run.
+PERSON = ["pair", *NAME]
+CELL = ["pair", "vowels", "others", "right_block", "left_block"]
 CELL_SCHEMA = (
-    "first string, last string, score double, right_first string, right_last string, right_id string"
+    "pair string, first string, last string, score double, "
+    "right_first string, right_last string, right_id string"
 )
 
 
@@ -71,19 +74,19 @@ def _probes(names: DataFrame) -> DataFrame:
 
 
 def known_scores(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``(first, last, known)`` for left names that some right name surely scores with.
+    """``(pair, first, last, known)`` for left names that some right name surely scores with.
 
     Right names are summed up per key (only the shortest length matters), so a
     key shared by many names on both sides still joins to one row.
     """
-    keys = ["rest", "with_first"]
+    keys = ["pair", "rest", "with_first"]
     reach = _probes(right).groupBy(*keys).agg(F.min(F.length("last")).alias("size"))
     joined = _probes(left).join(reach, keys)
     total = F.length("last") + F.col("size")
     last_ratio = F.when(total == 0, F.lit(100.0)).otherwise(F.rint(F.lit(200.0) * F.length("rest") / total))
     first_ratio = F.when(F.col("with_first") != "", F.lit(100.0)).otherwise(F.lit(0.0))
     score = first_ratio * FIRST_WEIGHT + last_ratio * LAST_WEIGHT
-    return joined.groupBy(*NAME).agg(F.max(score).alias("known"))
+    return joined.groupBy(*PERSON).agg(F.max(score).alias("known"))
 
 
 # -- step 3: cells ------------------------------------------------------------
@@ -93,10 +96,6 @@ def _profile(last: Column) -> tuple[Column, Column]:
     return vowels, F.length(last) - vowels
 
 
-def _blocks(rows: Column, size: int) -> Column:
-    return F.greatest(F.ceil(rows / size), F.lit(1)).cast("int")
-
-
 def _block_of(n_blocks: Column) -> Column:
     return F.pmod(F.xxhash64(*NAME), n_blocks).cast("int")
 
@@ -106,17 +105,13 @@ def _fresh(columns: list[str]) -> list[Column]:
     return [F.col(c).alias(c) for c in columns]
 
 
-def _left_cells(left: DataFrame, layout: DataFrame, n_left_blocks: Column) -> DataFrame:
+def _left_cells(left: DataFrame, layout: DataFrame, largest, n_left_blocks: int) -> DataFrame:
     """Left names, once for every right cell that may hold something good enough."""
     vowels, others = _profile(F.col("last"))
-
-    def up_to_largest(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), layout.agg(F.max(count)).scalar()))
-
     spread = (
-        left.withColumns({"_v": vowels, "_o": others, "left_block": _block_of(n_left_blocks)})
-        .withColumn("vowels", up_to_largest("vowels"))
-        .withColumn("others", up_to_largest("others"))
+        left.withColumns({"_v": vowels, "_o": others, "left_block": _block_of(F.lit(n_left_blocks))})
+        .withColumn("vowels", F.explode(F.sequence(F.lit(0), F.lit(largest["vowels"]))))
+        .withColumn("others", F.explode(F.sequence(F.lit(0), F.lit(largest["others"]))))
     )
     common = F.least("_v", "vowels") + F.least("_o", "others")
     total = F.col("_v") + F.col("_o") + F.col("vowels") + F.col("others")
@@ -124,19 +119,19 @@ def _left_cells(left: DataFrame, layout: DataFrame, n_left_blocks: Column) -> Da
     reachable = bound * LAST_WEIGHT + 100 * FIRST_WEIGHT + SLACK >= F.col("known")
     return (
         spread.filter(reachable)
-        .join(layout, ["vowels", "others"])
+        .join(layout, ["pair", "vowels", "others"])
         .withColumn("right_block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .select(*_fresh([*CELL, *NAME, "known"]))
     )
 
 
-def _right_cells(right: DataFrame, layout: DataFrame, n_left_blocks: Column) -> DataFrame:
+def _right_cells(right: DataFrame, layout: DataFrame, n_left_blocks: int) -> DataFrame:
     vowels, others = _profile(F.col("last"))
     return (
         right.withColumns({"vowels": vowels, "others": others})
-        .join(layout, ["vowels", "others"])
+        .join(layout, ["pair", "vowels", "others"])
         .withColumn("right_block", _block_of(F.col("n_blocks")))
-        .withColumn("left_block", F.explode(F.sequence(F.lit(0), n_left_blocks - 1)))
+        .withColumn("left_block", F.explode(F.sequence(F.lit(0), F.lit(n_left_blocks - 1))))
         .select(*_fresh([*CELL, *NAME, "right_id"]))
     )
 
@@ -193,6 +188,7 @@ def best_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     names = CELL_SCHEMA.replace(" string", "").replace(" double", "").split(", ")
     if left.empty or right.empty:
         return pd.DataFrame({n: [] for n in names})
+    pair = left["pair"].iloc[0]
     # The first of equally good names wins, so keep them in that order.
     right = right.sort_values([*NAME, "right_id"], ignore_index=True)
     firsts, lasts = _Texts(right["first"]), _Texts(right["last"])
@@ -212,28 +208,35 @@ def best_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             scores = first_ratios[first][firsts.index[rows]] + by_last[lasts.index[rows]]
             at = int(np.argmax(scores))
             best = right.iloc[rows[at]]
-            found.append((first, last, scores[at], best["first"], best["last"], best["right_id"]))
+            found.append((pair, first, last, scores[at], best["first"], best["last"], best["right_id"]))
     return pd.DataFrame(found, columns=names)
 
 
 def best_names(
     left: DataFrame, right: DataFrame, left_rows: int = LEFT_ROWS, right_rows: int = RIGHT_ROWS
 ) -> DataFrame:
-    """``(first, last, score, right_first, right_last, right_id)`` per distinct left name."""
-    left_names = left.select(*NAME).distinct()
-    right_names = right.groupBy(*NAME).agg(F.min("response_id").alias("right_id"))
+    """``(pair, first, last, score, right_first, right_last, right_id)`` per distinct left name.
+
+    Both sides carry ``pair``. The distinct names are used several times and
+    their number sets the layout, so they are put on reliable storage first.
+    """
+    left_names = checkpoint(left.select(*PERSON).distinct())
+    right_names = checkpoint(right.groupBy(*PERSON).agg(F.min("response_id").alias("right_id")))
     vowels, others = _profile(F.col("last"))
     layout = (
-        right_names.groupBy(vowels.alias("vowels"), others.alias("others"))
-        .agg(F.count("*").alias("rows"))
-        .select("vowels", "others", _blocks(F.col("rows"), right_rows).alias("n_blocks"))
-    )
-    n_left_blocks = left_names.agg(_blocks(F.count("*"), left_rows)).scalar()
-    scored = left_names.join(known_scores(left_names, right_names), NAME, "left").withColumn(
-        "known", F.coalesce("known", F.lit(-1.0))
+        right_names.groupBy("pair", vowels.alias("vowels"), others.alias("others"))
+        .agg(F.ceil(F.count("*") / right_rows).cast("int").alias("n_blocks"))
     )
+    largest = layout.agg(
+        F.coalesce(F.max("vowels"), F.lit(-1)).alias("vowels"),
+        F.coalesce(F.max("others"), F.lit(-1)).alias("others"),
+    ).first()
+    if largest["vowels"] < 0:
+        return _no_names(left)
+    n_left_blocks = max(1, -(-left_names.count() // left_rows))
+    scored = left_names.join(known_scores(left_names, right_names), PERSON, "left").fillna(-1.0, ["known"])
     cells = (
-        _left_cells(scored, layout, n_left_blocks)
+        _left_cells(scored, layout, largest, n_left_blocks)
         .groupBy(*CELL)
         .cogroup(_right_cells(right_names, layout, n_left_blocks).groupBy(*CELL))
         .applyInPandas(lambda l, r: best_in_cell(l, r), CELL_SCHEMA)
@@ -241,21 +244,31 @@ def best_names(
     best = F.min(
         F.struct((-F.col("score")).alias("minus"), "right_first", "right_last", "right_id")
     )
-    return cells.groupBy(*NAME).agg(best.alias("b")).select(
-        *NAME, (-F.col("b.minus")).alias("score"), "b.right_first", "b.right_last", "b.right_id"
+    return cells.groupBy(*PERSON).agg(best.alias("b")).select(
+        *PERSON, (-F.col("b.minus")).alias("score"), "b.right_first", "b.right_last", "b.right_id"
     )
 
 
+def _no_names(like: DataFrame) -> DataFrame:
+    return like.sparkSession.createDataFrame([], CELL_SCHEMA)
+
+
+def _best_of(left: DataFrame, right: DataFrame, **sizes: int) -> DataFrame:
+    """Left people with their best right one: ``(pair, response_id, first, last, b_*)``."""
+    best = best_names(left, right, **sizes)
+    return left.select("response_id", *PERSON).join(best, PERSON, "left")
+
+
 def fuzzy_best_match(
-    left: DataFrame, right: DataFrame, left_label: str, right_label: str,
-    left_rows: int = LEFT_ROWS, right_rows: int = RIGHT_ROWS,
+    left: DataFrame, right: DataFrame, left_label: str, right_label: str, **sizes: int
 ) -> DataFrame:
     """For each left person the best right one, or nulls when there is no right person.
 
     A right person may be the best of many left ones.
     """
-    best = best_names(left, right, left_rows, right_rows)
-    return left.select("response_id", *NAME).join(best, NAME, "left").select(
+    one_pair = F.lit("")
+    matched = _best_of(left.withColumn("pair", one_pair), right.withColumn("pair", one_pair), **sizes)
+    return matched.select(
         F.col("response_id").alias(f"{left_label}_id"),
         F.col("first").alias(f"{left_label}_first"),
         F.col("last").alias(f"{left_label}_last"),
@@ -267,14 +280,18 @@ def fuzzy_best_match(
 
 
 def fuzzy_candidates(leftovers: DataFrame, **sizes: int) -> DataFrame:
-    """Best matches for all three cohort pairs, as rows of the match table."""
-    def part(a: str, b: str) -> DataFrame:
-        sides = [leftovers.filter(F.col("cohort") == c) for c in (a, b)]
-        return fuzzy_best_match(*sides, a, b, **sizes)
-
-    pairs: Iterator[DataFrame] = (part(a, b) for a, b in PAIRS)
-    result = next(pairs)
-    for more in pairs:
-        result = result.unionByName(more, allowMissingColumns=True)
-    return result.select(*MATCH_COLUMNS, "match_score")
-
+    """Best matches for all three cohort pairs in one run, as rows of the match table."""
+    def side(place: int) -> DataFrame:
+        pairs = F.array(
+            *[F.when(F.col("cohort") == p[place], F.lit(f"{p[0]}-{p[1]}")) for p in PAIRS]
+        )
+        return leftovers.withColumn("pair", F.explode(F.array_compact(pairs)))
+
+    matched = _best_of(side(0), side(1), **sizes)
+    label = F.split("pair", "-")
+    columns = []
+    for c in COHORTS:
+        for part, left_part in (("id", "response_id"), ("first", "first"), ("last", "last")):
+            value = F.when(label[0] == c, F.col(left_part)).when(label[1] == c, F.col(f"right_{part}"))
+            columns.append(value.alias(f"{c}_{part}"))
+    return matched.select(*columns, F.col("score").alias("match_score"))

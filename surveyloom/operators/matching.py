@@ -19,8 +19,6 @@ COHORTS = ("pre", "post", "unsure")
 PAIRS = (("pre", "post"), ("pre", "unsure"), ("post", "unsure"))
 NAME = ["first", "last"]
 
-MATCH_COLUMNS = [f"{c}_{part}" for c in COHORTS for part in ("id", "first", "last")]
-
 
 def people_from_responses(
     responses: DataFrame, first_column: str, last_column: str, marker_column: str

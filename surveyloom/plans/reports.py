@@ -101,7 +101,7 @@ def match_people(
     """Exact cascade, fuzzy candidates for the rest, and the links a reviewer confirmed."""
     people = checkpoint(cohorts_of(responses, settings))
     matches, leftovers = match.match_cascade(people)
-    candidates = fuzzy.fuzzy_candidates(leftovers)
+    candidates = checkpoint(fuzzy.fuzzy_candidates(leftovers))
     if confirmations is not None:
         matches, candidates, leftovers = match.confirm_matches(
             matches, candidates, leftovers, confirmations
