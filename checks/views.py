@@ -80,7 +80,12 @@ def _answer(column_id: str, kind: str, value: str, items="null", num="null", txt
 
 
 def answers(*parts: str) -> str:
-    return f"array_compact(array({','.join(parts)})) as answers"
+    """The answers of a response.
+
+    ``explode`` makes them a column like one that was read, so that conditions
+    on answers are not rewritten in terms of how they are made up here.
+    """
+    return f"explode(array(array_compact(array({','.join(parts)})))) as answers"
 
 
 def bits(column: str, count: int) -> str:

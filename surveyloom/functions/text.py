@@ -11,12 +11,11 @@ from pyspark.sql import types as T
 
 TAG = r"<[^>]*>"
 
-# Latin letters that fold to ASCII but do not decompose.
+# Lower-case Latin letters that fold to ASCII but do not decompose.
 LETTERS_WITHOUT_DECOMPOSITION = {
-    "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th",
-    "ð": "d", "Ð": "D", "đ": "d", "Đ": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L",
-    "ħ": "h", "Ħ": "H", "ı": "i", "ĸ": "k", "ŋ": "ng", "Ŋ": "NG", "ŧ": "t", "Ŧ": "T",
-    "ſ": "s", "ƒ": "f", "ĳ": "ij", "Ĳ": "IJ", "ẞ": "Ss",
+    "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ŋ": "ng", "ĳ": "ij",
+    "ð": "d", "đ": "d", "ø": "o", "ł": "l", "ħ": "h", "ı": "i", "ĸ": "k", "ŧ": "t",
+    "ſ": "s", "ƒ": "f",
 }
 
 # Fixed value: generational suffixes, at the start or after white space.
@@ -64,22 +63,24 @@ def strip_html_deep(value: Column, data_type: T.DataType) -> Column:
 
 @lru_cache(maxsize=1)
 def _single_letter_folds() -> tuple[str, str]:
-    """Latin letters and the one ASCII letter each folds to, mostly by decomposition."""
+    """Lower-case letters and the one ASCII letter each folds to, mostly by decomposition."""
     plain = {a: b for a, b in LETTERS_WITHOUT_DECOMPOSITION.items() if len(b) == 1}
     source, target = list(plain), list(plain.values())
     for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         letter = chr(code)
         base = unicodedata.normalize("NFKD", letter)[0]
-        if letter not in LETTERS_WITHOUT_DECOMPOSITION and base != letter and base.isascii():
+        known = letter in LETTERS_WITHOUT_DECOMPOSITION or letter != letter.lower()
+        if not known and base != letter and base.isascii():
             source.append(letter)
             target.append(base)
     return "".join(source), "".join(target)
 
 
 def fold_to_ascii(value: Column) -> Column:
-    """Accented Latin letters to ASCII; whatever has no Latin form is dropped."""
+    """Lower case, accented Latin letters to ASCII; whatever has no Latin form is dropped."""
+    lowered = F.lower(value)
     source, target = _single_letter_folds()
-    folded = F.translate(value, source, target)
+    folded = F.translate(lowered, source, target)
     for letter, letters in LETTERS_WITHOUT_DECOMPOSITION.items():
         if len(letters) > 1:
             folded = F.replace(folded, F.lit(letter), F.lit(letters))
@@ -88,7 +89,7 @@ def fold_to_ascii(value: Column) -> Column:
 
 def clean_name(value: Column) -> Column:
     """Comparable form of a first or last name; a missing one becomes ``''``."""
-    name = F.lower(fold_to_ascii(F.coalesce(value, F.lit(""))))
+    name = fold_to_ascii(F.coalesce(value, F.lit("")))
     name = F.regexp_replace(name, NAME_SUFFIX, "")
     name = F.regexp_replace(name, "[^a-z]", " ")
     return F.trim(F.regexp_replace(name, r"\s+", " "))

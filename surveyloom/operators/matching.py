@@ -37,7 +37,15 @@ def people_from_responses(
 
 
 def clean_names(people: DataFrame) -> DataFrame:
-    return people.withColumns({"first": clean_name(F.col("first")), "last": clean_name(F.col("last"))})
+    """Both names in comparable form.
+
+    Going through ``explode`` keeps later filters and keys from being rewritten
+    in terms of the raw names, which would clean each name again for each use.
+    """
+    names = F.struct(clean_name(F.col("first")).alias("first"), clean_name(F.col("last")).alias("last"))
+    return people.withColumn("_name", F.explode(F.array(names))).withColumns(
+        {part: F.col("_name")[part] for part in NAME}
+    ).drop("_name")
 
 
 def drop_test_names(
@@ -53,12 +61,10 @@ def drop_test_names(
     )
     if excluded is None:
         return kept
-    if not isinstance(excluded, DataFrame):
-        pairs = list(excluded)
-        if not pairs:
-            return kept
-        excluded = people.sparkSession.createDataFrame(pairs, "first string, last string")
-    return kept.join(excluded.select(*NAME), NAME, "left_anti")
+    if isinstance(excluded, DataFrame):
+        return kept.join(excluded.select(*NAME), NAME, "left_anti")
+    # Cleaned names hold letters and blanks only.
+    return kept.filter(~F.concat_ws("|", *NAME).isin(["|".join(pair) for pair in excluded]))
 
 
 def latest_valid_per_name(people: DataFrame, keys: Sequence[str] = ("cohort", "first", "last")) -> DataFrame:
