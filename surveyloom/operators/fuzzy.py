@@ -185,9 +185,8 @@ def _common_of_two(text: str, other: str) -> int:
 
 def best_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """Best right name of the cell for each left name that has one good enough."""
-    names = CELL_SCHEMA.replace(" string", "").replace(" double", "").split(", ")
     if left.empty or right.empty:
-        return pd.DataFrame({n: [] for n in names})
+        return _found_rows([])
     pair = left["pair"].iloc[0]
     # The first of equally good names wins, so keep them in that order.
     right = right.sort_values([*NAME, "right_id"], ignore_index=True)
@@ -209,7 +208,14 @@ def best_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             at = int(np.argmax(scores))
             best = right.iloc[rows[at]]
             found.append((pair, first, last, scores[at], best["first"], best["last"], best["right_id"]))
-    return pd.DataFrame(found, columns=names)
+    return _found_rows(found)
+
+
+def _found_rows(found: list[tuple]) -> pd.DataFrame:
+    """Rows in the layout of ``CELL_SCHEMA``, with its types even when there are none."""
+    names = CELL_SCHEMA.replace(" string", "").replace(" double", "").split(", ")
+    rows = pd.DataFrame(found, columns=names, dtype="object")
+    return rows.astype({"score": "float64"})
 
 
 def best_names(
