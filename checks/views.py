@@ -11,6 +11,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.answers import ANSWER_TYPE
+
 QUESTION_COLUMNS = (
     "column_id string, question_name string, question_text string, question_type string, "
     "question_selector string, is_numeric boolean, data_type string, block_name string, flow_pos string"
@@ -59,7 +61,7 @@ def questions_of(surveys: DataFrame, rows: list[tuple]) -> DataFrame:
     )
 
 
-# One answer struct per kind, for use in SQL expressions; null without a value.
+# One answer per kind, for use in SQL expressions.
 def text(column_id: str, value: str) -> str:
     return _answer(column_id, "text", value, txt=f"cast({value} as string)")
 
@@ -73,10 +75,12 @@ def items(column_id: str, value: str) -> str:
 
 
 def _answer(column_id: str, kind: str, value: str, items="null", num="null", txt="null") -> str:
-    return (
-        f"case when {value} is not null then named_struct('column_id','{column_id}','kind','{kind}',"
-        f"'items',cast({items} as array<string>),'num',cast({num} as double),'txt',cast({txt} as string)) end"
+    """An array of one answer, or of none when there is no value."""
+    built = (
+        f"named_struct('column_id','{column_id}','kind','{kind}','items',cast({items} as array<string>),"
+        f"'num',cast({num} as double),'txt',cast({txt} as string))"
     )
+    return f"if({value} is null, cast(array() as array<{ANSWER_TYPE}>), array({built}))"
 
 
 def answers(*parts: str) -> str:
@@ -85,14 +89,13 @@ def answers(*parts: str) -> str:
     ``explode`` makes them a column like one that was read, so that conditions
     on answers are not rewritten in terms of how they are made up here.
     """
-    return f"explode(array(array_compact(array({','.join(parts)})))) as answers"
+    return f"explode(array(concat({','.join(parts)}))) as answers"
 
 
 def bits(column: str, count: int) -> str:
     """'1'..'count' for the bits that are set."""
-    return (
-        f"transform(filter(sequence(0,{count - 1}), i -> ({column} & shiftleft(1, i)) != 0), i -> cast(i + 1 as string))"
-    )
+    marks = ",".join(f"if(({column} & {1 << i}) != 0, '{i + 1}', '')" for i in range(count))
+    return f"array_remove(array({marks}), '')"
 
 
 # -- orders as responses --------------------------------------------------------

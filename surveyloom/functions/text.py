@@ -25,8 +25,9 @@ NAME_SUFFIX = r"(^|\s)(jr|sr|ii|iii|iv|v|vi)\b"
 TEST_NAMES = ("fd", "x", "xx", "xxx", "test")
 
 # Code points of emoji, written for Java regular expressions.
+# The range in front lets most characters fail on one comparison.
 EMOJI = (
-    "["
+    r"[\x{203C}-\x{E007F}&&["
     r"\x{1F000}-\x{1FAFF}"
     r"\x{2600}-\x{27BF}"
     r"\x{2300}-\x{23FF}"
@@ -35,10 +36,14 @@ EMOJI = (
     r"\x{2190}-\x{21FF}"
     r"\x{2934}\x{2935}\x{3030}\x{303D}\x{3297}\x{3299}\x{203C}\x{2049}\x{2139}\x{2122}\x{24C2}"
     r"\x{E0020}-\x{E007F}"
-    r"\x{20E3}\x{FE0F}\x{200D}"
-    "]"
+    r"\x{20E3}\x{FE0F}"
+    r"]]|\x{200D}"
 )
 
+# White space of every script, common characters first.
+SPACE = r" \t-\r\x1C-\x1F\x85\p{Z}"
+NOT_WORD_OR_SPACE = rf"[^a-z0-9_{SPACE}\p{{L}}\p{{N}}]"
+
 
 def strip_html(value: Column) -> Column:
     """Delete tags; entities stay."""
@@ -110,8 +115,8 @@ def clean_text(value: Column, exact: bool = False) -> Column:
     """
     missing = value.rlike(r"^\s*(N/A|nan)\s*$" if exact else "N/A|nan")
     flat = F.regexp_replace(value, "\n", " ")
-    blank = flat.rlike(r"(?U)^\s*$")
-    cleaned = F.regexp_replace(F.lower(flat), r"(?U)[^\p{L}\p{N}_\s]", "")
+    blank = flat.rlike(f"^[{SPACE}]*$")
+    cleaned = F.regexp_replace(F.lower(flat), NOT_WORD_OR_SPACE, "")
     return F.when(~missing & ~blank, cleaned)
 
 

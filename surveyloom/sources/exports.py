@@ -27,9 +27,6 @@ RESPONSE_SCHEMA = "struct<responseId:string,values:string>"
 RECORDED, ENDED, CHANNEL, PROGRESS = "recordedDate", "endDate", "distributionChannel", "progress"
 ID_FIELDS = ("responseId", "_recordId")
 
-VALUE_TYPE = "array<struct<name:string,value:variant>>"
-
-
 def utc_timestamp(text: Column) -> Column:
     """ISO-8601 text to UTC wall clock; null when it does not parse."""
     return F.timestamp_add(
@@ -70,102 +67,106 @@ def explode_documents(documents: DataFrame, column: str) -> DataFrame:
     ).select(*others, "response.*")
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+def _with_shape(name: Column, value: Column) -> Column:
+    """A field with the type of its value, which is looked up once and then compared."""
+    return F.struct(
+        name.alias("name"), value.alias("value"), F.schema_of_variant(value).alias("shape")
+    )
+
+
+def _fields_of(object_map: Column, prefix: Column | None = None) -> Column:
+    def field(e: Column) -> Column:
+        name = e["key"] if prefix is None else F.concat_ws(".", prefix, e["key"])
+        return _with_shape(name, e["value"])
+
+    return F.transform(F.map_entries(object_map), field)
 
 
 def flat_values(values: Column) -> Column:
-    """Name/value pairs of a JSON object; fields of nested objects get dotted names.
+    """Fields of a JSON object as ``(name, value, shape)``; those of nested objects get dotted names.
 
     One pass per nesting level; the number of opening braces bounds the levels,
     so a flat object is read once.
     """
-    top = F.transform(
-        F.map_entries(F.from_json(values, "map<string,variant>")),
-        lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")),
-    )
+    top = _fields_of(F.from_json(values, "map<string,variant>"))
 
-    def inner(pair: Column) -> Column:
-        return F.transform(
-            F.map_entries(pair["value"].cast("map<string,variant>")),
-            lambda e: F.struct(
-                F.concat_ws(".", pair["name"], e["key"]).alias("name"), e["value"].alias("value")
-            ),
-        )
+    def open_objects(fields: Column, _: Column) -> Column:
+        def opened(f: Column) -> Column:
+            inner = _fields_of(f["value"].cast("map<string,variant>"), f["name"])
+            return F.when(f["shape"].startswith("OBJECT"), inner).otherwise(F.array(f))
 
-    def open_objects(pairs: Column, _: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                pairs, lambda p: F.when(_is_object(p["value"]), inner(p)).otherwise(F.array(p))
-            )
-        )
+        return F.flatten(F.transform(fields, opened))
 
-    levels = F.size(F.split(values, r"\{")) - 2
+    levels = F.length(values) - F.length(F.replace(values, F.lit("{"))) - 1
     return F.when(levels < 1, top).otherwise(
         F.reduce(F.sequence(F.lit(1), F.greatest(levels, F.lit(1))), top, open_objects)
     )
 
 
-def typed_answer(name: Column, value: Column) -> Column:
-    """One name/value pair as an answer struct; null for JSON null."""
-    shape = F.schema_of_variant(value)
-    kind = (
-        F.when(value.isNull() | (shape == "VOID"), F.lit(None))
-        .when(shape.startswith("ARRAY"), F.lit("list"))
-        .when(shape == "STRING", F.lit("text"))
-        .when(shape == "BOOLEAN", F.lit("bool"))
-        .when(shape.startswith("OBJECT"), F.lit("text"))
-        .otherwise(F.lit("number"))
-    )
-    answer = F.struct(
-        name.alias("column_id"),
-        kind.alias("kind"),
-        F.when(kind == "list", F.try_variant_get(value, "$", "array<string>")).alias("items"),
-        F.when(kind == "number", F.try_variant_get(value, "$", "double")).alias("num"),
-        F.when(kind.isin("text", "bool"), F.try_variant_get(value, "$", "string")).alias("txt"),
+def typed_answers(fields: Column) -> Column:
+    """Question fields as answers; JSON nulls are left out.
+
+    ``fields`` is what ``flat_values`` gives.
+    """
+    present = F.filter(fields, lambda f: (f["shape"] != "VOID") & C.is_question_column(f["name"]))
+
+    def kind(shape: Column) -> Column:
+        return (
+            F.when(shape.startswith("ARRAY"), "list")
+            .when(shape == "BOOLEAN", "bool")
+            .when((shape == "STRING") | shape.startswith("OBJECT"), "text")
+            .otherwise("number")
+        )
+
+    kinds = F.transform(
+        present,
+        lambda f: F.struct(f["name"].alias("name"), f["value"].alias("value"), kind(f["shape"]).alias("kind")),
     )
-    return F.when(kind.isNotNull(), answer)
+
+    def answer(f: Column) -> Column:
+        def read(data_type: str, *kinds_read: str) -> Column:
+            return F.when(f["kind"].isin(*kinds_read), F.try_variant_get(f["value"], "$", data_type))
+
+        return F.struct(
+            f["name"].alias("column_id"),
+            f["kind"].alias("kind"),
+            read("array<string>", "list").alias("items"),
+            read("double", "number").alias("num"),
+            read("string", "text", "bool").alias("txt"),
+        )
+
+    return F.transform(kinds, answer)
 
 
 def responses_from_values(
     exported: DataFrame, survey_id: Column, values: str = "values", response_id: str = "responseId"
 ) -> DataFrame:
     """Canonical response rows from ``(responseId, values JSON)`` rows."""
-    pairs = exported.select(
+    typed = (RECORDED, ENDED, CHANNEL, PROGRESS, *ID_FIELDS)
+    fields = exported.select(
         survey_id.cast("string").alias("survey_id"),
         F.col(response_id).alias("outer_id"),
-        flat_values(F.col(values)).alias("pairs"),
+        F.from_json(values, ",".join(f"`{n}` string" for n in typed)).alias("known"),
+        flat_values(F.col(values)).alias("fields"),
     )
-
-    def field(name: str) -> Column:
-        found = F.get(F.filter("pairs", lambda p: p["name"] == name), F.lit(0))
-        return F.try_variant_get(found["value"], "$", "string")
-
-    typed = (RECORDED, ENDED, CHANNEL, PROGRESS, *ID_FIELDS)
+    known = F.col("known")
     others = F.filter(
-        "pairs", lambda p: ~C.is_question_column(p["name"]) & ~p["name"].isin(*typed)
+        "fields", lambda f: ~f["name"].isin(*typed) & ~C.is_question_column(f["name"])
     )
-    answers = F.filter(
-        F.transform(
-            F.filter("pairs", lambda p: C.is_question_column(p["name"])),
-            lambda p: typed_answer(p["name"], p["value"]),
-        ),
-        lambda a: a.isNotNull(),
-    )
-    return pairs.select(
+    return fields.select(
         "survey_id",
-        F.coalesce("outer_id", *[field(f) for f in ID_FIELDS]).alias("response_id"),
-        utc_timestamp(field(RECORDED)).alias("recorded_at"),
-        utc_timestamp(field(ENDED)).alias("end_at"),
-        field(CHANNEL).alias("channel"),
-        field(PROGRESS).try_cast("double").alias("progress"),
+        F.coalesce("outer_id", *[known[f] for f in ID_FIELDS]).alias("response_id"),
+        utc_timestamp(known[RECORDED]).alias("recorded_at"),
+        utc_timestamp(known[ENDED]).alias("end_at"),
+        known[CHANNEL].alias("channel"),
+        known[PROGRESS].try_cast("double").alias("progress"),
         F.map_from_entries(
             F.transform(
                 others,
-                lambda p: F.struct(p["name"], F.try_variant_get(p["value"], "$", "string")),
+                lambda f: F.struct(f["name"], F.try_variant_get(f["value"], "$", "string")),
             )
         ).alias("meta"),
-        answers.cast(f"array<{ANSWER_TYPE}>").alias("answers"),
+        typed_answers(F.col("fields")).cast(f"array<{ANSWER_TYPE}>").alias("answers"),
     )
 
 
