@@ -21,37 +21,6 @@ def is_digits(text: Column) -> Column:
     return text.rlike(DIGITS)
 
 
-def text_answer(column_id, value: Column) -> Column:
-    return _answer(column_id, "text", txt=value.cast("string"))
-
-
-def number_answer(column_id, value: Column) -> Column:
-    return _answer(column_id, "number", num=value.cast("double"))
-
-
-def list_answer(column_id, value: Column) -> Column:
-    return _answer(column_id, "list", items=value.cast("array<string>"))
-
-
-def _answer(column_id, kind, items=None, num=None, txt=None) -> Column:
-    """An answer, or null when there is no value."""
-    value = next(v for v in (items, num, txt) if v is not None)
-    name = column_id if isinstance(column_id, Column) else F.lit(column_id)
-    built = F.struct(
-        name.alias("column_id"),
-        F.lit(kind).alias("kind"),
-        (F.lit(None) if items is None else items).cast("array<string>").alias("items"),
-        (F.lit(None) if num is None else num).cast("double").alias("num"),
-        (F.lit(None) if txt is None else txt).cast("string").alias("txt"),
-    )
-    return F.when(value.isNotNull(), built)
-
-
-def answers_of(*answers: Column) -> Column:
-    """Array of the answers that are present."""
-    return F.array_compact(F.array(*answers))
-
-
 def has_answer(answer: Column) -> Column:
     """False for nothing at all, an empty text and an empty list."""
     return F.coalesce(

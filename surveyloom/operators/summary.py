@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.answers import answer_text
 from surveyloom.operators.filters import free_text_questions
+from surveyloom.session import checkpoint
 
 
 def survey_header(responses: DataFrame, questions: DataFrame) -> DataFrame:
@@ -40,7 +41,8 @@ def survey_header(responses: DataFrame, questions: DataFrame) -> DataFrame:
 def missing_stats(responses: DataFrame, questions: DataFrame) -> DataFrame:
     """Missing and present answers per question, as counts and unrounded fractions.
 
-    Counted in one pass; a respondent counts under the empty column.
+    Counted in one pass; a respondent counts under the empty column. The counts
+    are stored, since they are read both for the columns and for the base.
     """
     marked = responses.select(
         F.coalesce("survey_id", F.lit("")).alias("survey_id"),
@@ -48,7 +50,7 @@ def missing_stats(responses: DataFrame, questions: DataFrame) -> DataFrame:
             F.concat(F.col("answers")["column_id"], F.array(F.lit("")))
         ).alias("column_id"),
     ).select("survey_id", F.coalesce("column_id", F.lit("")).alias("column_id"))
-    counted = marked.groupBy("survey_id", "column_id").agg(F.count("*").alias("n"))
+    counted = checkpoint(marked.groupBy("survey_id", "column_id").agg(F.count("*").alias("n")))
     bases = counted.groupBy("survey_id").agg(
         F.sum(F.when(F.col("column_id") == "", F.col("n")).otherwise(0)).alias("base")
     )
@@ -79,11 +81,3 @@ def text_entry_counts(texts: DataFrame, text: str = "text") -> DataFrame:
 def pre_post_header(phased: DataFrame) -> DataFrame:
     """Responses per survey and phase."""
     return phased.groupBy("survey_id", "phase").agg(F.count("*").alias("n_responses"))
-
-
-def text_answers(responses: DataFrame) -> DataFrame:
-    """All answers as text in long form."""
-    return responses.select("survey_id", "response_id", F.explode("answers").alias("a")).select(
-        "survey_id", "response_id", F.col("a.column_id").alias("column_id"),
-        answer_text(F.col("a")).alias("text"),
-    )

@@ -13,13 +13,12 @@ def texts(spark):
     return spark.createDataFrame(rows, TEXTS)
 
 
-def translator(batch):
-    if "bad" in batch:
-        raise RuntimeError("no")
-    return [t.upper() for t in batch]
-
-
 def test_translate_columns(spark):
+    def translator(batch):
+        if "bad" in batch:
+            raise RuntimeError("no")
+        return [t.upper() for t in batch]
+
     out = tr.translate_columns(texts(spark), translator)
     assert out.columns == ["survey_id", "response_id", "column_id", "text", "text_translated", "text_error", "extra"]
     found = {r["response_id"]: (r["text_translated"], r["text_error"]) for r in out.collect()}
