@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions.answers import answer_text
 from surveyloom.operators.filters import free_text_questions
 from surveyloom.session import checkpoint
 

@@ -68,9 +68,15 @@ def explode_documents(documents: DataFrame, column: str) -> DataFrame:
 
 
 def _with_shape(name: Column, value: Column) -> Column:
-    """A field with the type of its value, which is looked up once and then compared."""
+    """A field with what decides its use: the type of its value, and whether it is an answer.
+
+    Both are looked up once here and only compared later.
+    """
     return F.struct(
-        name.alias("name"), value.alias("value"), F.schema_of_variant(value).alias("shape")
+        name.alias("name"),
+        value.alias("value"),
+        F.schema_of_variant(value).alias("shape"),
+        C.is_question_column(name).alias("asked"),
     )
 
 
@@ -83,7 +89,7 @@ def _fields_of(object_map: Column, prefix: Column | None = None) -> Column:
 
 
 def flat_values(values: Column) -> Column:
-    """Fields of a JSON object as ``(name, value, shape)``; those of nested objects get dotted names.
+    """Fields of a JSON object as ``(name, value, shape, asked)``; those of nested objects get dotted names.
 
     One pass per nesting level; the number of opening braces bounds the levels,
     so a flat object is read once.
@@ -108,7 +114,7 @@ def typed_answers(fields: Column) -> Column:
 
     ``fields`` is what ``flat_values`` gives.
     """
-    present = F.filter(fields, lambda f: (f["shape"] != "VOID") & C.is_question_column(f["name"]))
+    present = F.filter(fields, lambda f: f["asked"] & (f["shape"] != "VOID"))
 
     def kind(shape: Column) -> Column:
         return (
@@ -150,9 +156,7 @@ def responses_from_values(
         flat_values(F.col(values)).alias("fields"),
     )
     known = F.col("known")
-    others = F.filter(
-        "fields", lambda f: ~f["name"].isin(*typed) & ~C.is_question_column(f["name"])
-    )
+    others = F.filter("fields", lambda f: ~f["asked"] & ~f["name"].isin(*typed))
     return fields.select(
         "survey_id",
         F.coalesce("outer_id", *[known[f] for f in ID_FIELDS]).alias("response_id"),
