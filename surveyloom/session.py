@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Folder for stored tables inside the shared one.
+STORED = "surveyloom-stored"
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,13 +37,16 @@ def build_session(app: str = "surveyloom", master: str | None = None, **extra: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (single-machine tests) a temporary folder
-    is made and remembered in the session.
+    Only a single-machine session may leave the setting out; it then gets a
+    temporary folder. On a cluster such a folder would be another one for each
+    executor, so there the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="surveyloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -49,3 +58,39 @@ def checkpoint(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared folder and read it back.
+
+    Like :func:`checkpoint`, but columnar and compressed. The tables stay until
+    :func:`drop_stored`, since results that read them may be used later.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{STORED}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete every table this application has stored; results that still read them end with it."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{STORED}/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_surveyloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="surveyloom-code-"), "surveyloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    whole = os.path.join(folder, name)
+                    out.write(whole, os.path.relpath(whole, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._surveyloom_shipped = True
