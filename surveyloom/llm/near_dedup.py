@@ -211,7 +211,7 @@ def near_duplicates(df: DataFrame, ident: str = "doc_id", text: str = "text", le
     """
     prints = store(fingerprints(df, ident, text, length), "fingerprints")
     distinct = store(prints.groupBy("fp").agg(F.min("ident").alias("first")), "distinct")
-    roots = store(connected(linked_fingerprints(distinct, radius)), "roots")
+    roots = store(connected(store(linked_fingerprints(distinct, radius), "pairs")), "roots")
     inside = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = inside.groupBy("root").agg(F.min("first").alias("component"))
     component = inside.join(least, "root").select("fp", "component")
