@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyloom.llm import decontamination, toxicity
+from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), length=3, radius=2)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels.where(fold("doc_id", 4) != 2))
+    return toxicity.score(documents, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "passages"
+    )
+
+
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
