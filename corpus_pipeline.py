@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.llm import decontamination, toxicity
+from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
+from surveyloom.llm.packing import pack
 from surveyloom.session import store
 
 
+def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents predicted toxic by a model of the labels whose fold of four is not 2."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.keep_clean(docs, toxicity.fit(docs, labels.where(fold("doc_id", 4) != 2)))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates: the one with the smallest id.
 
@@ -26,11 +36,26 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return placed.join(kept.hint("shuffle_hash"), PLACE, "left_semi").drop(PLACE)
 
 
+def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of the documents stands in sequences of 4096 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=4096, end=2)
+
+
 # A column name that documents do not have.
 PLACE = "_pipeline_place"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", one_of_each_group)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", clean_of_toxicity),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", clean_of_benchmarks),
+    ("packing", packed),
+]
 # Scores learnt from labels and fingerprints are beyond SQL; tests/llm compares with a plain version.
 ORACLE_SQL = None
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.session import ship_package
@@ -62,3 +62,28 @@ class Memo(dict):
             self.clear()
         value = self[key] = self.make(key)
         return value
+
+
+# ``monotonically_increasing_id`` keeps the partition above this many bits.
+PART_BITS = 33
+
+
+def rank_within(stored: DataFrame, group: list[str], place: str, name: str) -> DataFrame:
+    """Number the rows of each group from 0, gapless, in the order of ``place``.
+
+    ``stored`` has to be a stored table with ``place`` from
+    ``monotonically_increasing_id`` in it. A row's number is its place among the
+    group's rows of its part plus those of earlier parts, so a group of any
+    size is numbered by many tasks.
+    """
+    part = F.shiftright(place, PART_BITS).alias("_part")
+    sizes = stored.groupBy(*group, part).agg(F.count("*").alias("_size"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*group, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*group, "_part").orderBy(place)
+    return (
+        stored.withColumn("_part", part)
+        .join(before, [*group, "_part"])
+        .withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
+        .drop("_part", "_before")
+    )
