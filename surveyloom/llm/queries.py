@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyloom.llm import decontamination, licenses, sharding, toxicity
+from surveyloom.llm import decontamination, html_text, licenses, sharding, toxicity
 from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
 from surveyloom.llm.packing import pack
@@ -59,3 +59,8 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
