@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surveyloom.llm import decontamination, html_text, licenses, sharding, toxicity
 from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
 from surveyloom.llm.packing import pack
+from surveyloom.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +66,9 @@ def op4_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
