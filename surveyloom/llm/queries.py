@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from surveyloom.llm import decontamination, html_text, licenses, sharding, toxicity
 from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
+from surveyloom.llm.neighbours import nearest
 from surveyloom.llm.packing import pack
 from surveyloom.llm.token_counts import count_tokens
 
@@ -72,3 +73,8 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
