@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import decontamination, html_text, licenses, sharding, toxicity
+from surveyloom.llm import decontamination, html_text, language_model, licenses, sharding, toxicity
 from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
 from surveyloom.llm.neighbours import nearest
@@ -78,3 +78,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = language_model.score(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    return scored.select(
+        "doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
