@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from surveyloom.llm.common import Memo, map_batches, spaced_words, utf8
+from surveyloom.llm.common import map_batches, spaced_words, utf8
 from surveyloom.llm.simhash import BITS, bits_of, value_of
 
 LENGTH = 5
@@ -26,12 +26,14 @@ WIDTH = BITS // BLOCKS
 ITEM_BYTES = 16 << 20
 # Windows fingerprinted at once.
 WINDOWS = 4096
+# Fingerprints searched at once.
+SEARCHED = 256
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 FLIPS = np.array([sum(1 << b for b in c) for n in range(NEAR + 1) for c in combinations(range(WIDTH), n)], np.int64)
 
 
-def word_hashes() -> Memo:
-    return Memo(xxhash.xxh64_intdigest)
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def shingle_hashes(words: np.ndarray, length: int) -> np.ndarray:
@@ -72,27 +74,31 @@ def bag(words: list[bytes], length: int) -> Counter:
     return Counter(zip(*(words[i:] for i in range(length))))
 
 
+def sizes_by_shingle(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    both = np.unique(np.rec.fromarrays([shingles, sizes], names="shingle,size"))
+    known, first = np.unique(both["shingle"], return_index=True)
+    return known, np.ascontiguousarray(both["size"]), np.append(first, len(both))
+
+
 class Items:
     """The index of one bounded block of items."""
 
     def __init__(self, items: list[tuple[object, bytes]], similarity: float = SIMILARITY):
-        memo = word_hashes()
         self.similarity = similarity
         self.ids, self.bags, prints, known = [], [], [], {}
-        self.sizes: set[int] = set()
         for ident, text in items:
             words = spaced_words(text)
             if not words:
                 continue
             length = min(LENGTH, len(words))
-            h = shingle_hashes(np.array([memo[w] for w in words], np.uint64), length)
-            known.setdefault(length, []).append(h)
-            self.sizes.add(len(words))
+            h = shingle_hashes(word_hashes(words), length)
+            known.setdefault(length, []).append((h, np.full(len(h), len(words))))
             self.ids.append(ident)
             self.bags.append(bag(words, length))
             prints.append(window_fingerprints(h, np.zeros(1, np.int64), len(h))[0])
         self.prints = np.array(prints, np.uint64)
-        self.known = {k: np.unique(np.concatenate(v)) for k, v in known.items()}
+        # By shingle length: the items' shingles, the sizes of the items that have each, where each one's sizes begin.
+        self.known = {k: sizes_by_shingle(*map(np.concatenate, zip(*v))) for k, v in known.items()}
         # For each block of bits, the items in order of their value there and where each value begins.
         self.blocks = []
         for b in range(BLOCKS):
@@ -104,58 +110,75 @@ class Items:
     def block(prints: np.ndarray, b: int) -> np.ndarray:
         return ((prints >> np.uint64(b * WIDTH)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
 
-    def near(self, print_: np.uint64) -> np.ndarray:
-        """All items within ``RADIUS`` bits of a fingerprint."""
-        found = []
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) of all pairs within ``RADIUS`` bits, in order."""
+        pairs = []
         for b, (order, begin) in enumerate(self.blocks):
-            keys = self.block(np.array([print_]), b) ^ FLIPS
-            filled = keys[begin[keys] < begin[keys + 1]]
-            found += [order[begin[k] : begin[k + 1]] for k in filled]
-        items = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        return items[np.bitwise_count(self.prints[items] ^ print_) <= RADIUS]
-
-    def search(self, words: list[bytes], memo: Memo) -> dict[int, tuple[float, int, int, int]]:
+            keys = (self.block(prints, b)[:, None] ^ FLIPS).reshape(-1)
+            first, many = begin[keys], begin[keys + 1] - begin[keys]
+            filled = np.nonzero(many)[0]
+            window = np.repeat(filled // len(FLIPS), many[filled])
+            # Places 0, 1, ... within each filled key.
+            inside = np.arange(len(window)) - np.repeat(np.cumsum(many[filled]) - many[filled], many[filled])
+            item = order[np.repeat(first[filled], many[filled]) + inside]
+            close = np.bitwise_count(self.prints[item] ^ prints[window]) <= RADIUS
+            pairs.append(window[close] * len(self.prints) + item[close])
+        found = np.unique(np.concatenate(pairs))
+        return found // len(self.prints), found % len(self.prints)
+
+    def search(self, words: list[bytes]) -> dict[int, tuple[float, int, int, int]]:
         """item: (similarity, bits apart, first word, words) of the most similar window, the first of equal ones.
 
-        A window can only be similar enough if nearly all its shingles are
-        shingles of items, so only such windows are fingerprinted; each of those
-        is, for every item size.
+        A window can only be similar enough to an item of its size if nearly all
+        its shingles are shingles of such items, so only such windows are
+        fingerprinted.
         """
         best: dict[int, tuple[float, int, int, int]] = {}
-        hashed = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        for length, known in self.known.items():
+        hashed = word_hashes(words)
+        for length, (known, sizes, begin) in self.known.items():
             h = shingle_hashes(hashed, length)
             if not len(h):
                 continue
             at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hits = np.zeros(len(h) + 1, np.int64)
-            np.cumsum(known[at] == h, out=hits[1:])
-            if not hits[-1]:
+            places = np.nonzero(known[at] == h)[0]
+            if not len(places):
                 continue
-            for size in self.sizes:
+            at = at[places]
+            many = begin[at + 1] - begin[at]
+            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            size_at, place_at = sizes[np.repeat(begin[at], many) + inside], np.repeat(places, many)
+            for size in np.unique(size_at).tolist():
                 n = size - length + 1
-                if min(LENGTH, size) != length or n > len(h):
+                if n > len(h):
                     continue
+                hits = np.zeros(len(h) + 1, np.int64)
+                hits[place_at[size_at == size] + 1] = 1
+                np.cumsum(hits, out=hits)
                 # Both bags hold n shingles, so similarity s needs 2ns / (1 + s) of them in common.
                 need = 2 * n * self.similarity / (1 + self.similarity)
                 starts = np.nonzero(hits[n:] - hits[:-n] >= need - 1e-9)[0]
                 if not len(starts):
                     continue
-                for start, print_ in zip(starts.tolist(), window_fingerprints(h, starts, n)):
-                    window = None
-                    for item in self.near(print_).tolist():
-                        if item in best and best[item][0] == 1.0:
-                            continue
-                        window = window or bag(words[start : start + size], length)
-                        alike = weighted_similarity(window, self.bags[item])
-                        if alike >= self.similarity:
-                            bits = int(np.bitwise_count(self.prints[item] ^ print_))
-                            row = (alike, bits, start, size)
-                            if item not in best or (-alike, start) < (-best[item][0], best[item][2]):
-                                best[item] = row
+                for i in range(0, len(starts), SEARCHED):
+                    at = starts[i : i + SEARCHED]
+                    self._verify(words, at, window_fingerprints(h, at, n), size, length, best)
         return best
 
 
+    def _verify(self, words, starts, prints, size: int, length: int, best: dict) -> None:
+        """Keep each item's most similar window by the exact check."""
+        held, bag_of = None, None
+        for window, item in zip(*(x.tolist() for x in self.near(prints))):
+            if item in best and best[item][0] == 1.0:
+                continue
+            start = int(starts[window])
+            if held != window:
+                held, bag_of = window, bag(words[start : start + size], length)
+            alike = weighted_similarity(bag_of, self.bags[item])
+            if alike >= self.similarity and (item not in best or (-alike, start) < (-best[item][0], best[item][2])):
+                best[item] = (alike, int(np.bitwise_count(self.prints[item] ^ prints[window])), start, size)
+
+
 def item_blocks(items: DataFrame, ident: str, text: str, most: int = ITEM_BYTES) -> list[list[tuple[object, bytes]]]:
     """Items in blocks of bounded size, each collected by itself: their total decides how many passes are made."""
     kept = items.where(F.col(text).isNotNull()).select(F.col(ident).alias("ident"), F.encode(text, "UTF-8").alias("text"))
@@ -190,9 +213,9 @@ def leaks(
 
     def search_with(shared):
         def search(batch: pa.RecordBatch) -> pa.RecordBatch:
-            index, memo, rows, places = shared.value, word_hashes(), [], []
+            index, rows, places = shared.value, [], []
             for place, t in enumerate(utf8(batch.column(1))):
-                for i, found in sorted(index.search(spaced_words(t), memo).items()):
+                for i, found in sorted(index.search(spaced_words(t)).items()):
                     rows.append((index.ids[i], *found))
                     places.append(place)
             columns = list(zip(*rows)) or [[]] * 5
@@ -220,9 +243,8 @@ def without_leaks(docs: DataFrame, items: DataFrame, item: str = "item_id", text
         shared = docs.sparkSession.sparkContext.broadcast(Items(block, similarity))
 
         def clean(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            memo = word_hashes()
             return batch.filter(
-                pa.array([not shared.value.search(spaced_words(t), memo) for t in utf8(batch.column(place))], pa.bool_())
+                pa.array([not shared.value.search(spaced_words(t)) for t in utf8(batch.column(place))], pa.bool_())
             )
 
         docs = map_batches(docs, clean, docs.schema)
