@@ -27,13 +27,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of several rows with that id, and in a group without any id, the first row
     stays. ``docs`` has to be a stored table, whose rows keep their places.
     """
-    placed = docs.withColumn(PLACE, F.monotonically_increasing_id())
+    place = "_place"
+    while place in docs.columns:
+        place += "_"
+    placed = docs.withColumn(place, F.monotonically_increasing_id())
     # A row's id for the operator: rows without a doc_id come last, repeated ones by their place.
-    row = F.struct(F.isnull("doc_id").alias("missing"), "doc_id", F.col(PLACE).alias("place"))
+    row = F.struct(F.isnull("doc_id").alias("missing"), "doc_id", F.col(place).alias("place"))
     groups = near_duplicates(placed.select(row.alias("row"), "text"), "row", length=3, radius=2)
-    kept = groups.where("row = component_id").select(F.col("row.place").alias(PLACE))
+    kept = groups.where("row = component_id").select(F.col("row.place").alias(place))
     # Only the narrow side is hashed, so texts are moved once and not sorted.
-    return placed.join(kept.hint("shuffle_hash"), PLACE, "left_semi").drop(PLACE)
+    return placed.join(kept.hint("shuffle_hash"), place, "left_semi").drop(place)
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +49,6 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=4096, end=2)
 
 
-# A column name that documents do not have.
-PLACE = "_pipeline_place"
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", clean_of_toxicity),
