@@ -7,25 +7,35 @@ import zlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from pathlib import Path
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.common import map_batches, rank_within
 from surveyloom.session import ship_package, store
 
-# Bytes of text whose new words are encoded together, and words remembered between them.
-TEXT_BYTES = 4 << 20
+# Characters of text whose new pre-tokens are encoded together, and pre-tokens remembered between them.
+TEXT_CHARS = 4 << 20
 REMEMBERED = 400_000
+# Pre-tokens encoded in one string.
+JOINED = 1000
+# The tokenizer's pre-tokens and the mark at their end.
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+END = "</w>"
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, each white-space-free stretch encoded once.
+    """Token ids of texts as little-endian unsigned 32-bit bytes, each distinct pre-token encoded once.
 
-    Only for tokenizers that treat white space as nothing but a boundary, as
-    those that drop it do; then a text's ids are its stretches' ids in order.
+    For tokenizers that compose (NFC) and lower-case a text, drop white space,
+    split it by ``PRE_TOKEN`` and end every pre-token with a token marked
+    ``END``. White space is then nothing but a boundary, and many pre-tokens can
+    be encoded in one string and told apart by their ends. Texts with special
+    strings, or not composed, are encoded as they stand.
     """
 
     def __init__(self, definition: str):
@@ -33,18 +43,45 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {"": b""}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END)]] = True
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*pieces).difference(self.known)
+        parts = list(map(self._parts, texts))
+        new = set().union(*filter(None, parts)).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = set().union(*pieces) - {""}
-        words = list(new)
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+            self.known = {}
+            new = set().union(*filter(None, parts))
+        self._learn(list(new))
+        return [
+            self._one(text) if found is None else b"".join(map(self.known.__getitem__, found))
+            for text, found in zip(texts, parts)
+        ]
+
+    def _parts(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text; None if it has to be encoded as it stands."""
+        # Letters one at a time, as the tokenizer does it; only this one depends on its neighbours in Python.
+        lower = "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
+        if any(s in text for s in self.special) or not (is_normalized("NFC", text) and is_normalized("NFC", lower)):
+            return None
+        return PRE_TOKEN.findall(lower)
+
+    def _learn(self, parts: list[str]) -> None:
+        for i in range(0, len(parts), JOINED):
+            group = parts[i : i + JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
+            after = np.nonzero(self.ends[ids])[0] + 1
+            if len(after) == len(group) and after[-1] == len(ids):
+                raw = ids.tobytes()
+                bounds = [0, *(4 * after).tolist()]
+                self.known.update((p, raw[a:b]) for p, a, b in zip(group, bounds, bounds[1:]))
+            else:
+                self.known.update((p, self._one(p)) for p in group)
+
+    def _one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
@@ -139,7 +176,7 @@ def pieces(df: DataFrame, tokenizer: str, ident: str, text: str, size: int, end:
             first = 0
             while first < len(texts):
                 last, held = first, 0
-                while last < len(texts) and held < TEXT_BYTES:
+                while last < len(texts) and held < TEXT_CHARS:
                     held += len(texts[last])
                     last += 1
                 rows = []
@@ -162,7 +199,7 @@ def pieces(df: DataFrame, tokenizer: str, ident: str, text: str, size: int, end:
 def pack(df: DataFrame, tokenizer: str, ident: str = "doc_id", text: str = "text", size: int = 4096, end: int = 2) -> DataFrame:
     """(ident, start, length, ids_crc32, doc_tokens, sequence_id, offset): a row for each piece of a document.
 
-    ``tokenizer`` is the path of a tokenizer file that drops white space. A
+    ``tokenizer`` is the path of a tokenizer file as :class:`Encoder` takes it. A
     document of more than ``size`` ids is cut into full pieces and a rest. The
     histogram of piece lengths, ``size`` numbers at most, decides the patterns;
     a piece finds its pattern by its rank among the pieces of its length.
