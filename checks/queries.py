@@ -160,9 +160,11 @@ def blocks(spark, d):
 
 @query
 def parse_column_id(spark, d):
-    return V.part_columns(spark, d).select("survey_id", "column_id", C.parse_column_id(F.col("column_id")).alias("p")).select(
+    parts = V.part_columns(spark, d).select("survey_id", "column_id", C.parse_column_id(F.col("column_id")).alias("p")).select(
         "survey_id", "column_id", "p.*"
     )
+    # The SQL has integers; a number beyond them ends the query.
+    return parts.select(*[F.col(c).cast("int").alias(c) if t == "bigint" else c for c, t in parts.dtypes])
 
 
 @query

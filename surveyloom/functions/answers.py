@@ -13,8 +13,11 @@ ANSWER_TYPE = "struct<column_id:string,kind:string,items:array<string>,num:doubl
 NULL_CODE = "NULL"
 
 # Fixed value: characters that count as digits - decimal digits of every
-# script, plus superscript and subscript ones.
-DIGITS = r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
+# script, superscript and subscript ones, and circled, bracketed, dotted and dingbat ones.
+DIGITS = (
+    r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉\x{1369}-\x{1371}\x{19DA}①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒"
+    r"\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}]+$"
+)
 
 
 def is_digits(text: Column) -> Column:
@@ -42,8 +45,12 @@ def answer_text(answer: Column) -> Column:
 
 
 def whole_number_text(number: Column) -> Column:
-    """``3.7`` -> ``'3'``: cut toward zero, then written as text."""
-    return number.cast("bigint").cast("string")
+    """``3.7`` -> ``'3'``: cut toward zero, then written as text.
+
+    A number of more than 38 digits, or none at all, counts as given without a code.
+    """
+    beyond = number.try_cast("decimal(38,0)")  # whole already
+    return F.coalesce(number.try_cast("bigint").cast("string"), beyond.cast("string"), F.lit(NULL_CODE))
 
 
 def codes(answer: Column) -> Column:

@@ -23,7 +23,7 @@ def _part(column_id: Column, group: int) -> Column:
 
 
 def _int(text: Column) -> Column:
-    return F.coalesce(F.when(text.rlike(r"^\d+$"), text).try_cast("int"), F.lit(0))
+    return F.coalesce(F.when(text.rlike(r"^\d+$"), text).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def base_qid(column_id: Column) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# How Spark's readers treat a broken document: end the job, rather than leave it out in silence.
+STRICT = "FAILFAST"
+
 
 def json_field(text: Column, path: str, data_type: str = "string") -> Column:
     """Value at ``path``; null where the path, or the text itself, is absent or malformed."""

@@ -6,16 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from surveyloom.operators.filters import literal_time
+
 CONTACT_ID = "contact_id"
 
 
-def contacts_upsert(contacts: DataFrame, updates: DataFrame, key: str = CONTACT_ID) -> DataFrame:
-    """Contacts after partial updates; several updates of one contact must be merged before.
+def contacts_upsert(
+    contacts: DataFrame, updates: DataFrame, key: str = CONTACT_ID, order: str | None = None
+) -> DataFrame:
+    """Contacts after partial updates; several updates of one contact are merged first.
 
-    An attribute the update leaves null keeps its stored value; map attributes
+    ``order`` is the column of ``updates`` that says which came later; without
+    it the larger value of an attribute wins. An attribute the update leaves null keeps its stored value; map attributes
     (embedded data) are merged key by key, the update winning. Updates of
     unknown contacts are added.
     """
+    updates = latest_updates(updates, order, key)
     joined = contacts.alias("old").join(updates.alias("new"), key, "full_outer")
     columns: list[Column] = [F.col(key)]
     for field in contacts.schema.fields:
@@ -37,11 +43,41 @@ def _merged_map(old: Column, new: Column) -> Column:
     return F.coalesce(F.map_concat(kept, new), new, old)
 
 
-def latest_updates(updates: DataFrame, order: str, key: str = CONTACT_ID) -> DataFrame:
-    """Several partial updates of one contact as one: per attribute the last one given."""
-    rest = [c for c in updates.columns if c not in (key, order)]
-    return updates.groupBy(key).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in rest]
+def latest_updates(updates: DataFrame, order: str | None = None, key: str = CONTACT_ID) -> DataFrame:
+    """Several partial updates of one contact as one: per attribute, and per key of a map, the last one given.
+
+    Without ``order`` the largest is taken. Equal order goes by the value, so
+    the result does not depend on the rows' places.
+    """
+    columns = []
+    for field in updates.schema.fields:
+        name = field.name
+        if name in (key, order):
+            continue
+        when = F.lit(0) if order is None else F.col(order)
+        if isinstance(field.dataType, T.MapType):
+            columns.append(_last_of_each_key(F.col(name), when).alias(name))
+        else:
+            given = F.when(F.col(name).isNotNull(), F.struct(when.alias("at"), F.col(name).alias("value")))
+            columns.append(F.max(given)["value"].alias(name))
+    return updates.groupBy(key).agg(*columns)
+
+
+def _last_of_each_key(entries: Column, when: Column) -> Column:
+    """Merge a group's maps in order. A contact's own updates are few, so they are gathered."""
+    given = F.when(
+        entries.isNotNull(),
+        F.struct(when.alias("at"), F.sort_array(F.map_entries(entries)).alias("entries"), entries.alias("map")),
+    )
+    in_order = F.array_sort(
+        F.collect_list(given),
+        lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1)
+        .when(a["entries"] < b["entries"], -1).when(a["entries"] > b["entries"], 1).otherwise(0),
+    )
+    first = F.get(in_order, F.lit(0))["map"]
+    return F.when(
+        F.size(in_order) > 0,
+        F.aggregate(in_order, first, lambda merged, u: _merged_map(merged, u["map"])),
     )
 
 
@@ -49,9 +85,17 @@ def contacts_delete(contacts: DataFrame, ids: DataFrame, key: str = CONTACT_ID)
     return contacts.join(ids.select(key), key, "left_anti")
 
 
+def _bound(rows: DataFrame, column: str, value) -> Column:
+    """A bound in the type of its column; for times it may have a zone."""
+    kind = rows.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return literal_time(rows, column, value)
+    return F.lit(value).cast(kind)
+
+
 def since_filter(contacts: DataFrame, column: str, since=None) -> DataFrame:
     """Contacts whose bounce or opt-out is not before ``since``; all of them without it."""
-    return contacts if since is None else contacts.filter(F.col(column) >= F.lit(since).cast(contacts.schema[column].dataType))
+    return contacts if since is None else contacts.filter(F.col(column) >= _bound(contacts, column, since))
 
 
 def distribution_filter(
@@ -64,13 +108,12 @@ def distribution_filter(
 ) -> DataFrame:
     """Distributions of a survey; each filter applies only if given, bounds are included."""
     kept = F.col("survey_id") == survey_id
-    sent = distributions.schema["send_date"].dataType
     if request_type is not None:
         kept = kept & (F.col("request_type") == request_type)
     if mailing_list_id is not None:
         kept = kept & (F.col("mailing_list_id") == mailing_list_id)
     if send_start is not None:
-        kept = kept & (F.col("send_date") >= F.lit(send_start).cast(sent))
+        kept = kept & (F.col("send_date") >= _bound(distributions, "send_date", send_start))
     if send_end is not None:
-        kept = kept & (F.col("send_date") <= F.lit(send_end).cast(sent))
+        kept = kept & (F.col("send_date") <= _bound(distributions, "send_date", send_end))
     return distributions.filter(kept)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +21,15 @@ SPREAD = 16
 def literal_time(df: DataFrame, column: str, value: str | date | datetime) -> Column:
     """A UTC instant in the type of the column it is compared with.
 
-    A plain date means midnight.
+    A plain date means midnight; a bound without a zone is UTC.
     """
-    text = F.lit(str(value))
+    at = value if isinstance(value, datetime) else datetime.fromisoformat(str(value))
+    if at.tzinfo is None:
+        at = at.replace(tzinfo=timezone.utc)
+    text = at.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        return text.cast("timestamp_ntz")
-    return F.to_timestamp(F.concat(text, F.lit(" 00:00:00" if len(str(value)) == 10 else ""), F.lit("Z")))
+        return F.lit(text).cast("timestamp_ntz")
+    return F.to_timestamp(F.lit(text + "Z"))
 
 
 def drop_preview(responses: DataFrame, channel: str = "channel") -> DataFrame:

@@ -15,20 +15,14 @@ Comparing all pairs is avoided in three steps that never lose the best one:
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scores import FIRST_WEIGHT, LAST_WEIGHT
 from surveyloom.operators.matching import COHORTS, NAME, PAIRS
-from surveyloom.session import checkpoint
-
-# Executors get the cell function itself, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from surveyloom.session import checkpoint, ship_package
 
 # Names per side in one cell.
 LEFT_ROWS = 50_000
@@ -43,6 +37,8 @@ FIRST_SCORES_KEPT = 512
 
 # ``pair`` tells apart several pairs of groups that are matched in one run.
 PERSON = ["pair", *NAME]
+# What decides the cells that a left name can find something in.
+PROFILE = ["pair", "_v", "_o", "known"]
 CELL = ["pair", "vowels", "others", "right_block", "left_block"]
 CELL_SCHEMA = (
     "pair string, first string, last string, score double, "
@@ -105,33 +101,41 @@ def _fresh(columns: list[str]) -> list[Column]:
     return [F.col(c).alias(c) for c in columns]
 
 
-def _left_cells(left: DataFrame, layout: DataFrame, largest, n_left_blocks: int) -> DataFrame:
-    """Left names, once for every right cell that may hold something good enough."""
-    vowels, others = _profile(F.col("last"))
-    spread = (
-        left.withColumns({"_v": vowels, "_o": others, "left_block": _block_of(F.lit(n_left_blocks))})
-        .withColumn("vowels", F.explode(F.sequence(F.lit(0), F.lit(largest["vowels"]))))
-        .withColumn("others", F.explode(F.sequence(F.lit(0), F.lit(largest["others"]))))
-    )
+def _meetings(left: DataFrame, layout: DataFrame, left_rows: int) -> DataFrame:
+    """Which profiles of left names go to which right cells, and into how many blocks each side is split.
+
+    Worked out on the profiles that exist, which are few, never on the names.
+    """
+    profiles = left.groupBy(*PROFILE).agg(F.count("*").alias("n"))
     common = F.least("_v", "vowels") + F.least("_o", "others")
     total = F.col("_v") + F.col("_o") + F.col("vowels") + F.col("others")
     bound = F.when(total == 0, F.lit(100.0)).otherwise(F.rint(F.lit(200.0) * common / total))
     reachable = bound * LAST_WEIGHT + 100 * FIRST_WEIGHT + SLACK >= F.col("known")
+    met = checkpoint(profiles.join(layout, "pair").filter(reachable))
+    cell = ["pair", "vowels", "others"]
+    blocks = met.groupBy(*cell).agg(F.ceil(F.sum("n") / left_rows).cast("int").alias("n_left_blocks"))
+    return met.drop("n").join(blocks, cell)
+
+
+def _left_cells(left: DataFrame, meetings: DataFrame) -> DataFrame:
+    """Left names, once for every right block that may hold something good enough."""
     return (
-        spread.filter(reachable)
-        .join(layout, ["pair", "vowels", "others"])
+        left.join(meetings, PROFILE)
+        .withColumn("left_block", _block_of(F.col("n_left_blocks")))
         .withColumn("right_block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .select(*_fresh([*CELL, *NAME, "known"]))
     )
 
 
-def _right_cells(right: DataFrame, layout: DataFrame, n_left_blocks: int) -> DataFrame:
+def _right_cells(right: DataFrame, meetings: DataFrame) -> DataFrame:
+    """Right names of the cells that are met, once for every left block of the cell."""
     vowels, others = _profile(F.col("last"))
+    cells = meetings.select("pair", "vowels", "others", "n_blocks", "n_left_blocks").distinct()
     return (
         right.withColumns({"vowels": vowels, "others": others})
-        .join(layout, ["pair", "vowels", "others"])
+        .join(cells, ["pair", "vowels", "others"])
         .withColumn("right_block", _block_of(F.col("n_blocks")))
-        .withColumn("left_block", F.explode(F.sequence(F.lit(0), F.lit(n_left_blocks - 1))))
+        .withColumn("left_block", F.explode(F.sequence(F.lit(0), F.col("n_left_blocks") - 1)))
         .select(*_fresh([*CELL, *NAME, "right_id"]))
     )
 
@@ -233,18 +237,14 @@ def best_names(
         right_names.groupBy("pair", vowels.alias("vowels"), others.alias("others"))
         .agg(F.ceil(F.count("*") / right_rows).cast("int").alias("n_blocks"))
     )
-    largest = layout.agg(
-        F.coalesce(F.max("vowels"), F.lit(-1)).alias("vowels"),
-        F.coalesce(F.max("others"), F.lit(-1)).alias("others"),
-    ).first()
-    if largest["vowels"] < 0:
-        return _no_names(left)
-    n_left_blocks = max(1, -(-left_names.count() // left_rows))
-    scored = left_names.join(known_scores(left_names, right_names), PERSON, "left").fillna(-1.0, ["known"])
+    ship_package(left.sparkSession)
+    known = left_names.join(known_scores(left_names, right_names), PERSON, "left").fillna(-1.0, ["known"])
+    scored = checkpoint(known.withColumns(dict(zip(("_v", "_o"), (vowels, others)))))
+    meetings = _meetings(scored, layout, left_rows)
     cells = (
-        _left_cells(scored, layout, largest, n_left_blocks)
+        _left_cells(scored, meetings)
         .groupBy(*CELL)
-        .cogroup(_right_cells(right_names, layout, n_left_blocks).groupBy(*CELL))
+        .cogroup(_right_cells(right_names, meetings).groupBy(*CELL))
         .applyInPandas(lambda l, r: best_in_cell(l, r), CELL_SCHEMA)
     )
     best = F.min(
@@ -255,10 +255,6 @@ def best_names(
     )
 
 
-def _no_names(like: DataFrame) -> DataFrame:
-    return like.sparkSession.createDataFrame([], CELL_SCHEMA)
-
-
 def _best_of(left: DataFrame, right: DataFrame, **sizes: int) -> DataFrame:
     """Left people with their best right one: ``(pair, response_id, first, last, b_*)``."""
     best = best_names(left, right, **sizes)

@@ -6,6 +6,8 @@ People rows are ``(response_id, first, last, cohort, recorded_at, marker, ...)``
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,21 +65,21 @@ def drop_test_names(
         return kept
     if isinstance(excluded, DataFrame):
         return kept.join(excluded.select(*NAME), NAME, "left_anti")
-    # Cleaned names hold letters and blanks only.
+    # Cleaned names hold letters and blanks only, so the bar tells the two apart.
     return kept.filter(~F.concat_ws("|", *NAME).isin(["|".join(pair) for pair in excluded]))
 
 
 def latest_valid_per_name(people: DataFrame, keys: Sequence[str] = ("cohort", "first", "last")) -> DataFrame:
     """One row per name: the latest with a marker answer, else the latest at all.
 
-    Kept as a maximum, which is combined before the shuffle, so a name that
-    many rows share is no hot spot. Equal dates are settled by response id.
+    Kept as a maximum over narrow columns, which is combined before the
+    shuffle, so a name that many rows share is no hot spot. Equal dates are
+    settled by response id, which a name has once.
     """
-    rest = [c for c in people.columns if c not in keys]
-    best = F.max_by(
-        F.struct(*rest), F.struct(F.col("marker"), F.col("recorded_at"), F.col("response_id"))
-    )
-    return people.groupBy(*keys).agg(best.alias("row")).select(*keys, "row.*").select(*people.columns)
+    order = F.struct(F.col("marker"), F.col("recorded_at"), F.col("response_id"))
+    best = people.groupBy(*keys).agg(F.max(order)["response_id"].alias("response_id"))
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, "response_id")]
+    return people.alias("p").join(best.alias("b"), reduce(and_, same), "left_semi").select(*people.columns)
 
 
 def cohort(people: DataFrame, name: str) -> DataFrame:

@@ -204,15 +204,22 @@ def question_tables(
     return classify_data_type(question_dictionary(columns, definitions), choices), choices
 
 
+def _sortable(number: Column) -> Column:
+    return F.when(F.length(number) > 6, F.concat(F.lit(":"), F.lpad(number, 19, "0"))).otherwise(
+        F.lpad(number, 6, "0")
+    )
+
+
 def order_by_block(questions: DataFrame, blocks: DataFrame) -> DataFrame:
     """Questions in block order; a block entry without columns stays, with nulls.
 
     ``flow_pos`` is a sortable text of block, element and column position, so
-    no survey has to be numbered in one place.
+    no survey has to be numbered in one place. Numbers take six digits; longer
+    ones take nineteen after a colon, which sorts behind all digits.
     """
     placed = blocks.join(questions, ["survey_id", "base_qid"], "left")
     parts = [
-        F.lpad(F.coalesce(F.col(c), F.lit(0)).cast("string"), 6, "0")
+        _sortable(F.coalesce(F.col(c), F.lit(0)).cast("string"))
         for c in ("block_pos", "element_pos", "sub_no", "loop_no")
     ]
     return placed.withColumn("flow_pos", F.concat_ws(".", *parts))

@@ -6,24 +6,20 @@ Python callable on a batch of texts, or a table ``(source, target)``.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.text import clean_text, remove_emojis
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from surveyloom.session import ship_package, store
 
 ERROR = "error"
 # A batch translator gets a list of texts and returns as many results; a result
 # of None, or an exception for the batch, means failure.
 Translator = Callable[[Sequence[str]], Sequence[str | None]]
 
-CALL_TASKS = 64
 
 
 def clean_texts(texts: DataFrame, text: str = "text", exact: bool = False) -> DataFrame:
@@ -55,11 +51,12 @@ def distinct_texts(texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def call_translator(
-    sources: DataFrame, translator: Translator, tasks: int = CALL_TASKS
+    sources: DataFrame, translator: Translator, tasks: int | None = None
 ) -> DataFrame:
     """``(source, target)`` by calling the translator with batches of distinct texts.
 
-    ``target`` is null where it failed. A batch that raises is tried text by
+    ``tasks`` is how many tasks call at a time at most, for services that bear
+    no more; without it Spark's shuffle settings decide. ``target`` is null where it failed. A batch that raises is tried text by
     text, so one bad text costs no other.
     """
     def one(text: str) -> str | None:
@@ -79,30 +76,42 @@ def call_translator(
                 targets = [one(text) for text in texts]
             yield pd.DataFrame({"source": texts, "target": pd.Series(targets, dtype="object")})
 
-    return sources.repartition(tasks, "source").mapInPandas(batches, "source string, target string")
+    ship_package(sources.sparkSession)
+    dealt = sources.repartition("source") if tasks is None else sources.repartition(tasks, "source")
+    return dealt.mapInPandas(batches, "source string, target string")
+
 
+def translations(
+    texts: DataFrame, translator: Translator | DataFrame, text: str = "text", tasks: int | None = None
+) -> DataFrame:
+    """``(source, target)`` from a callable or a translation table.
 
-def translations(texts: DataFrame, translator: Translator | DataFrame, text: str = "text") -> DataFrame:
-    """``(source, target)`` from a callable or a translation table."""
+    What a callable gives is stored, so that a repeated task calls it no second time.
+    """
     if isinstance(translator, DataFrame):
         return translator.select("source", "target").groupBy("source").agg(F.min("target").alias("target"))
-    return call_translator(distinct_texts(texts, text), translator)
+    return store(call_translator(distinct_texts(texts, text), translator, tasks), "translations")
 
 
 def translate_columns(
-    texts: DataFrame, translator: Translator | DataFrame, text: str = "text"
+    texts: DataFrame, translator: Translator | DataFrame, text: str = "text", tasks: int | None = None
 ) -> DataFrame:
     """Add ``<text>_translated`` and ``<text>_error`` right after the text.
 
     Missing and blank texts pass through. A failure keeps the text and is
-    marked ``error``.
+    marked ``error``. Texts are joined by a hash and compared, and those that
+    need no translation stay out of the join.
     """
-    known = translations(texts, translator, text)
+    known = translations(texts, translator, text, tasks).withColumn("_hash", F.xxhash64("source"))
     needed = F.coalesce(_has_text(F.col(text)), F.lit(False))
     failed = needed & F.col("target").isNull()
     before = texts.columns[: texts.columns.index(text) + 1]
     after = texts.columns[len(before):]
-    return texts.join(known, F.when(needed, F.col(text)) == F.col("source"), "left").select(
+    hashed = texts.where(needed).withColumn("_hash", F.xxhash64(text)).alias("t")
+    same = (F.col("t._hash") == F.col("k._hash")) & (F.col(f"t.{text}") == F.col("k.source"))
+    looked_up = hashed.join(known.alias("k"), same, "left").select("t.*", "k.target").drop("_hash")
+    rest = texts.where(~needed).withColumn("target", F.lit(None).cast("string"))
+    return looked_up.unionByName(rest).select(
         *before,
         F.coalesce("target", text).alias(f"{text}_translated"),
         F.when(failed, ERROR).alias(f"{text}_error"),
@@ -111,11 +120,11 @@ def translate_columns(
 
 
 def translate_replace(
-    texts: DataFrame, translator: Translator | DataFrame, text: str = "text"
+    texts: DataFrame, translator: Translator | DataFrame, text: str = "text", tasks: int | None = None
 ) -> DataFrame:
     """The text replaced by its translation where there is one."""
     return (
-        translate_columns(texts, translator, text)
+        translate_columns(texts, translator, text, tasks)
         .withColumn(text, F.col(f"{text}_translated"))
         .select(*texts.columns)
     )

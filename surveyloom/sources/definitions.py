@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.json import STRICT
 from surveyloom.functions.text import strip_html
 
 CHOICE = "struct<recode:string,choiceText:string,imageDescription:string>"
@@ -35,20 +36,23 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parse_definitions(documents: DataFrame) -> DataFrame:
-    """``(survey_id, document)`` -> ``(survey_id, questions, blocks, flow)``, parsed once."""
+def parse_definitions(documents: DataFrame, mode: str = STRICT) -> DataFrame:
+    """``(survey_id, document)`` -> ``(survey_id, questions, blocks, flow)``, parsed once.
+
+    A broken document ends the job; with ``mode="PERMISSIVE"`` it is passed over.
+    """
     return documents.select(
-        "survey_id", F.from_json("document", DEFINITION)["result"].alias("result")
+        "survey_id", F.from_json("document", DEFINITION, {"mode": mode})["result"].alias("result")
     ).select("survey_id", "result.*")
 
 
-def read_definitions(documents: DataFrame) -> DataFrame:
+def read_definitions(documents: DataFrame, mode: str = STRICT) -> DataFrame:
     """One row per question: ``(survey_id, base_qid, question)``.
 
     Tags are taken out of the question text and of the choices; the text is
     trimmed as well.
     """
-    rows = parse_definitions(documents).select(
+    rows = parse_definitions(documents, mode).select(
         "survey_id", F.explode("questions").alias("base_qid", "raw")
     )
     raw = F.col("raw")
@@ -68,11 +72,11 @@ def read_definitions(documents: DataFrame) -> DataFrame:
     )
 
 
-def choice_orders(full_documents: DataFrame) -> DataFrame:
+def choice_orders(full_documents: DataFrame, mode: str = STRICT) -> DataFrame:
     """``(survey_id, base_qid, choice_order)`` from the full definition documents."""
     parsed = full_documents.select(
         "survey_id",
-        F.explode(F.from_json("document", FULL_DEFINITION)["result"]["Questions"]).alias(
+        F.explode(F.from_json("document", FULL_DEFINITION, {"mode": mode})["result"]["Questions"]).alias(
             "base_qid", "q"
         ),
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions import columns as C
 from surveyloom.functions.answers import ANSWER_TYPE
+from surveyloom.functions.json import STRICT
 
 EXPORT_SCHEMA = "struct<responses:array<struct<responseId:string,values:string>>>"
 RESPONSE_SCHEMA = "struct<responseId:string,values:string>"
@@ -36,34 +37,39 @@ def utc_timestamp(text: Column) -> Column:
     )
 
 
-def read_export_files(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+def read_export_files(
+    spark: SparkSession, path: str, one_per_line: bool = False, mode: str = STRICT
+) -> DataFrame:
     """Landed export files as ``(file, responseId, values)``.
 
     ``one_per_line`` reads the line-delimited export format, which Spark splits
     across tasks inside a file; a single-document file is parsed by one task,
-    so large surveys should be exported line by line.
+    so large surveys should be exported line by line. A broken document ends
+    the job; with ``mode="PERMISSIVE"`` it is passed over.
     """
     if one_per_line:
         lines = spark.read.text(path)
         parsed = lines.select(
             F.col("_metadata.file_path").alias("file"),
-            F.from_json("value", RESPONSE_SCHEMA).alias("response"),
+            F.from_json("value", RESPONSE_SCHEMA, {"mode": mode}).alias("response"),
         )
         return parsed.select("file", "response.*")
     documents = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("document")
     )
-    return explode_documents(documents, "document")
+    return explode_documents(documents, "document", mode)
 
 
-def explode_documents(documents: DataFrame, column: str) -> DataFrame:
+def explode_documents(documents: DataFrame, column: str, mode: str = STRICT) -> DataFrame:
     """A column of export documents as ``(other columns, responseId, values)``.
 
-    A document without responses gives no row.
+    A document without responses gives no row. A broken one ends the job; with
+    ``mode="PERMISSIVE"`` it is passed over.
     """
     others = [c for c in documents.columns if c != column]
+    parsed = F.from_json(column, EXPORT_SCHEMA, {"mode": mode})
     return documents.select(
-        *others, F.explode(F.from_json(column, EXPORT_SCHEMA)["responses"]).alias("response")
+        *others, F.explode(parsed["responses"]).alias("response")
     ).select(*others, "response.*")
 
 
@@ -92,7 +98,7 @@ def flat_values(values: Column) -> Column:
     """Fields of a JSON object as ``(name, value, shape, asked)``; those of nested objects get dotted names.
 
     One pass per nesting level; the number of opening braces bounds the levels,
-    so a flat object is read once.
+    and a pass that finds no object left changes nothing.
     """
     top = _fields_of(F.from_json(values, "map<string,variant>"))
 
@@ -101,7 +107,8 @@ def flat_values(values: Column) -> Column:
             inner = _fields_of(f["value"].cast("map<string,variant>"), f["name"])
             return F.when(f["shape"].startswith("OBJECT"), inner).otherwise(F.array(f))
 
-        return F.flatten(F.transform(fields, opened))
+        some = F.exists(fields, lambda f: f["shape"].startswith("OBJECT"))
+        return F.when(some, F.flatten(F.transform(fields, opened))).otherwise(fields)
 
     levels = F.length(values) - F.length(F.replace(values, F.lit("{"))) - 1
     return F.when(levels < 1, top).otherwise(
@@ -109,6 +116,16 @@ def flat_values(values: Column) -> Column:
     )
 
 
+def last_of_each(entries: Column, name: str) -> Column:
+    """Entries of a map to be: of several with one name the last stays."""
+    names = F.transform(entries, lambda e: e[name])
+    backwards = F.reverse(names)
+    last = F.filter(
+        entries, lambda e, i: F.array_position(backwards, e[name]) == F.size(names) - i
+    )
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(last)
+
+
 def typed_answers(fields: Column) -> Column:
     """Question fields as answers; JSON nulls are left out.
 
@@ -166,7 +183,7 @@ def responses_from_values(
         known[PROGRESS].try_cast("double").alias("progress"),
         F.map_from_entries(
             F.transform(
-                others,
+                last_of_each(others, "name"),
                 lambda f: F.struct(f["name"], F.try_variant_get(f["value"], "$", "string")),
             )
         ).alias("meta"),
@@ -236,7 +253,7 @@ def wide_responses(responses: DataFrame, column_ids: Sequence[str]) -> DataFrame
     """
     by_column = F.map_from_entries(
         F.transform(
-            "answers",
+            last_of_each(F.col("answers"), "column_id"),
             lambda a: F.struct(
                 a["column_id"],
                 F.coalesce(a["txt"], a["num"].cast("string"), F.to_json(a["items"])),

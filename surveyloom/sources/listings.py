@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.json import STRICT
+
 # The fields each listing carries.
 ENTITIES = {
     "surveys": "id string, name string, ownerId string, lastModified string, isActive boolean",
@@ -37,14 +39,16 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def union_pages(
-    pages: DataFrame, schema: str, page: str = "page", id_field: str | None = None
+    pages: DataFrame, schema: str, page: str = "page", id_field: str | None = None, mode: str = STRICT
 ) -> DataFrame:
     """Elements of all pages as rows; an id that occurs on several pages is kept once.
 
     Pages stand for themselves, so they need no order: following ``nextPage``
-    was the business of whoever landed them.
+    was the business of whoever landed them. A broken page ends the job; with
+    ``mode="PERMISSIVE"`` it is passed over.
     """
-    result = F.from_json(page, f"struct<result:struct<elements:array<struct<{_fields(schema)}>>>>")
+    shape = f"struct<result:struct<elements:array<struct<{_fields(schema)}>>>>"
+    result = F.from_json(page, shape, {"mode": mode})
     others = [c for c in pages.columns if c != page]
     rows = pages.select(*others, F.explode(result["result"]["elements"]).alias("e"))
     elements = rows.select(*others, "e.*") if id_field is None else rows.select("e.*")

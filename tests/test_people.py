@@ -25,6 +25,19 @@ def test_latest_with_marker_wins(spark):
     assert {r["response_id"] for r in kept.collect()} == {"p0002", "p0005"}
 
 
+def test_names_in_other_scripts_stay(spark):
+    rows = [("Иван", "Петров", "pre", 1, True), ("李", "明", "pre", 1, True), ("أحمد", "علي", "pre", 1, True), ("X", "-", "pre", 1, True)]
+    assert sorted(r["response_id"] for r in M.drop_test_names(people(spark, rows)).collect()) == ["p0000", "p0001", "p0002"]
+
+
+def test_one_long_name_makes_no_cells(spark):
+    left = spark.createDataFrame([("", "anna", f"smith{i % 7}", -1.0, 1, 5) for i in range(40)], "pair string, first string, last string, known double, _v int, _o int").distinct()
+    layout = spark.createDataFrame([("", 150, 150, 1), ("", 1, 5, 1)], "pair string, vowels int, others int, n_blocks int")
+    met = fuzzy._meetings(left, layout, 5)
+    assert sorted((r["vowels"], r["others"], r["n_left_blocks"]) for r in met.collect()) == [(1, 5, 2), (150, 150, 2)]
+    assert fuzzy._left_cells(left, met).count() == 14
+
+
 def test_test_names(spark):
     rows = [("X", "Test", "pre", 1, True), ("x", "lopez", "pre", 1, True), ("A", "", "pre", 1, True), ("jane", "roe", "pre", 1, True)]
     kept = M.drop_test_names(people(spark, rows), [("jane", "roe")])

@@ -3,6 +3,8 @@
 import datetime
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from surveyloom.operators import blocks as B
@@ -190,3 +192,34 @@ def test_written_tables_read_back(spark, tmp_path):
         T.write_tables(table, path, format, **({"header": "true"} if format == "csv" else {}))
         back = T.read_table(spark, path, format)
         assert {(r["survey_id"], int(r["n"])) for r in back.collect()} == {("s1", 1), ("s1", 2), ("s2", 3)}
+
+
+BROKEN = '{"responses":[{"responseId":"R","values":{"QID1":1}}'
+
+
+def test_a_broken_export_is_not_left_out_in_silence(spark):
+    documents = spark.createDataFrame([("S", BROKEN), ("S", '{"responses":[{"responseId":"Q","values":{"QID1":1}}]}')], "survey_id string, document string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        E.explode_documents(documents, "document").collect()
+    assert [r["responseId"] for r in E.explode_documents(documents, "document", "PERMISSIVE").collect()] == ["Q"]
+
+
+def test_a_broken_definition_is_not_left_out_in_silence(spark):
+    documents = spark.createDataFrame([("S", '{"result":{"questions":{"QID1":{')], "survey_id string, document string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        D.read_definitions(documents).collect()
+    assert D.read_definitions(documents, "PERMISSIVE").count() == 0
+
+
+def test_a_broken_page_is_not_left_out_in_silence(spark):
+    pages = spark.createDataFrame([('{"result":{"elements":[{"id":"1"',)], "page string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        L.union_pages(pages, "id string").collect()
+    assert L.union_pages(pages, "id string", mode="PERMISSIVE").count() == 0
+
+
+def test_a_name_given_twice_keeps_the_last(spark):
+    values = '{"a.b":1,"a":{"b":2},"QID1_1":3,"text":"' + "{" * 50 + '"}'
+    exported = spark.createDataFrame([("R", values)], "responseId string, values string")
+    row = E.responses_from_values(exported, F.lit("S")).first()
+    assert row["meta"] == {"a.b": "2", "text": "{" * 50} and [a["num"] for a in row["answers"]] == [3.0]

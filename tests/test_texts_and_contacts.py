@@ -2,6 +2,8 @@
 
 import datetime
 
+from pyspark.sql import functions as F
+
 from surveyloom.operators import contacts as K
 from surveyloom.operators import translation as tr
 
@@ -54,6 +56,20 @@ def test_updates_of_one_contact_are_merged(spark):
     assert tuple(K.latest_updates(updates, "at").first()) == ("1", "c", "y")
 
 
+def test_repeated_updates_of_contacts_lose_nothing(spark):
+    schema = "contact_id string, at int, name string, embedded map<string,string>"
+    stored = spark.createDataFrame([("1", "a", {"k": "old"})], "contact_id string, name string, embedded map<string,string>")
+    updates = spark.createDataFrame([("1", 2, None, {"b": "2", "c": "late"}), ("1", 1, "n", {"a": "1", "c": "early"}), ("2", 1, "x", None)], schema)
+    after = {r["contact_id"]: tuple(r)[1:] for r in K.contacts_upsert(stored, updates, order="at").collect()}
+    assert after == {"1": ("n", {"k": "old", "a": "1", "b": "2", "c": "late"}), "2": ("x", None)}
+
+
+def test_bounds_with_zones(spark):
+    rows = spark.createDataFrame([(datetime.datetime(2024, 1, 1, h),) for h in (0, 1, 2)], "send_date timestamp_ntz")
+    assert K.since_filter(rows, "send_date", "2024-01-01T03:00:00+02:00").count() == 2
+    assert K.since_filter(rows.select(F.col("send_date").cast("timestamp")), "send_date", "2024-01-01T01:00:00Z").count() == 2
+
+
 def test_filters_that_are_not_given_do_nothing(spark):
     day = lambda d: datetime.datetime(2024, 1, d)
     rows = spark.createDataFrame([("s", "Invite", "l1", day(1)), ("s", "Reminder", "l2", day(2)), ("t", "Invite", "l1", day(3))],
