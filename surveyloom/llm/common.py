@@ -51,16 +51,23 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 
 
 class Memo(dict):
-    """A bounded cache of ``make(key)``: it is emptied when full, which costs time but changes no result."""
+    """A bounded cache of ``make(key)`` in two generations.
 
-    def __init__(self, make: Callable, most: int = 400_000):
+    When the young one is full it becomes the old one, whose entries come back
+    when they are asked for; what nobody asked for is forgotten. That costs time
+    but changes no result.
+    """
+
+    def __init__(self, make: Callable, most: int = 200_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old[key] if key in self.old else self.make(key)
+        self[key] = value
         return value
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import decontamination, html_text, language_model, licenses, sharding, toxicity
+from surveyloom.llm import decontamination, html_text, language_model, licenses, lookup_clusters, merkle, oracle, prefix_table, sharding, toxicity
 from surveyloom.llm.common import fold
 from surveyloom.llm.near_dedup import near_duplicates
 from surveyloom.llm.neighbours import nearest
@@ -17,8 +17,8 @@ from surveyloom.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-# No operator here can be written as SQL over the tables alone; tests/llm compares each with a plain version.
-ORACLE: dict[str, str] = {}
+# The operators that SQL over the tables can express; tests/llm compares each of the others with a plain version.
+ORACLE: dict[str, str] = {"op11_centroid_clusters": oracle.clusters(), "op13_merkle_manifest": oracle.manifest()}
 
 
 def query(function: Query) -> Query:
@@ -86,3 +86,42 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
+    clustered, centroids = lookup_clusters.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, start=start)
+    spelled = spark.createDataFrame(
+        [(i, ",".join(map(str, c))) for i, c in enumerate(centroids)], "cluster int, components string"
+    )
+    named = spelled.select("cluster", F.sha2("components", 256).alias("centroid_sha256"))
+    return clustered.join(F.broadcast(named), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = prefix_table.decode(prefix_table.encode(table(spark, sf_dir, "documents"), model), model)
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(chosen, lower).otherwise(F.col("text"))
+    return merkle.manifest(
+        documents.select(
+            "doc_id", "lang", merkle.digest(columns).alias("leaf"),
+            merkle.digest([*columns[:-1], tampered]).alias("now"),
+        ),
+        group="lang", key="doc_id", now="now",
+    ).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
