@@ -13,12 +13,16 @@ from __future__ import annotations
 
 import codecs
 import re
+import sys
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +32,12 @@ from surveyloom.session import ship_package
 
 # Segments up to this many characters are remembered; longer ones are encoded where they stand.
 REMEMBERED_CHARS = 48
+# Segments, and pairs of tokens, that a worker remembers.
+REMEMBERED, REMEMBERED_PAIRS = 120_000, 400_000
 # Rows are handed back when they hold this many bytes.
 BATCH_BYTES = 8 << 20
 NEVER = float("inf")
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 def merges(text: str, priority: dict[str, float]) -> tuple[list[str], list[tuple[float, str, str]]]:
@@ -47,13 +54,54 @@ def merges(text: str, priority: dict[str, float]) -> tuple[list[str], list[tuple
     return symbols, steps
 
 
+class Decoder:
+    """Texts of ids."""
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        self.raw = [t.replace(SPACE, " ").encode() for t in model.texts]
+        for i in model.of_kind(BYTE):
+            self.raw[i] = bytes([int(model.texts[i][3:-1], 16)])
+        for i in model.of_kind(UNKNOWN):
+            self.raw[i] = " ⁇ ".encode()  # how the library shows an unknown piece
+        self.controls = np.zeros(len(model.texts), bool)
+        for i in model.of_kind(CONTROL):
+            self.raw[i], self.controls[i] = b"", True
+
+    def decode(self, ids: bytes) -> str:
+        """The text of ids: control ids are dropped, bytes that are not UTF-8 become U+FFFD one by one."""
+        listed = np.frombuffer(ids, "<u4")
+        control = self.controls[listed]
+        # A control id ends a run of bytes, so what stands on both sides is read apart.
+        runs = np.split(listed, np.flatnonzero(control))
+        raw = [b"".join(map(self.raw.__getitem__, run.tolist())) for run in runs]
+        text = "".join([r.decode("utf-8", "one_by_one") for r in raw])
+        first = int(control.argmin()) if len(listed) else 0
+        marked = self.model.dummy_prefix and not control.all() and self.model.texts[listed[first]].startswith(SPACE)
+        return text[1:] if marked else text
+
+
+class Followers(dict):
+    """Whether BPE keeps a token apart from each one that may follow it."""
+
+    def __init__(self, table: PrefixTable, token: str):
+        super().__init__()
+        self.table, self.token = table, token
+
+    def __missing__(self, following: str) -> bool:
+        value = self.table.joins(self.token, following)
+        self.table.count_pair()
+        self[following] = value
+        return value
+
+
 class PrefixTable:
-    """Ids of texts under a BPE model, and texts of ids."""
+    """Ids of texts under a BPE model."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, model: PieceModel):
         import ahocorasick
 
-        self.model = model = PieceModel.read(data)
+        self.model = model
         normal = model.of_kind(NORMAL)
         self.ids = {model.texts[i]: i for i in normal}
         # What is merged first has the smaller number.
@@ -67,43 +115,42 @@ class PrefixTable:
                 self.steps[text] = steps
                 self.automaton.add_word(text, text)
         self.automaton.make_automaton()
-        self.joined = Memo(self._joins, 1_000_000)
-        self.known = Memo(self._segment, 400_000)
+        self.followers = {text: Followers(self, text) for text in self.steps}
+        # The text's beginning and a character without a piece are never merged with.
+        self.anything = defaultdict(lambda: True)
+        self.pairs = 0
+        self.spaced = Memo(lambda word: self._segments(SPACE + word), REMEMBERED)
+        self.known = Memo(self._segments, REMEMBERED)
         byte_ids = {int(model.texts[i][3:-1], 16): i for i in model.of_kind(BYTE)}
         self.byte_ids = [byte_ids[b] for b in range(256)]
-        self.segments = re.compile(self._boundaries())
-        self.raw = [t.replace(SPACE, " ").encode() for t in model.texts]
-        for b, i in byte_ids.items():
-            self.raw[i] = bytes([b])
-        self.controls = np.zeros(len(model.texts), bool)
-        for i in model.of_kind(CONTROL):
-            self.raw[i], self.controls[i] = b"", True
-        for i in model.of_kind(UNKNOWN):
-            self.raw[i] = " ⁇ ".encode()  # how the library shows an unknown piece
-
-    def _boundaries(self) -> str:
-        """A pattern of the segments no piece reaches out of: it cuts before a space after anything else, and around
-        control characters that only stand alone."""
         longer = list(self.priority)
-        if any(a != SPACE and b == SPACE for t in longer for a, b in zip(t, t[1:])):
-            return r"(?s).+"
+        # What stands between two segments is crossed by no piece.
+        self.by_words = not any(a != SPACE and b == SPACE for t in longer for a, b in zip(t, t[1:]))
         apart = "".join(c for c in map(chr, range(32)) if not any(c in t for t in longer))
+        self.by_lines = "\n" in apart
         alone = re.escape(apart)
-        return f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]" if apart else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+        self.cuts = re.compile(
+            (f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]" if apart else f"{SPACE}*[^{SPACE}]+|{SPACE}+") if self.by_words else r"(?s).+"
+        )
 
     # --- pair compatibility ---
 
-    def _joins(self, pair: tuple[str, str]) -> bool:
+    def count_pair(self) -> None:
+        """Forget all pairs when there are too many, which costs time but changes no result."""
+        self.pairs += 1
+        if self.pairs > REMEMBERED_PAIRS:
+            for one in self.followers.values():
+                one.clear()
+            self.pairs = 0
+
+    def joins(self, first: str, second: str) -> bool:
         """Whether BPE keeps two neighbouring tokens apart.
 
         Replays the merges inside both in the order of BPE and looks whether one
-        across the boundary would ever have come first. The text's beginning and
-        a character without a piece are never merged with.
+        across the boundary would ever have come first.
         """
-        if pair[0] not in self.steps:
-            return True
-        left, right = self.steps[pair[0]], self.steps[pair[1]]
-        x, y = pair[0][-1], pair[1][0]
+        left, right = self.steps[first], self.steps[second]
+        x, y = first[-1], second[0]
         i = j = 0
         while True:
             before = left[i][0] if i < len(left) else NEVER
@@ -125,48 +172,53 @@ class PrefixTable:
 
     def last_tokens(self, segment: str) -> list[str]:
         """The last token of each prefix, from the empty one on; a character without a piece is its own token."""
-        last, joined = ["", *segment], self.joined
-        filled = 0
+        last = ["", *segment]
+        follows = [self.anything] * len(last)
+        followers, filled = self.followers, 0
         for end, token in self.automaton.iter(segment):
             end += 1
-            if end != filled and joined[last[end - len(token)], token]:
-                last[end] = token
-                filled = end
+            if end != filled and follows[end - len(token)][token]:
+                last[end], follows[end], filled = token, followers[token], end
         return last
 
-    def _segment(self, segment: str) -> bytes:
-        last = self.last_tokens(segment)
-        ids, at = [], len(segment)
-        while at:
-            token = last[at]
-            known = self.ids.get(token)
-            if known is None:
-                ids += [self.byte_ids[b] for b in reversed(token.encode())]
-            else:
-                ids.append(known)
-            at -= len(token)
-        return np.array(ids[::-1], "<u4").tobytes()
+    def _segments(self, text: str) -> bytes:
+        """Ids of a normalised text, cut where no piece reaches across."""
+        out = array("I")
+        for segment in self.cuts.findall(text):
+            last = self.last_tokens(segment)
+            ids, at = [], len(segment)
+            while at:
+                token = last[at]
+                known = self.ids.get(token)
+                if known is None:
+                    ids += [self.byte_ids[b] for b in reversed(token.encode())]
+                else:
+                    ids.append(known)
+                at -= len(token)
+            out.extend(reversed(ids))
+        return out.tobytes() if LITTLE else np.array(out, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as little-endian unsigned 32-bit integers."""
-        known = self.known
-        return b"".join([
-            known[s] if len(s) <= REMEMBERED_CHARS else self._segment(s) for s in self.segments.findall(self.model.normal(text))
-        ])
-
-    # --- decoding ---
-
-    def decode(self, ids: bytes) -> str:
-        """The text of ids: control ids are dropped, bytes that are not UTF-8 become U+FFFD one by one."""
-        listed = np.frombuffer(ids, "<u4")
-        # A control id ends a run of bytes, so what stands on both sides is read apart.
-        runs = np.split(listed, np.flatnonzero(self.controls[listed]))
-        raw = [b"".join(map(self.raw.__getitem__, run.tolist())) for run in runs]
-        texts = [r.decode("utf-8", "one_by_one") for r in raw]
-        seen = listed[~self.controls[listed]]
-        text = "".join(texts)
-        marked = self.model.dummy_prefix and len(seen) and self.model.texts[seen[0]].startswith(SPACE)
-        return text[1:] if marked else text
+        plain = self.by_words and self.by_lines and self.model.dummy_prefix and "  " not in text and SPACE not in text
+        if not plain or not text or text[0] == " ":
+            known = self.known
+            return b"".join([
+                known[s] if len(s) <= REMEMBERED_CHARS else self._segments(s) for s in self.cuts.findall(self.model.normal(text))
+            ])
+        # One space at a time: words, each with the space before it, and the beginnings of lines, which have none.
+        out, spaced, mark = [], self.spaced, SPACE
+        for line in text.split("\n"):
+            first, *words = line.split(" ")
+            if out:
+                out.append(self.known["\n"])
+            out.append(self._word(mark + first))
+            mark = ""
+            out += [spaced[w] if len(w) <= REMEMBERED_CHARS else self._segments(SPACE + w) for w in words]
+        return b"".join(out)
+
+    def _word(self, word: str) -> bytes:
+        return self.known[word] if len(word) <= REMEMBERED_CHARS else self._segments(word)
 
 
 def one_by_one(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -177,9 +229,14 @@ codecs.register_error("one_by_one", one_by_one)
 
 
 @lru_cache(maxsize=2)
-def table_of(data: bytes) -> PrefixTable:
+def encoder_of(data: bytes) -> PrefixTable:
     """The table of a model, built once in each Python worker."""
-    return PrefixTable(data)
+    return PrefixTable(PieceModel.read(data))
+
+
+@lru_cache(maxsize=2)
+def decoder_of(data: bytes) -> Decoder:
+    return Decoder(PieceModel.read(data))
 
 
 def sliced(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
@@ -193,8 +250,8 @@ def sliced(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     yield batch.slice(first)
 
 
-def _with(df: DataFrame, column: str, kind: str, model: str, name: str, make) -> DataFrame:
-    """The two-column frame (ident, ``column``) with a third made of each value by the model's table."""
+def _with(df: DataFrame, column: str, kind: str, model: str, name: str, tool, make) -> DataFrame:
+    """The two-column frame (ident, ``column``) with a third made of each value by ``tool`` of the model."""
     spark = df.sparkSession
     ship_package(spark)
     data = spark.sparkContext.broadcast(Path(model).read_bytes())  # the file has a fixed size
@@ -202,10 +259,10 @@ def _with(df: DataFrame, column: str, kind: str, model: str, name: str, make) ->
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = table_of(data.value)
+            table = tool(data.value)
             values = batch.column(batch.schema.get_field_index(column))
-            # Texts of a large batch are taken in slices, so that no more than one slice of results is held.
-            sizes = [0 if v is None else len(v) for v in values.to_pylist()]
+            # Rows of a large batch are taken in slices, so that no more than one slice of results is held.
+            sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
             for part in sliced(batch, sizes) if batch.num_rows else []:
                 made = [make(table, v) for v in part.column(part.schema.get_field_index(column)).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
@@ -228,12 +285,12 @@ def encode(
     """
     first, last = (i.to_bytes(4, "little") if asked else b"" for i, asked in ((1, begin), (2, end)))
     narrow = df.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
-    made = _with(narrow, "text", "binary", model, "ids", lambda table, t: first + table.encode(t or "") + last)
+    made = _with(narrow, "text", "binary", model, "ids", encoder_of, lambda table, t: first + table.encode(t or "") + last)
     return made.select(F.col("ident").alias(ident), "ids")
 
 
 def decode(df: DataFrame, model: str, ident: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(ident, ids, text): the text of each row's ids; null ids have a null text."""
     narrow = df.select(F.col(ident).alias("ident"), F.col(ids).alias("ids"))
-    made = _with(narrow, "ids", "string", model, "text", lambda table, i: None if i is None else table.decode(bytes(i)))
+    made = _with(narrow, "ids", "string", model, "text", decoder_of, lambda table, i: None if i is None else table.decode(i))
     return made.select(F.col("ident").alias(ident), "ids", "text")
