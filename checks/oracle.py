@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from checks.queries import EXCLUDED, QUESTION_KINDS
 from checks.views import (
-    CUTOFF, DOCUMENT_QUESTIONS, EMOJI_SAMPLE, EVENT_CODES, EVENT_QUESTIONS, ORDER_QUESTIONS, PROGRAM,
+    CUTOFF, DOCUMENT_QUESTIONS, EMOJI_SAMPLE, EVENT_CODES, EVENT_QUESTIONS, ONLY_CHOICES, ONLY_POST, ONLY_PRE, ORDER_QUESTIONS, PROGRAM,
 )
 
 ORACLE: dict[str, str] = {}
@@ -98,10 +98,18 @@ ORACLE["date_range"] = ctes(R) + """SELECT survey_id, response_id, strftime(reco
 ORACLE["select_questions"] = ctes(R, A) + """SELECT survey_id, response_id, strftime(recorded_at, '%Y-%m-%d %H:%M:%S') AS recorded, column_id, txt
     FROM a JOIN r USING (survey_id, response_id) WHERE column_id IN ('QID1', 'QID5_TEXT')"""
 ORACLE["survey_columns"] = ctes(R, A) + "SELECT DISTINCT survey_id, column_id FROM a"
-ORACLE["wide_responses"] = ctes(R, A) + """SELECT survey_id, response_id, max(txt) FILTER (column_id = 'QID1') AS q1,
+WIDE = """w AS (SELECT survey_id, response_id, strftime(recorded_at, '%Y-%m-%dT%H:%M:%SZ') AS recorded, strftime(end_at, '%Y-%m-%dT%H:%M:%SZ') AS ended, channel,
+    CASE WHEN k % 50 != 7 THEN (k % 101)::DOUBLE::VARCHAR END AS progress, max(txt) FILTER (column_id = 'QID1') AS q1,
     max('[' || coalesce(list_aggregate(list_transform(items, lambda x: '"' || x || '"'), 'string_agg', ','), '') || ']') FILTER (column_id = 'QID2') AS q2,
-    max(coalesce(txt, num::VARCHAR)) FILTER (column_id = 'QID4') AS q4, NULL::VARCHAR AS q7
-    FROM r LEFT JOIN a USING (survey_id, response_id) GROUP BY survey_id, response_id"""
+    max(num::VARCHAR) FILTER (column_id = 'QID3') AS q3, max(coalesce(txt, num::VARCHAR)) FILTER (column_id = 'QID4') AS q4,
+    max(txt) FILTER (column_id = 'QID5_TEXT') AS q5 FROM r LEFT JOIN a USING (survey_id, response_id) GROUP BY survey_id, response_id, k, recorded_at, end_at, channel)"""
+CELLS = ("recorded", "ended", "channel", "progress", "q1", "q2", "q3", "q4", "q5")
+ORACLE["wide_responses"] = ctes(R, A, WIDE) + f"""SELECT survey_id, response_id, 'recordedDate,endDate,distributionChannel,progress,QID1,QID2,QID3,QID4,QID5_TEXT' AS names,
+    {" || '|' || ".join(f"coalesce({c}, '-')" for c in CELLS)} AS cells FROM w"""
+ORACLE["wide_frame"] = ctes(R, A, WIDE) + """SELECT survey_id, response_id, recorded AS "recordedDate", ended AS "endDate", channel AS "distributionChannel", progress,
+    q1 AS "QID1", q2 AS "QID2", q3 AS "QID3", q4 AS "QID4", q5 AS "QID5_TEXT" FROM w WHERE survey_id = 'SV_F'"""
+ORACLE["newest_responses"] = ctes(R, A) + """SELECT r.survey_id, r.response_id, channel, count(a.column_id)::INT AS n_answers, 2 AS version FROM r
+    LEFT JOIN a ON a.survey_id = r.survey_id AND a.response_id = r.response_id GROUP BY ALL"""
 ORACLE["reportable_questions"] = ctes(R, Q) + "SELECT survey_id, column_id, data_type, flow_pos FROM q WHERE data_type IN ('MultipleChoice', 'Numeric')"
 ORACLE["normalise_answers"] = ORDERS + "SELECT * FROM n"
 ORACLE["frequency_mc"] = REPORT + """SELECT survey_id, column_id, code, value, n, pct, pct::VARCHAR || '%' AS frequency FROM t WHERE data_type = 'MultipleChoice'"""
@@ -117,10 +125,9 @@ ORACLE["chart_series"] = REPORT + """SELECT survey_id, column_id, code, pct, cod
     (SELECT *, count(*) OVER (PARTITION BY survey_id, column_id) AS bars FROM t) WHERE bars < 10"""
 ORACLE["label_join"] = ORDERS.replace("ELSE ['NULL'] END) AS code", "ELSE ['NULL'] END) AS code, ua.kind IS NULL AS skipped") \
     .replace("count(*) AS n FROM codes GROUP BY ALL", "count(*) AS n FROM codes WHERE NOT skipped GROUP BY ALL") + """
-    SELECT coalesce(l.survey_id, n.survey_id) AS survey_id, 'QID4' AS column_id, coalesce(l.answer_id, n.code) AS code,
+    SELECT coalesce(l.survey_id, n.survey_id) AS survey_id, coalesce(l.column_id, n.column_id) AS column_id, coalesce(l.answer_id, n.code) AS code,
         coalesce(question_value, '') AS value, coalesce(n.n, 0) AS n
-    FROM (SELECT * FROM c WHERE column_id = 'QID4') l FULL JOIN (SELECT * FROM n WHERE column_id = 'QID4') n
-    ON l.survey_id = n.survey_id AND l.answer_id = n.code"""
+    FROM c l FULL JOIN n ON l.survey_id = n.survey_id AND l.column_id = n.column_id AND l.answer_id = n.code"""
 ORACLE["survey_header"] = ctes(R, A, Q, U) + """SELECT survey_id, n_responses, first_response, last_response, duration_days, n_questions, question_types FROM
     (SELECT survey_id, count(*) AS n_responses, strftime(min(end_at), '%Y-%m-%d') AS first_response, strftime(max(end_at), '%Y-%m-%d') AS last_response,
         datesub('day', min(end_at), max(end_at)) AS duration_days FROM u GROUP BY survey_id)
@@ -143,6 +150,9 @@ ORACLE["read_responses"] = ctes(X) + """SELECT survey_id, response_id, CASE WHEN
     CASE WHEN k % 20 = 0 THEN 'preview' WHEN k % 20 != 1 THEN 'anonymous' END AS channel, (k % 101)::DOUBLE AS progress,
     2 + CASE WHEN k % 7 != 0 THEN 1 ELSE 0 END AS n_answers, substr(o_orderpriority, 1, 1) AS q1, coalesce(list_aggregate(picked, 'string_agg', ','), '') AS q2,
     CASE WHEN k % 7 != 0 THEN (o_custkey + i)::DOUBLE END AS q3, o_orderstatus AS status FROM x"""
+ORACLE["read_response_lines"] = ORACLE["read_response_column"] = ORACLE["read_responses"]
+ORACLE["export_account"] = """SELECT 'SV_' || o_orderstatus AS survey_id, sum(good + bad)::BIGINT AS landed, sum(good)::BIGINT AS parsed, sum(bad)::BIGINT AS rejected FROM
+    (SELECT o_orderstatus, o_orderkey % 3 AS good, CASE WHEN o_orderkey % 10 IN (2, 3) THEN 1 ELSE 0 END AS bad FROM orders) GROUP BY o_orderstatus"""
 ORACLE["flatten_values"] = ctes(X) + """SELECT survey_id, response_id, name, value FROM (
     SELECT survey_id, response_id, unnest(['recordedDate', 'distributionChannel', 'progress', 'location.customer', 'location.state.status', 'QID1', 'QID2', 'QID3']) AS name,
         unnest([CASE WHEN k % 97 = 0 THEN 'not a date' ELSE strftime(stamp, '%Y-%m-%dT%H:%M:%SZ') END,
@@ -156,6 +166,10 @@ ORACLE["parse_recorded_date"] = ctes(X) + """SELECT survey_id, response_id, CASE
 S = """s AS (SELECT 'SV_' || s_suppkey || '_' || i AS id, CASE WHEN s_suppkey % 7 = 0 THEN 'Yearly survey' ELSE s_name || ' ' || i END AS name,
     'UR_' || s_nationkey AS owner_id, s_acctbal > 0 AS is_active FROM supplier, (VALUES (1), (2)) v(i))"""
 ORACLE["union_pages"] = ctes(S) + "SELECT * FROM s"
+ORACLE["page_chain"] = "SELECT s_suppkey::VARCHAR AS page_offset, row_number() OVER (ORDER BY s_suppkey) - 1 AS position FROM supplier"
+ORACLE["page_gaps"] = """WITH p AS (SELECT * FROM supplier WHERE s_suppkey % 41 != 0 OR s_suppkey = 0), l AS (SELECT max(s_suppkey) AS last, min(s_suppkey) AS first FROM supplier)
+    SELECT (s_suppkey + 1)::VARCHAR AS page_offset, 'not landed' AS problem FROM p, l WHERE s_suppkey < last AND s_suppkey + 1 NOT IN (SELECT s_suppkey FROM p)
+    UNION ALL SELECT s_suppkey::VARCHAR, 'no landed page leads to it' FROM p, l WHERE s_suppkey != first AND s_suppkey - 1 NOT IN (SELECT s_suppkey FROM p)"""
 ORACLE["survey_id_by_name"] = ctes(S, """w AS (SELECT DISTINCT unnest([s_name || ' 1', s_name || ' 3', 'Yearly survey']) AS name FROM supplier)""") + """
     SELECT w.name, CASE WHEN count(s.id) = 1 THEN min(s.id) END AS survey_id,
         CASE count(s.id) WHEN 1 THEN 'ok' WHEN 0 THEN 'missing' ELSE 'ambiguous' END AS status FROM w LEFT JOIN s USING (name) GROUP BY w.name"""
@@ -236,7 +250,7 @@ ORACLE["classify_data_type"] = ctes(P, COL, CHO, DIC, OFF, TYP) + "SELECT survey
 ORACLE["order_by_block"] = DIMS + "SELECT * EXCLUDE (question_text) FROM placed"
 ORACLE["drop_incomplete_questions"] = DIMS + "SELECT * EXCLUDE (question_text) FROM placed WHERE column_id IS NOT NULL"
 ORACLE["survey_dimensions"] = DIMS + "SELECT survey_id, column_id, question_text, data_type, flow_pos FROM placed WHERE column_id IS NOT NULL"
-ORACLE["to_text"] = ctes(P, COL) + "SELECT survey_id, column_id, (number + 1)::VARCHAR AS question_no FROM col"
+ORACLE["to_text"] = ctes(R, C) + "SELECT survey_id, column_id, answer_id, question_value FROM c"
 
 # -- events around a cutoff ---------------------------------------------------------------------
 
@@ -267,12 +281,21 @@ ORACLE["pre_post_numeric"] = EVENTS + f"SELECT survey_id, column_id, value, pre_
 ORACLE["pre_post_report"] = EVENTS + f"""SELECT survey_id, column_id, question_name || ': ' || question_text AS heading, code, value, pre_n, pre_frequency, post_n, post_frequency FROM
     (SELECT *, {SHARES} FROM (SELECT * FROM mc UNION ALL SELECT * FROM num) JOIN base USING (survey_id)) JOIN q USING (survey_id, column_id)
     WHERE question_text != 'What happened?' OR pre_n != 0 OR post_n != 0"""
-ORACLE["pre_post_two_surveys"] = ctes(
-    EV.replace("e AS", "e0 AS"), "e AS (SELECT * EXCLUDE (survey_id), 'SE_0' AS survey_id, CASE WHEN survey_id = 'SE_0' THEN 'pre' ELSE 'post' END AS phase FROM e0)",
-    EA, EQ, EC, "u AS (SELECT * FROM e WHERE response_id IN (SELECT response_id FROM a))",
-    coded(kinds_by="survey_id, column_id, phase", extra=", u.phase"), SIDES,
-) + f"""SELECT column_id, code, value, pre_n, pre_frequency, post_n, post_frequency FROM
+ASKED = "codes AS (SELECT * FROM every WHERE NOT (column_id = 'QID7' AND phase = 'pre') AND NOT (column_id = 'QID8' AND phase = 'post'))"
+TWO = ctes(
+    EV.replace("e AS", "e0 AS"), "e AS (SELECT * EXCLUDE (survey_id), 'SE' AS survey_id, CASE WHEN survey_id = 'SE_0' THEN 'pre' ELSE 'post' END AS phase FROM e0)",
+    EA[:-1] + """ UNION ALL SELECT survey_id, response_id, 'QID8', 'text', NULL, NULL, (k % 2 + 1)::VARCHAR FROM e WHERE phase = 'pre' AND k % 4 != 0
+        UNION ALL SELECT survey_id, response_id, 'QID7', 'text', NULL, NULL, (k % 3)::VARCHAR FROM e WHERE phase = 'post' AND k % 3 != 0)""",
+    questions("q", "e", [*EVENT_QUESTIONS, ONLY_POST, ONLY_PRE]),
+    EC.replace("c AS (", "c0 AS (") + f", c AS (SELECT * FROM c0 UNION ALL SELECT 'SE', v.* FROM (VALUES {values(ONLY_CHOICES)}) v(column_id, answer_id, question_value))",
+    "u AS (SELECT * FROM e WHERE response_id IN (SELECT response_id FROM a))",
+    coded(kinds_by="survey_id, column_id, phase", extra=", u.phase").replace("codes AS", "every AS"), ASKED, SIDES,
+)
+ORACLE["pre_post_two_surveys"] = TWO + f"""SELECT column_id, code, value, pre_n, pre_frequency, post_n, post_frequency FROM
     (SELECT *, {SHARES} FROM (SELECT * FROM mc UNION ALL SELECT * FROM num) JOIN base USING (survey_id))"""
+ORACLE["pre_post_two_surveys_header"] = TWO + "SELECT survey_id, phase, count(*) AS n_responses FROM u GROUP BY ALL"
+ORACLE["pre_post_chart_series"] = EVENTS + f"""SELECT survey_id, column_id, code, pre_pct, post_pct, code = 'NULL' AS is_null_bar FROM (
+    SELECT *, {SHARES}, count(*) OVER (PARTITION BY survey_id, column_id) AS bars FROM (SELECT * FROM mc UNION ALL SELECT * FROM num) JOIN base USING (survey_id)) WHERE bars < 10"""
 
 # -- parts as people ---------------------------------------------------------------------------------
 
@@ -391,8 +414,9 @@ ORACLE["matched_pre_post"] = NUMBERED.rstrip() + f""",
     SELECT column_id, code, value, pre_n, pre_frequency, post_n, post_frequency FROM (SELECT *, {SHARES} FROM (
         SELECT column_id, code, CASE WHEN column_id = 'QID2' THEN code ELSE coalesce(value, '') END AS value, coalesce(pre_n, 0) AS pre_n, coalesce(post_n, 0) AS post_n
         FROM c FULL JOIN n USING (column_id, code)), base)"""
-ORACLE["union_by_name"] = ctes(PE, ELI) + """SELECT response_id, first, NULL::VARCHAR AS survey_id FROM eli
-    UNION ALL SELECT 'D_' || doc_id, NULL, 'SD_' || lang FROM documents"""
+ORACLE["union_by_name"] = ctes(PE, ELI) + """SELECT 'people' AS source, response_id, first, last, marker, NULL::VARCHAR AS survey_id, NULL::VARCHAR AS channel, NULL::VARCHAR AS name, NULL::DOUBLE AS balance FROM eli
+    UNION ALL SELECT 'documents', 'D_' || doc_id, NULL, NULL, NULL, 'SD_' || lang, NULL, NULL, NULL FROM documents
+    UNION ALL SELECT 'contacts', c_custkey::VARCHAR, NULL, NULL, NULL, NULL, NULL, c_name, c_acctbal FROM customer"""
 
 # -- documents as free text ------------------------------------------------------------------------------
 
@@ -419,15 +443,18 @@ EMOJI_CLASS = ("[\\x{1F000}-\\x{1FAFF}\\x{2600}-\\x{27BF}\\x{2300}-\\x{23FF}\\x{
                "\\x{3297}\\x{3299}\\x{203C}\\x{2049}\\x{2139}\\x{2122}\\x{24C2}\\x{E0020}-\\x{E007F}\\x{20E3}\\x{FE0F}\\x{200D}]")
 ORACLE["remove_emojis"] = f"SELECT 'D_' || doc_id AS response_id, regexp_replace({TEXT}, '{EMOJI_CLASS}', '', 'g') AS text FROM documents"
 SRC = """src AS (SELECT 'SD_' || lang AS survey_id, 'D_' || doc_id AS response_id, 'QID5_6_TEXT' AS column_id, lang,
-    CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '  ' ELSE source || ' ' || lang END AS text FROM documents)"""
-TRANSLATED = "CASE WHEN trim(text) = '' OR text IS NULL OR lang = 'de' THEN text ELSE 'en: ' || upper(text) END"
+    CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '  ' ELSE text END AS text,
+    text IN (SELECT text FROM documents WHERE lang = 'de') AS german FROM documents)"""
+TRANSLATED = "CASE WHEN NOT regexp_matches(text, '\\S') OR text IS NULL OR german THEN text ELSE 'en: ' || text END"
 ORACLE["translate_columns"] = ctes(SRC) + f"""SELECT survey_id, response_id, column_id, text, {TRANSLATED} AS text_translated,
-    CASE WHEN trim(text) != '' AND lang = 'de' THEN 'error' END AS text_error FROM src"""
-ORACLE["translate_call"] = ORACLE["translate_columns"]
+    CASE WHEN regexp_matches(text, '\\S') AND german THEN 'error' END AS text_error FROM src"""
+ORACLE["translate_call"] = ctes(SRC) + """SELECT survey_id, response_id, column_id, text, CASE WHEN regexp_matches(text, '\\S') AND length(text) % 5 != 0 THEN 'en: ' || text ELSE text END AS text_translated,
+    CASE WHEN regexp_matches(text, '\\S') AND length(text) % 5 = 0 THEN 'error' END AS text_error FROM src"""
+ORACLE["translate_with_memory"] = ORACLE["translate_call"]
 ORACLE["translate_replace"] = ctes(SRC) + f"SELECT survey_id, response_id, column_id, {TRANSLATED} AS text FROM src"
 ORACLE["translation_report"] = ctes(DR, DA, f"cl AS (SELECT survey_id, response_id, column_id, {cleaned('txt')} AS txt FROM a)",
-    "known AS (SELECT DISTINCT source FROM documents WHERE lang != 'de')") + """
-    SELECT survey_id, response_id, column_id, CASE WHEN txt IN (SELECT source FROM known) THEN 'en: ' || txt ELSE txt END AS text FROM cl"""
+    f"known AS (SELECT DISTINCT {cleaned('full_text')} AS source FROM r WHERE lang != 'de' UNION SELECT source FROM documents)") + """
+    SELECT survey_id, response_id, column_id, CASE WHEN txt IN (SELECT source FROM known WHERE source IS NOT NULL) THEN 'en: ' || txt ELSE txt END AS text FROM cl"""
 
 # -- other text ----------------------------------------------------------------------------------------------
 
@@ -439,11 +466,14 @@ ORACLE["json_fields"] = "SELECT event_id, (props::JSON->>'$.k')::BIGINT AS k, pr
 # -- contacts and distributions ---------------------------------------------------------------------------------
 
 ORACLE["contacts_upsert"] = """WITH up AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN c_custkey + 1000000000 ELSE c_custkey END AS contact_id,
-        CASE WHEN c_custkey % 10 = 0 THEN upper(c_name) END AS name, c_acctbal + 1 AS balance, CASE WHEN c_custkey % 3 = 0 THEN 'phone' END AS preference
+        CASE WHEN c_custkey % 10 = 0 THEN upper(c_name) ELSE 'zz ' || c_name END AS name, CASE WHEN c_custkey % 4 = 0 THEN 'earlier' END AS segment,
+        c_acctbal + 1 AS balance, CASE WHEN c_custkey % 3 = 0 THEN 'phone' ELSE 'zz' END AS preference, (c_custkey % 7)::VARCHAR AS shoe
         FROM customer WHERE c_custkey % 5 = 0)
-    SELECT coalesce(up.contact_id, c_custkey) AS contact_id, coalesce(up.name, c_name) AS name, c_mktsegment AS segment, coalesce(up.balance, c_acctbal) AS balance,
-        c_nationkey::VARCHAR AS nation, coalesce(up.preference, CASE WHEN c_custkey IS NOT NULL THEN 'email' END) AS preference
+    SELECT coalesce(up.contact_id, c_custkey) AS contact_id, coalesce(up.name, c_name) AS name, coalesce(segment, c_mktsegment) AS segment,
+        coalesce(up.balance, c_acctbal) AS balance, c_nationkey::VARCHAR AS nation,
+        coalesce(up.preference, CASE WHEN c_custkey IS NOT NULL THEN 'email' END) AS preference, shoe
     FROM customer FULL JOIN up ON up.contact_id = c_custkey"""
+ORACLE["merge_contacts"] = ORACLE["contacts_upsert"]
 ORACLE["contacts_delete"] = "SELECT c_custkey AS contact_id, c_name AS name FROM customer WHERE c_custkey % 13 != 0"
 ORACLE["since_filter"] = "SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00'"
 ORACLE["distribution_filter"] = """SELECT 'EMD_' || event_id AS distribution_id, 'CG_' || (event_id % 3) AS mailing_list_id FROM events

@@ -17,6 +17,7 @@ from surveyloom.functions.scores import name_match_score, ratio
 from surveyloom.operators import blocks as B
 from surveyloom.operators import contacts as K
 from surveyloom.operators import filters as flt
+from surveyloom.operators import frames
 from surveyloom.operators import frequency as freq
 from surveyloom.operators import fuzzy
 from surveyloom.operators import matching as M
@@ -45,15 +46,17 @@ def day_time(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
 
 
+def scratch(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/surveyloom-{uuid.uuid4().hex}/{name}"
+
+
 # -- sources and sinks -----------------------------------------------------------
 
 def exported(spark, d) -> DataFrame:
     return E.explode_documents(V.order_exports(spark, d), "document")
 
 
-@query
-def read_responses(spark, d):
-    rows = E.responses_from_values(exported(spark, d), F.col("survey_id"))
+def response_fields(rows: DataFrame) -> DataFrame:
     return rows.select(
         "survey_id", "response_id", day_time("recorded_at").alias("recorded"), "channel", "progress",
         F.size("answers").alias("n_answers"),
@@ -64,6 +67,39 @@ def read_responses(spark, d):
     )
 
 
+@query
+def read_responses(spark, d):
+    """Landed documents, each read by several tasks."""
+    path = V.land_documents(spark, d, scratch(spark, "documents"))
+    return response_fields(E.read_responses(spark, path, range_bytes=1 << 20))
+
+
+@query
+def read_response_lines(spark, d):
+    return response_fields(E.read_responses(spark, V.land_lines(spark, d, scratch(spark, "lines")), one_per_line=True))
+
+
+@query
+def read_response_column(spark, d):
+    """Documents that are a column of a table."""
+    return response_fields(E.responses_from_values(exported(spark, d), F.col("survey_id")))
+
+
+@query
+def export_account(spark, d):
+    """What lines with others among them landed with, and what of it was rejected."""
+    records = E.read_export_records(spark, V.land_lines(spark, d, scratch(spark, "lines"), broken=True), one_per_line=True)
+    by_survey = E.account(records).groupBy(E.survey_of_folder(F.col("file")).alias("survey_id"))
+    return by_survey.agg(*[F.sum(c).alias(c) for c in ("landed", "parsed", "rejected")])
+
+
+@query
+def newest_responses(spark, d):
+    return E.newest_responses(V.order_versions(spark, d), "version").select(
+        "survey_id", "response_id", "channel", F.size("answers").alias("n_answers"), "version"
+    )
+
+
 @query
 def flatten_values(spark, d):
     return E.flatten_values(exported(spark, d)).select("survey_id", F.col("responseId").alias("response_id"), "name", "value")
@@ -71,15 +107,33 @@ def flatten_values(spark, d):
 
 @query
 def union_pages(spark, d):
-    return L.union_pages(V.survey_pages(spark, d), L.ENTITIES["surveys"], id_field="id").select(
+    return L.union_pages(V.survey_pages(spark, d), L.ENTITIES["surveys"], id_field="id", order="landed").select(
         "id", "name", F.col("ownerId").alias("owner_id"), F.col("isActive").alias("is_active")
     )
 
 
+def first_offset(spark, d) -> str:
+    return str(V.table(spark, d, "supplier").agg(F.min("s_suppkey")).first()[0])
+
+
+@query
+def page_chain(spark, d):
+    """Where each page stands in its listing."""
+    chain, _ = L.page_chain(V.survey_pages(spark, d), first=first_offset(spark, d))
+    return chain.select(F.col("offset").alias("page_offset"), "position")
+
+
+@query
+def page_gaps(spark, d):
+    """What is missing of a listing with gaps."""
+    _, problems = L.page_chain(V.survey_pages(spark, d, gaps=True), first=first_offset(spark, d))
+    return problems.select(F.col("offset").alias("page_offset"), "problem")
+
+
 @query
 def list_elements(spark, d):
-    rows = L.list_elements(V.contact_pages(spark, d).select("page"), "contacts")
-    return L.one_per_id(rows, ["contactId"]).select(
+    rows = L.list_elements(V.contact_pages(spark, d), "contacts")
+    return L.one_per_id(rows, ["contactId"], "page_no").select(
         F.col("contactId").alias("contact_id"), F.col("firstName").alias("first_name"), F.col("lastName").alias("last_name"),
         "email", "unsubscribed", F.element_at("embeddedData", "nation").alias("nation"),
     )
@@ -112,8 +166,12 @@ def full_definition_join(spark, d):
 @query
 def write_tables(spark, d):
     """The frequency table, written by survey and read back."""
-    path = f"{shared_folder(spark)}/surveyloom-{uuid.uuid4().hex}/frequency"
-    T.write_tables(survey_frequency(spark, d), path)
+    path = scratch(spark, "frequency")
+    table = survey_frequency(spark, d)
+    # First every survey with other counts, then one after the other in their place.
+    T.write_tables(table.withColumn("n", F.col("n") + 1), path)
+    for one in ("SV_F", "SV_O", "SV_P"):
+        T.write_tables(table.where(F.col("survey_id") == one), path)
     return T.read_table(spark, path).select(
         "survey_id", "column_id", "heading", "flow_pos", "code", "value", "n", "pct", "frequency"
     )
@@ -176,13 +234,32 @@ def order_columns(spark, d):
     return E.order_columns(columns.unionByName(meta)).select("survey_id", "column_id", "position")
 
 
+def all_columns(spark, d) -> DataFrame:
+    """Position of every column, metadata first."""
+    asked = Q.survey_columns(V.order_responses(spark, d)).withColumn("seen_pos", F.lit(9))
+    meta = V.order_surveys(spark, d).distinct().select(
+        "survey_id", F.posexplode(F.array(*map(F.lit, (E.RECORDED, E.ENDED, E.CHANNEL, E.PROGRESS)))).alias("seen_pos", "column_id")
+    )
+    return E.order_columns(asked.unionByName(meta))
+
+
 @query
 def wide_responses(spark, d):
-    return E.wide_responses(V.order_responses(spark, d), ["QID1", "QID2", "QID4", "QID7"]).select(
-        "survey_id", "response_id", F.col("QID1").alias("q1"), F.col("QID2").alias("q2"), F.col("QID4").alias("q4"), F.col("QID7").alias("q7")
+    """All surveys as wide rows, every column in its place."""
+    rows = E.wide_rows(V.order_responses(spark, d), all_columns(spark, d))
+    return rows.select(
+        "survey_id", "response_id", F.array_join("columns", ",").alias("names"), F.array_join("cells", "|", "-").alias("cells")
     )
 
 
+@query
+def wide_frame(spark, d):
+    """One survey as a frame with all its columns."""
+    one = F.col("survey_id") == "SV_F"
+    names = [r[0] for r in all_columns(spark, d).where(one).orderBy("position").select("column_id").collect()]
+    return E.wide_responses(V.order_responses(spark, d).where(one), names)
+
+
 def dictionary(spark, d) -> DataFrame:
     return Q.question_dictionary(V.part_columns(spark, d), definitions(spark, d))
 
@@ -267,7 +344,7 @@ def survey_columns(spark, d):
 @query
 def survey_id_by_name(spark, d):
     """Wanted names: every supplier's first survey, one that is not there, one that many have."""
-    surveys = L.union_pages(V.survey_pages(spark, d), L.ENTITIES["surveys"], id_field="id")
+    surveys = L.union_pages(V.survey_pages(spark, d), L.ENTITIES["surveys"], id_field="id", order="landed")
     names = V.table(spark, d, "supplier").select(
         F.explode(F.array(F.concat("s_name", F.lit(" 1")), F.concat("s_name", F.lit(" 3")), F.lit("Yearly survey"))).alias("name")
     ).distinct()
@@ -445,15 +522,27 @@ def pre_post_report(spark, d):
     )
 
 
+def two_surveys(spark, d) -> tuple[DataFrame, DataFrame]:
+    sides = [V.survey_of_two(spark, d, s) for s in ("SE_0", "SE_1")]
+    dims = [Dimensions(*V.dimensions_of_two(spark, d, s)) for s in ("SE_0", "SE_1")]
+    return reports.pre_post_of_two_surveys(*sides, *dims, "SE")
+
+
 @query
 def pre_post_two_surveys(spark, d):
-    """One survey's responses compared with another's."""
-    events = V.event_responses(spark, d).withColumn("channel", F.lit(None).cast("string"))
-    pre, post = (events.filter(F.col("survey_id") == s) for s in ("SE_0", "SE_1"))
-    one = F.col("survey_id") == "SE_0"
-    dims = Dimensions(V.event_questions(spark, d).filter(one), V.event_choices(spark, d).filter(one))
-    table = reports.pre_post_of_two_surveys(pre, post, dims, "SE_0")[1]
-    return table.select("column_id", "code", "value", "pre_n", "pre_frequency", "post_n", "post_frequency")
+    """One survey's responses compared with another's; each asks a question the other does not."""
+    return two_surveys(spark, d)[1].select("column_id", "code", "value", "pre_n", "pre_frequency", "post_n", "post_frequency")
+
+
+@query
+def pre_post_two_surveys_header(spark, d):
+    return two_surveys(spark, d)[0]
+
+
+@query
+def pre_post_chart_series(spark, d):
+    table = prepost.pre_post_report(phased(spark, d), V.event_questions(spark, d), V.event_choices(spark, d))
+    return freq.chart_series(table).select("survey_id", "column_id", "code", "pre_pct", "post_pct", "is_null_bar")
 
 
 # -- people --------------------------------------------------------------------------------
@@ -654,17 +743,20 @@ def matched_pre_post(spark, d):
 @query
 def label_join(spark, d):
     """Counts of codes and the choices offered, either of which may lack the other."""
-    one = F.col("column_id") == "QID4"
     tallied = freq.tally(usable(spark, d))
-    stats = freq.column_stats(tallied, V.order_questions(spark, d).filter(one))
-    return freq.labelled(freq.seen_codes(tallied, stats), V.order_choices(spark, d).filter(one))
+    stats = freq.column_stats(tallied, V.order_questions(spark, d))
+    return freq.labelled(freq.seen_codes(tallied, stats), V.order_choices(spark, d))
 
 
 @query
 def union_by_name(spark, d):
-    people = M.clean_names(named_people(spark, d)).select("response_id", "first")
-    others = V.document_responses(spark, d).select("response_id", "survey_id")
-    return people.unionByName(others, allowMissingColumns=True)
+    """People, documents and contacts; the contacts' ids are numbers."""
+    contacts = V.contacts(spark, d).withColumnRenamed("contact_id", "response_id")
+    return frames.union_by_name({
+        "people": M.clean_names(named_people(spark, d)).select("response_id", "first", "last", "marker"),
+        "documents": V.document_responses(spark, d).select("response_id", "survey_id", "channel"),
+        "contacts": contacts.select("response_id", "name", "balance"),
+    }, source="source")
 
 
 # -- text ------------------------------------------------------------------------------------
@@ -700,15 +792,29 @@ def translate_replace(spark, d):
     return tr.translate_replace(V.document_sources(spark, d), V.translation_memory(spark, d))
 
 
-@query
-def translate_call(spark, d):
-    """A callable that fails on German texts."""
+def failing_translator():
+    """A translator that fails on texts whose length five divides; tasks get it by value."""
     def translator(texts):
-        if any(t.endswith(" de") for t in texts):
+        if any(len(t) % 5 == 0 for t in texts):
             raise RuntimeError("cannot translate")
-        return ["en: " + t.upper() for t in texts]
+        return ["en: " + t for t in texts]
+
+    return translator
+
 
-    return tr.translate_columns(V.document_sources(spark, d), translator)
+@query
+def translate_call(spark, d):
+    return tr.translate_columns(V.document_sources(spark, d), failing_translator())
+
+
+@query
+def translate_with_memory(spark, d):
+    """A memory that begins with some of the texts and then learns the rest."""
+    texts = V.document_sources(spark, d)
+    memory = tr.TranslationMemory(spark, scratch(spark, "memory"))
+    memory.learn(texts.where(F.col("survey_id") == "SD_en"), failing_translator())
+    memory.learn(texts, failing_translator())
+    return tr.translate_columns(texts, memory.table())
 
 
 @query
@@ -720,20 +826,34 @@ def json_fields(spark, d):
 
 @query
 def to_text(spark, d):
-    return V.part_columns(spark, d).select("survey_id", "column_id", C.question_no(F.col("column_id")).cast("string").alias("question_no"))
+    """Choices whose ids came as numbers."""
+    choices = V.order_choices(spark, d).withColumn("answer_id", F.col("answer_id").cast("double"))
+    return frames.to_text(choices, choices.columns).select("survey_id", "column_id", "answer_id", "question_value")
 
 
 # -- contacts and distributions ------------------------------------------------------------------
 
-@query
-def contacts_upsert(spark, d):
-    return K.contacts_upsert(V.contacts(spark, d), V.contact_updates(spark, d)).select(
+def contact_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "contact_id", "name", "segment", "balance",
-        F.try_element_at("embedded", F.lit("nation")).alias("nation"),
-        F.try_element_at("embedded", F.lit("preference")).alias("preference"),
+        *[F.try_element_at("embedded", F.lit(k)).alias(k) for k in ("nation", "preference", "shoe")],
     )
 
 
+@query
+def contacts_upsert(spark, d):
+    return contact_rows(K.contacts_upsert(V.contacts(spark, d), V.contact_updates(spark, d), "at"))
+
+
+@query
+def merge_contacts(spark, d):
+    """The same through a stored table, of which the touched buckets are rewritten."""
+    contacts = T.BucketedTable(spark, scratch(spark, "contacts"), "contact_id", 16)
+    contacts.write(V.contacts(spark, d))
+    K.merge_contacts(contacts, V.contact_updates(spark, d), "at")
+    return contact_rows(contacts.read())
+
+
 @query
 def contacts_delete(spark, d):
     gone = V.table(spark, d, "customer").select(F.col("c_custkey").alias("contact_id")).filter(F.col("contact_id") % 13 == 0)
@@ -768,9 +888,9 @@ QUERIES["survey_dimensions"] = QUERIES.pop("survey_dimensions_")
 
 @query
 def translation_report(spark, d):
-    memory = V.translation_memory(spark, d).withColumn("source", F.split("source", " ")[0]).select(
-        "source", F.concat(F.lit("en: "), "source").alias("target")
-    )
+    cleaned = tr.clean_texts(V.document_texts(spark, d)).where("survey_id != 'SD_de' AND text IS NOT NULL").select(F.col("text").alias("source"))
+    known = cleaned.unionByName(V.table(spark, d, "documents").select("source")).distinct()
+    memory = known.select("source", F.concat(F.lit("en: "), "source").alias("target"))
     dims = Dimensions(V.document_questions(spark, d), V.document_questions(spark, d))
     return reports.translation_report(V.document_responses(spark, d), dims, memory, replace=True).select(
         "survey_id", "response_id", "column_id", "text"

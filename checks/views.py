@@ -35,6 +35,11 @@ EVENT_QUESTIONS = [
     ("QID2", "Q2", "How much?", "TE", "SL", True, "Numeric", "Events", "000002"),
 ]
 
+# What only the first, or only the second of two surveys asks.
+ONLY_PRE = ("QID8", "Q8", "Would you come?", "MC", "SAVR", False, "MultipleChoice", "Events", "000008")
+ONLY_POST = ("QID7", "Q7", "Where from?", "MC", "SAVR", False, "MultipleChoice", "Events", "000007")
+ONLY_CHOICES = [("QID7", "1", "North"), ("QID7", "2", "South"), ("QID7", "3", "None of these"), ("QID8", "1", "Yes"), ("QID8", "2", "No")]
+
 DOCUMENT_QUESTIONS = [
     ("QID1_TEXT", "Q1", "Tell us more", "TE", "ML", False, "FreeText", "Text", "000001"),
     ("QID2", "Q2", "Quality", "MC", "SAVR", False, "MultipleChoice", "Text", "000002"),
@@ -128,6 +133,14 @@ def order_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses of two exports that overlap: every third response is in both, some of the first without answers."""
+    second = order_responses(spark, sf_dir)
+    overlap = F.pmod(F.xxhash64("response_id"), F.lit(3)) == 0
+    first = second.where(overlap).withColumn("channel", F.lit("older")).withColumn("answers", F.slice("answers", 1, 0))
+    return first.withColumn("version", F.lit(1)).unionByName(second.withColumn("version", F.lit(2)))
+
+
 def order_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.concat(F.lit("SV_"), "o_orderstatus").alias("survey_id"))
 
@@ -155,9 +168,10 @@ def order_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.unionByName(offered)
 
 
-def order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export documents of none, one or two responses each."""
-    o = table(spark, sf_dir, "orders")
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(survey_id, key, responses): none, one or two responses of each order, as an export has them."""
+    # Exports come in many files, the orders in one.
+    o = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism)
     key = F.col("o_orderkey")
     stamp = F.date_format(later(F.col("o_orderdate"), "HOUR", key % 24), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     picked = F.filter(
@@ -185,10 +199,37 @@ def order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("R_"), key, F.lit("_"), i).alias("responseId"), values(i).alias("values")
         ),
     )
-    return o.select(
-        F.concat(F.lit("SV_"), "o_orderstatus").alias("survey_id"),
-        F.to_json(F.struct(responses.alias("responses"))).alias("document"),
+    return o.select(F.concat(F.lit("SV_"), "o_orderstatus").alias("survey_id"), key.alias("key"), responses.alias("responses"))
+
+
+def order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export documents of none, one or two responses each."""
+    return order_records(spark, sf_dir).select("survey_id", F.to_json(F.struct("responses")).alias("document"))
+
+
+def land_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Two export documents of each survey, each a file."""
+    whole = order_records(spark, sf_dir).groupBy("survey_id", (F.col("key") % 2).alias("half")).agg(
+        F.flatten(F.collect_list("responses")).alias("responses")
     )
+    documents = whole.select("survey_id", F.to_json(F.struct(F.lit("x").alias("about"), "responses", F.array("half").alias("parts"))).alias("value"))
+    documents.repartition("survey_id", "value").write.partitionBy("survey_id").text(path)
+    return path
+
+
+def land_lines(spark: SparkSession, sf_dir: str, path: str, broken: bool = False) -> str:
+    """Line-delimited exports of each survey; with ``broken`` among blank lines and others that are no responses."""
+    records = order_records(spark, sf_dir)
+    lines = records.select("survey_id", F.explode(F.transform("responses", lambda r: F.to_json(r))).alias("value"))
+    if broken:
+        key = F.col("key")
+        bad = F.array(
+            F.when(key % 10 == 0, ""), F.when(key % 10 == 1, " \t"), F.when(key % 10 == 2, F.concat(F.lit('{"responseId":"'), key)),
+            F.when(key % 20 == 3, "[1]"), F.when(key % 20 == 13, "nothing"),
+        )
+        lines = lines.unionByName(records.select("survey_id", F.explode(F.array_compact(bad)).alias("value")))
+    lines.write.partitionBy("survey_id").text(path)
+    return path
 
 
 # -- events as responses around a cutoff ------------------------------------------
@@ -211,6 +252,28 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def survey_of_two(spark: SparkSession, sf_dir: str, survey_id: str) -> DataFrame:
+    """Events of one survey, which asks a question the other does not."""
+    only = {
+        "SE_0": text("QID8", "case when split(response_id, '_')[1] % 4 != 0 then cast(split(response_id, '_')[1] % 2 + 1 as string) end"),
+        "SE_1": text("QID7", "case when split(response_id, '_')[1] % 3 != 0 then cast(split(response_id, '_')[1] % 3 as string) end"),
+    }[survey_id]
+    events = event_responses(spark, sf_dir).filter(F.col("survey_id") == survey_id)
+    return events.withColumn("answers", F.concat("answers", F.expr(only))).withColumn("channel", F.lit(None).cast("string"))
+
+
+def dimensions_of_two(spark: SparkSession, sf_dir: str, survey_id: str) -> tuple[DataFrame, DataFrame]:
+    """Questions and choices of one of the two surveys."""
+    only = {"SE_0": ONLY_PRE, "SE_1": ONLY_POST}[survey_id]
+    survey = event_surveys(spark, sf_dir).filter(F.col("survey_id") == survey_id)
+    listed = json.dumps([dict(zip(("column_id", "answer_id", "question_value"), c)) for c in ONLY_CHOICES if c[0] == only[0]])
+    more = survey.select(
+        "survey_id", F.inline(F.from_json(F.lit(listed), "array<struct<column_id:string,answer_id:string,question_value:string>>"))
+    )
+    choices = event_choices(spark, sf_dir).filter(F.col("survey_id") == survey_id)
+    return questions_of(survey, [*EVENT_QUESTIONS, only]), choices.unionByName(more)
+
+
 def event_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr("concat('SE_', user_id % 2) as survey_id").distinct()
 
@@ -465,9 +528,9 @@ def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short texts that many rows share, some blank, some missing."""
+    """Whole texts, some of which many rows share, some blank, some missing."""
     key = F.col("doc_id")
-    text = F.when(key % 9 == 0, F.lit(None)).when(key % 10 == 0, "  ").otherwise(F.concat_ws(" ", "source", "lang"))
+    text = F.when(key % 9 == 0, F.lit(None)).when(key % 10 == 0, "  ").otherwise(F.col("text"))
     return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("SD_"), "lang").alias("survey_id"),
         F.concat(F.lit("D_"), key).alias("response_id"),
@@ -477,14 +540,10 @@ def document_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translation_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A translation for every text that is not German."""
-    return (
-        table(spark, sf_dir, "documents")
-        .filter(F.col("lang") != "de")
-        .select(F.concat_ws(" ", "source", "lang").alias("source"))
-        .distinct()
-        .withColumn("target", F.concat(F.lit("en: "), F.upper("source")))
-    )
+    """A translation for every text but those that some German document has."""
+    documents = table(spark, sf_dir, "documents").select(F.col("text").alias("source"), "lang")
+    known = documents.groupBy("source").agg(F.max(F.col("lang") == "de").alias("german")).where("not german")
+    return known.select("source", F.concat(F.lit("en: "), "source").alias("target"))
 
 
 # -- customers as contacts --------------------------------------------------------------
@@ -503,29 +562,43 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contact_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A new balance and preference for each fifth contact; some contacts are unknown."""
+    """Two updates of each fifth contact, the earlier one with more in it; some contacts are unknown."""
     key = F.col("c_custkey")
     shifted = F.when(key % 50 == 0, key + 1_000_000_000).otherwise(key)
-    return table(spark, sf_dir, "customer").filter(key % 5 == 0).select(
+    customers = table(spark, sf_dir, "customer").filter(key % 5 == 0)
+    later = customers.select(
         shifted.alias("contact_id"),
         F.when(key % 10 == 0, F.upper("c_name")).alias("name"),
         F.lit(None).cast("string").alias("segment"),
         (F.col("c_acctbal") + 1).alias("balance"),
         F.when(key % 3 == 0, F.create_map(F.lit("preference"), F.lit("phone"))).alias("embedded"),
+        F.lit(2).alias("at"),
+    )
+    earlier = customers.select(
+        shifted.alias("contact_id"),
+        F.concat(F.lit("zz "), "c_name").alias("name"),
+        F.when(key % 4 == 0, "earlier").alias("segment"),
+        (F.col("c_acctbal") + 9).alias("balance"),
+        F.create_map(F.lit("preference"), F.lit("zz"), F.lit("shoe"), (key % 7).cast("string")).alias("embedded"),
+        F.lit(1).alias("at"),
     )
+    return later.unionByName(earlier)
 
 
 def contact_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed pages of up to fifty contacts; the contact at each page's start was landed twice."""
+    """Landed pages of up to fifty contacts; the contact at each page's start was landed twice, under another name first."""
     key = F.col("c_custkey")
     size = 50
     rows = table(spark, sf_dir, "customer").select(
         F.explode(
             F.when(key % size == 0, F.array(F.floor(key / size), F.floor(key / size) - 1)).otherwise(F.array(F.floor(key / size)))
         ).alias("page_no"),
+        "*",
+    ).select(
+        "page_no",
         F.struct(
             F.concat(F.lit("CID_"), key).alias("contactId"),
-            F.col("c_name").alias("firstName"),
+            F.when((key % size == 0) & (F.col("page_no") < F.floor(key / size)), "zz earlier").otherwise(F.col("c_name")).alias("firstName"),
             F.col("c_mktsegment").alias("lastName"),
             F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
             (key % 4 == 0).alias("unsubscribed"),
@@ -545,22 +618,37 @@ def contact_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def survey_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page per supplier with the two surveys it owns; some names occur twice."""
+def survey_pages(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """A page per supplier with the two surveys it owns and the offset of the next; some names occur twice.
+
+    Every fifth page was landed before, with older names. With ``gaps`` the listing breaks after every
+    forty-first page, whose successor is missing.
+    """
     key = F.col("s_suppkey")
 
     def survey(number: int) -> Column:
+        named = F.when(F.col("landed") == 1, "An older name").when(key % 7 == 0, "Yearly survey")
         return F.struct(
             F.concat(F.lit("SV_"), key, F.lit(f"_{number}")).alias("id"),
-            F.when((key % 7 == 0), "Yearly survey").otherwise(F.concat("s_name", F.lit(f" {number}"))).alias("name"),
+            named.otherwise(F.concat("s_name", F.lit(f" {number}"))).alias("name"),
             F.concat(F.lit("UR_"), F.col("s_nationkey")).alias("ownerId"),
             (F.col("s_acctbal") > 0).alias("isActive"),
         )
 
-    return table(spark, sf_dir, "supplier").select(
+    suppliers = table(spark, sf_dir, "supplier")
+    if gaps:
+        suppliers = suppliers.where((key % 41 != 0) | (key == 0))
+    last = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey").alias("last"))
+    following = F.when(key < F.col("last"), F.concat(F.lit("https://example.com/surveys?offset="), key + 1))
+    rows = suppliers.crossJoin(F.broadcast(last)).withColumn(
+        "landed", F.explode(F.when(key % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2))))
+    )
+    return rows.select(
+        key.cast("string").alias("offset"),
+        "landed",
         F.to_json(
-            F.struct(F.struct(F.array(survey(1), survey(2)).alias("elements")).alias("result"))
-        ).alias("page")
+            F.struct(F.struct(F.array(survey(1), survey(2)).alias("elements"), following.alias("nextPage")).alias("result"))
+        ).alias("page"),
     )
 
 

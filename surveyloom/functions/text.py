@@ -64,10 +64,12 @@ _ONE = (
     r"(?:[\x{E0020}-\x{E007E}]+\x{E007F})?"
 )
 # A keycap, a flag, or emoji joined to one; joiners and selectors elsewhere are left alone.
+# The look-ahead tells most characters apart by a few ranges, before the many are tried.
 EMOJI = (
+    r"(?=[0-9#*\x{A9}\x{AE}\x{203C}-\x{3299}\x{1F004}-\x{1FAFF}])(?:"
     r"[0-9#*]\x{FE0F}?\x{20E3}"
     r"|[\x{1F1E6}-\x{1F1FF}]{2}"
-    rf"|{_ONE}(?:\x{{200D}}{_ONE})*"
+    rf"|{_ONE}(?:\x{{200D}}{_ONE})*)"
 )
 
 # White space of every script, common characters first.

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyloom.operators.filters import literal_time
+from surveyloom.session import store
+from surveyloom.sources.tables import BucketedTable
 
 CONTACT_ID = "contact_id"
 
 
-def contacts_upsert(
-    contacts: DataFrame, updates: DataFrame, key: str = CONTACT_ID, order: str | None = None
-) -> DataFrame:
+def contacts_upsert(contacts: DataFrame, updates: DataFrame, order: str, key: str = CONTACT_ID) -> DataFrame:
     """Contacts after partial updates; several updates of one contact are merged first.
 
-    ``order`` is the column of ``updates`` that says which came later; without
-    it the larger value of an attribute wins. An attribute the update leaves null keeps its stored value; map attributes
+    ``order`` is the column of ``updates`` that says which came later. An
+    attribute the update leaves null keeps its stored value; map attributes
     (embedded data) are merged key by key, the update winning. Updates of
     unknown contacts are added.
     """
@@ -38,47 +38,43 @@ def contacts_upsert(
     return joined.select(*columns)
 
 
+def merge_contacts(table: BucketedTable, updates: DataFrame, order: str) -> list[int]:
+    """Apply partial updates to a stored contact table; which buckets were rewritten."""
+    merged = store(latest_updates(updates, order, table.key).withColumn(order, F.lit(0)), "updates")
+    return table.change(merged, lambda stored, changes: contacts_upsert(stored, changes, order, table.key))
+
+
 def _merged_map(old: Column, new: Column) -> Column:
     kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))
     return F.coalesce(F.map_concat(kept, new), new, old)
 
 
-def latest_updates(updates: DataFrame, order: str | None = None, key: str = CONTACT_ID) -> DataFrame:
+def latest_updates(updates: DataFrame, order: str, key: str = CONTACT_ID) -> DataFrame:
     """Several partial updates of one contact as one: per attribute, and per key of a map, the last one given.
 
-    Without ``order`` the largest is taken. Equal order goes by the value, so
-    the result does not depend on the rows' places.
+    Equal order goes by the value, so the result does not depend on the rows'
+    places. Every value is found as a maximum, combined before the shuffle, so
+    one contact may have any number of updates; what is gathered for it is one
+    entry for each key of a map.
     """
-    columns = []
-    for field in updates.schema.fields:
-        name = field.name
-        if name in (key, order):
-            continue
-        when = F.lit(0) if order is None else F.col(order)
-        if isinstance(field.dataType, T.MapType):
-            columns.append(_last_of_each_key(F.col(name), when).alias(name))
-        else:
-            given = F.when(F.col(name).isNotNull(), F.struct(when.alias("at"), F.col(name).alias("value")))
-            columns.append(F.max(given)["value"].alias(name))
-    return updates.groupBy(key).agg(*columns)
-
-
-def _last_of_each_key(entries: Column, when: Column) -> Column:
-    """Merge a group's maps in order. A contact's own updates are few, so they are gathered."""
-    given = F.when(
-        entries.isNotNull(),
-        F.struct(when.alias("at"), F.sort_array(F.map_entries(entries)).alias("entries"), entries.alias("map")),
-    )
-    in_order = F.array_sort(
-        F.collect_list(given),
-        lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1)
-        .when(a["entries"] < b["entries"], -1).when(a["entries"] > b["entries"], 1).otherwise(0),
-    )
-    first = F.get(in_order, F.lit(0))["map"]
-    return F.when(
-        F.size(in_order) > 0,
-        F.aggregate(in_order, first, lambda merged, u: _merged_map(merged, u["map"])),
-    )
+    named = [f for f in updates.schema.fields if f.name not in (key, order)]
+    maps = [f.name for f in named if isinstance(f.dataType, T.MapType)]
+    plain = [f.name for f in named if f.name not in maps]
+    last = [
+        F.max(F.when(F.col(n).isNotNull(), F.struct(F.col(order).alias("at"), F.col(n).alias("value"))))["value"].alias(n)
+        for n in plain
+    ]
+    # An empty map is an update that says nothing.
+    found = updates.groupBy(key).agg(F.count("*").alias("_n"), *last).drop("_n")
+    for name in maps:
+        entries = updates.select(key, order, F.explode(name).alias("_k", "_v")).groupBy(key, "_k").agg(
+            F.max(F.struct(F.col(order).alias("at"), F.col("_v").alias("value")))["value"].alias("_v")
+        )
+        whole = entries.groupBy(key).agg(
+            F.map_from_entries(F.sort_array(F.collect_list(F.struct("_k", "_v")))).alias(name)
+        )
+        found = found.join(whole, key, "left")
+    return found.select(key, *[f.name for f in named])
 
 
 def contacts_delete(contacts: DataFrame, ids: DataFrame, key: str = CONTACT_ID) -> DataFrame:

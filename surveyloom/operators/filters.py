@@ -13,9 +13,12 @@ from surveyloom.functions.answers import answer_text, answer_to, codes
 
 REPORTABLE = ("MultipleChoice", "Numeric")
 
-# A hot survey is spread over this many join keys when its dimension is too
-# large for Spark to broadcast.
-SPREAD = 16
+# A dimension of up to so many bytes, measured as JSON, goes to every task.
+BROADCAST_BYTES = 8 << 20
+# Beyond that: responses of one survey that one task joins with its dimension.
+ROWS_PER_SPLIT = 1 << 20
+# Surveys that are split at most. A smaller one than these has less than a thousandth of all rows.
+MOST_SPLIT = 1000
 
 
 def literal_time(df: DataFrame, column: str, value: str | date | datetime) -> Column:
@@ -37,34 +40,68 @@ def drop_preview(responses: DataFrame, channel: str = "channel") -> DataFrame:
     return responses.filter(~F.col(channel).eqNullSafe(F.lit("preview")))
 
 
+def splits_of(responses: DataFrame) -> dict[str, int]:
+    """The surveys with more responses than a task should hold, and into how many parts they go.
+
+    Counts are combined before the shuffle, and only the largest surveys come
+    to the driver. Whatever is found here changes the plan, never a result.
+    """
+    counts = responses.where(F.col("survey_id").isNotNull()).groupBy("survey_id").agg(F.count("*").alias("n"))
+    hot = counts.where(F.col("n") > ROWS_PER_SPLIT).orderBy(F.desc("n"), "survey_id").limit(MOST_SPLIT)
+    return {r["survey_id"]: -(-r["n"] // ROWS_PER_SPLIT) for r in hot.collect()}
+
+
 def with_survey_dimension(
-    responses: DataFrame, dimension: DataFrame, how: str = "inner"
+    responses: DataFrame, dimension: DataFrame, how: str = "inner", splits: Mapping[str, int] | None = None
 ) -> DataFrame:
     """Join one dimension row per survey to the responses.
 
-    The key is salted, so a survey with a third of all responses spreads over
-    many tasks; where Spark finds the dimension small it broadcasts it instead.
+    The dimension is measured first. A small one is broadcast, so responses stay
+    where they are. For a larger one surveys are dealt to as many join keys as
+    their responses need (``splits``, counted here if not given), so one with a
+    third of all responses spreads over its share of the tasks.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    held = dimension.agg(F.sum(F.octet_length(F.to_json(F.struct(*dimension.columns))))).first()[0] or 0
+    if splits is None and held <= BROADCAST_BYTES:
+        return responses.join(F.broadcast(dimension), "survey_id", how)
+    splits = splits_of(responses) if splits is None else splits
+    number = F.lit(1)
+    if splits:
+        listed = F.create_map(*[F.lit(x) for pair in splits.items() for x in pair])
+        number = F.coalesce(F.try_element_at(listed, F.col("survey_id")), F.lit(1))
+    salt = F.coalesce(F.pmod(F.xxhash64("response_id"), number), F.lit(0)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), (number - 1).cast("int")))
     return (
-        responses.withColumn("_salt", F.pmod(F.xxhash64("response_id"), F.lit(SPREAD)).cast("int"))
+        responses.withColumn("_salt", salt)
         .join(dimension.withColumn("_salt", salts), ["survey_id", "_salt"], how)
         .drop("_salt")
     )
 
 
-def drop_all_null(responses: DataFrame, questions: DataFrame | None = None) -> DataFrame:
+def drop_all_null(
+    responses: DataFrame, questions: DataFrame | None = None, data_types: Sequence[str] | None = None,
+    splits: Mapping[str, int] | None = None,
+) -> DataFrame:
     """Without responses that answer no question.
 
     With ``questions`` only columns in that dimension count as questions, and
-    surveys without any are dropped. An empty list is an answer here.
+    surveys without any are dropped. An empty list is an answer here. With
+    ``data_types`` the responses that stay keep their answers to questions of
+    these types alone, as one join serves both.
     """
     if questions is None:
         return responses.filter(F.size("answers") > 0)
-    columns = questions.groupBy("survey_id").agg(F.collect_set("column_id").alias("_columns"))
-    joined = with_survey_dimension(responses, columns)
-    answered = F.arrays_overlap(F.col("answers")["column_id"], F.col("_columns"))
-    return joined.filter(answered).drop("_columns")
+    lists = {"_columns": F.lit(True)}
+    if data_types is not None:
+        lists["_kept"] = F.col("data_type").isin(*data_types)
+    columns = questions.groupBy("survey_id").agg(
+        *[F.collect_set(F.when(which, F.col("column_id"))).alias(name) for name, which in lists.items()]
+    )
+    joined = with_survey_dimension(responses, columns, splits=splits)
+    kept = joined.filter(F.arrays_overlap(F.col("answers")["column_id"], F.col("_columns")))
+    if data_types is not None:
+        kept = kept.withColumn("answers", F.filter("answers", lambda a: F.array_contains("_kept", a["column_id"])))
+    return kept.drop(*lists)
 
 
 def date_range(
@@ -147,19 +184,16 @@ def free_text_view(
     responses: DataFrame, questions: DataFrame, skip_other: bool = False
 ) -> DataFrame:
     """Free-text answers under the text of their question, in long form."""
-    texts = responses.select(
-        "survey_id", "response_id", F.explode("answers").alias("a")
-    ).select(
-        "survey_id", "response_id", F.col("a.column_id").alias("column_id"), answer_text(F.col("a")).alias("text")
-    )
-    kept = free_text_questions(questions, skip_other).select(
-        "survey_id", "column_id", "question_text"
+    asked = free_text_questions(questions, skip_other).dropDuplicates(["survey_id", "column_id"])
+    listed = asked.groupBy("survey_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("column_id", "question_text"))).alias("_texts")
     )
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    return (
-        texts.withColumn("_salt", F.pmod(F.xxhash64("response_id"), F.lit(SPREAD)).cast("int"))
-        .join(kept.withColumn("_salt", salts), ["survey_id", "column_id", "_salt"])
-        .drop("_salt")
+    joined = with_survey_dimension(responses.select("survey_id", "response_id", "answers"), listed)
+    # Other answers are left behind before there is a row for each.
+    free = F.filter("answers", lambda a: F.map_contains_key("_texts", a["column_id"]))
+    return joined.select("survey_id", "response_id", "_texts", F.explode(free).alias("a")).select(
+        "survey_id", "response_id", F.col("a.column_id").alias("column_id"), answer_text(F.col("a")).alias("text"),
+        F.try_element_at("_texts", F.col("a.column_id")).alias("question_text"),
     )
 
 

@@ -77,6 +77,7 @@ def bases(tallied: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
 def column_stats(tallied: DataFrame, questions: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
     """Per question: respondents, how many of them answered, and the kinds of its answers.
 
+    ``questions`` may say in ``asked_<m>`` whether a measure's respondents were asked.
     ``numeric_<m>`` tells whether all answers behind that measure are numbers.
     """
     kind = F.col("kind")
@@ -87,7 +88,11 @@ def column_stats(tallied: DataFrame, questions: DataFrame, measures: Sequence[st
         F.min(kind == "number").alias("numeric"),
         F.min(kind == "bool").alias("boolean"),
     )
-    asked = questions.select(*KEYS).distinct()
+    # A question is asked of every respondent, unless the dimension says of whom.
+    of_whom = [
+        F.max(f"asked_{m}" if f"asked_{m}" in questions.columns else F.lit(True)).alias(f"asked_{m}") for m in measures
+    ]
+    asked = questions.groupBy(*KEYS).agg(*of_whom)
     joined = asked.join(bases(tallied, measures), "survey_id").join(totals, KEYS, "left")
     return joined.fillna(0, [f"answered_{m}" for m in measures])
 
@@ -125,11 +130,11 @@ def seen_codes(
 
 
 def skipped(stats: DataFrame, measures: Sequence[str] = ("n",)) -> DataFrame:
-    """Answers not given, under the code ``NULL``; only where there are any."""
+    """Answers not given by those who were asked, under the code ``NULL``; only where there are any."""
     return stats.select(
         *KEYS,
         F.lit(NULL_CODE).alias("code"),
-        *[(F.col(f"base_{m}") - F.col(f"answered_{m}")).alias(m) for m in measures],
+        *[F.when(F.col(f"asked_{m}"), F.col(f"base_{m}") - F.col(f"answered_{m}")).otherwise(0).alias(m) for m in measures],
     ).filter(_total(measures) > 0)
 
 

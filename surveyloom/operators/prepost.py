@@ -71,10 +71,38 @@ def pre_post_report(
     return regional_nonzero(result, regional, MEASURES) if regional else result
 
 
-def two_surveys(pre: DataFrame, post: DataFrame, survey_id: str) -> DataFrame:
-    """Responses of two surveys as the phases of one comparison."""
-    tagged = [
-        frame.withColumn("survey_id", F.lit(survey_id)).withColumn("phase", F.lit(phase))
+def questions_of_both(pre: DataFrame, post: DataFrame, survey_id: str) -> DataFrame:
+    """Questions of two surveys under one id, described as the first does that has them.
+
+    ``asked_pre_n`` and ``asked_post_n`` tell which survey asks them: a question
+    only one asks is not skipped by the other's respondents.
+    """
+    sides = [
+        frame.withColumn("survey_id", F.lit(survey_id)).withColumns(
+            {"asked_pre_n": F.lit(phase == "pre"), "asked_post_n": F.lit(phase == "post")}
+        )
+        for frame, phase in ((pre, "pre"), (post, "post"))
+    ]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    about = [c for c in both.columns if c not in (*freq.KEYS, "asked_pre_n", "asked_post_n")]
+    # One row for each question and survey.
+    return both.groupBy(*freq.KEYS).agg(
+        F.max_by(F.struct(*about), "asked_pre_n").alias("about"), F.max("asked_pre_n").alias("asked_pre_n"), F.max("asked_post_n").alias("asked_post_n")
+    ).select(*freq.KEYS, "about.*", "asked_pre_n", "asked_post_n")
+
+
+def choices_of_both(pre: DataFrame, post: DataFrame, survey_id: str) -> DataFrame:
+    """Offered answers of two surveys under one id; a code both offer is labelled as the first does."""
+    sides = [
+        frame.withColumn("survey_id", F.lit(survey_id)).withColumn("_first", F.lit(phase == "pre"))
         for frame, phase in ((pre, "pre"), (post, "post"))
     ]
-    return tagged[0].unionByName(tagged[1], allowMissingColumns=True)
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    keys = [*freq.KEYS, "answer_id"]
+    about = [c for c in both.columns if c not in (*keys, "_first")]
+    return both.groupBy(*keys).agg(F.max_by(F.struct(*about), "_first").alias("about")).select(*keys, "about.*")
+
+
+def as_phase(responses: DataFrame, survey_id: str, phase: str) -> DataFrame:
+    """Responses as one phase of a comparison under the id ``survey_id``."""
+    return responses.withColumn("survey_id", F.lit(survey_id)).withColumn("phase", F.lit(phase))

@@ -6,10 +6,12 @@ Python callable on a batch of texts, or a table ``(source, target)``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions.text import clean_text, remove_emojis
@@ -50,35 +52,95 @@ def distinct_texts(texts: DataFrame, text: str = "text") -> DataFrame:
     return texts.filter(_has_text(F.col(text))).select(F.col(text).alias("source")).distinct()
 
 
+class Transient(Exception):
+    """What a translator raises when the same text may succeed another time."""
+
+
+# What became of a text: translated, refused for good, or to be asked for again.
+DONE, REFUSED, AGAIN = "done", "refused", "again"
+
+
 def call_translator(
-    sources: DataFrame, translator: Translator, tasks: int | None = None
+    sources: DataFrame, translator: Translator, tasks: int | None = None, rate: float | None = None
 ) -> DataFrame:
-    """``(source, target)`` by calling the translator with batches of distinct texts.
-
-    ``tasks`` is how many tasks call at a time at most, for services that bear
-    no more; without it Spark's shuffle settings decide. ``target`` is null where it failed. A batch that raises is tried text by
-    text, so one bad text costs no other.
+    """``(source, target, status)`` by calling the translator with batches of distinct texts.
+
+    ``tasks`` is how many tasks call at a time at most, ``rate`` how many texts
+    each of them sends in a second, for services that bear no more; without
+    them Spark's shuffle settings decide. ``target`` is null where it failed,
+    and ``status`` tells whether that is final (``refused``) or not (``again``,
+    after :class:`Transient`). A batch that raises is tried text by text, so one
+    bad text costs no other.
     """
-    def one(text: str) -> str | None:
+    def one(text: str) -> tuple[str | None, str]:
         try:
-            return translator([text])[0]
+            target = translator([text])[0]
+        except Transient:
+            return None, AGAIN
         except Exception:
-            return None
+            return None, REFUSED
+        return target, REFUSED if target is None else DONE
+
+    def answered(texts: list[str]) -> list[tuple[str | None, str]]:
+        try:
+            targets = list(translator(texts))
+        except Exception:
+            return [one(text) for text in texts]
+        if len(targets) != len(texts):
+            return [one(text) for text in texts]
+        return [(t, REFUSED if t is None else DONE) for t in targets]
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        began, sent = time.monotonic(), 0
         for frame in frames:
-            texts = frame["source"].tolist()
-            try:
-                targets = list(translator(texts))
-                if len(targets) != len(texts):
-                    raise ValueError("the translator returned a different number of texts")
-            except Exception:
-                targets = [one(text) for text in texts]
-            yield pd.DataFrame({"source": texts, "target": pd.Series(targets, dtype="object")})
+            listed = frame["source"].tolist()
+            step = len(listed) if rate is None else max(1, int(rate))
+            for i in range(0, len(listed), step):
+                texts = listed[i : i + step]
+                if rate is not None:
+                    time.sleep(max(0.0, began + sent / rate - time.monotonic()))
+                    sent += len(texts)
+                target, status = zip(*answered(texts))
+                yield pd.DataFrame({"source": texts, "target": pd.Series(target, dtype="object"), "status": status})
 
     ship_package(sources.sparkSession)
     dealt = sources.repartition("source") if tasks is None else sources.repartition(tasks, "source")
-    return dealt.mapInPandas(batches, "source string, target string")
+    return dealt.mapInPandas(batches, "source string, target string, status string")
+
+
+class TranslationMemory:
+    """Translations on disk: each text is asked for once, whatever the number of runs."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _answers(self) -> DataFrame:
+        schema = "source string, target string, status string"
+        try:
+            return self.spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def table(self) -> DataFrame:
+        """``(source, target)`` of all texts that were translated."""
+        return self._answers().where(F.col("status") == DONE).select("source", "target")
+
+    def unknown(self, texts: DataFrame, text: str = "text") -> DataFrame:
+        """The texts without a final answer, each once."""
+        final = self._answers().where(F.col("status") != AGAIN).select(F.xxhash64("source").alias("_hash"), F.col("source").alias("_known"))
+        wanted = distinct_texts(texts, text).withColumn("_hash", F.xxhash64("source"))
+        # Joined by a hash and compared, since texts may be long.
+        return wanted.join(final, (wanted["_hash"] == final["_hash"]) & (wanted["source"] == final["_known"]), "left_anti").select("source")
+
+    def learn(
+        self, texts: DataFrame, translator: Translator, text: str = "text", tasks: int | None = None, rate: float | None = None
+    ) -> None:
+        """Ask for what is unknown and append the answers; those that may succeed another time are not kept."""
+        # Answers are stored apart first, so that a task that is repeated while they are appended calls nothing again.
+        given = store(call_translator(self.unknown(texts, text), translator, tasks, rate), "translations")
+        given.where(F.col("status") != AGAIN).write.mode("append").parquet(self.path)
 
 
 def translations(
@@ -90,7 +152,7 @@ def translations(
     """
     if isinstance(translator, DataFrame):
         return translator.select("source", "target").groupBy("source").agg(F.min("target").alias("target"))
-    return store(call_translator(distinct_texts(texts, text), translator, tasks), "translations")
+    return store(call_translator(distinct_texts(texts, text), translator, tasks), "translations").select("source", "target")
 
 
 def translate_columns(

@@ -19,9 +19,14 @@ from surveyloom.plans.dimensions import Dimensions
 from surveyloom.session import checkpoint
 
 
-def usable_responses(responses: DataFrame, questions: DataFrame) -> DataFrame:
-    """Without previews and without responses that answer none of the questions."""
-    return flt.drop_all_null(flt.drop_preview(responses), questions)
+def usable_responses(
+    responses: DataFrame, questions: DataFrame, data_types: Iterable[str] | None = None
+) -> DataFrame:
+    """Without previews and without responses that answer none of the questions.
+
+    With ``data_types`` answers to questions of other types are left behind.
+    """
+    return flt.drop_all_null(flt.drop_preview(responses), questions, data_types)
 
 
 def frequency_report(
@@ -32,9 +37,8 @@ def frequency_report(
     end=None,
 ) -> tuple[DataFrame, DataFrame]:
     """(header, table) of every survey."""
-    kept = usable_responses(responses, dimensions.questions)
-    if start is not None:
-        kept = flt.date_range(kept, start, end)
+    ranged = responses if start is None else flt.date_range(responses, start, end)
+    kept = usable_responses(ranged, dimensions.questions, flt.REPORTABLE)
     table = freq.survey_frequency(kept, dimensions.questions, dimensions.choices, regional)
     return summary.survey_header(kept, dimensions.questions), freq.report_order(table)
 
@@ -43,21 +47,32 @@ def pre_post_by_cutoff(
     responses: DataFrame, dimensions: Dimensions, cutoff, regional: Iterable[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(header, table) comparing what came up to the cutoff with what came later."""
-    phased = flt.cutoff_split(usable_responses(responses, dimensions.questions), cutoff)
+    phased = flt.cutoff_split(usable_responses(responses, dimensions.questions, flt.REPORTABLE), cutoff)
     table = prepost.pre_post_report(phased, dimensions.questions, dimensions.choices, regional)
     return summary.pre_post_header(phased), freq.report_order(table)
 
 
 def pre_post_of_two_surveys(
-    pre: DataFrame, post: DataFrame, dimensions: Dimensions, survey_id: str,
+    pre: DataFrame, post: DataFrame, pre_dimensions: Dimensions, post_dimensions: Dimensions, survey_id: str,
     regional: Iterable[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """(header, table) comparing two surveys; ``dimensions`` are those of ``survey_id``."""
-    sides = prepost.two_surveys(flt.drop_preview(pre), flt.drop_preview(post), survey_id)
-    phased = flt.drop_all_null(sides, dimensions.questions)
-    table = prepost.pre_post_report(
-        phased, dimensions.questions, dimensions.choices, regional, apart=True
-    )
+    """(header, table) comparing two surveys, each with its own questions, under the id ``survey_id``.
+
+    A respondent counts who answers any question of their own survey. All
+    questions of either are reported; of one that only one survey asks the other
+    has neither answers nor skipped ones.
+    """
+    sides = [
+        flt.drop_all_null(
+            prepost.as_phase(flt.drop_preview(rows), survey_id, phase),
+            dimensions.questions.withColumn("survey_id", F.lit(survey_id)),
+        )
+        for rows, dimensions, phase in ((pre, pre_dimensions, "pre"), (post, post_dimensions, "post"))
+    ]
+    phased = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    questions = prepost.questions_of_both(pre_dimensions.questions, post_dimensions.questions, survey_id)
+    choices = prepost.choices_of_both(pre_dimensions.choices, post_dimensions.choices, survey_id)
+    table = prepost.pre_post_report(phased, questions, choices, regional, apart=True)
     return summary.pre_post_header(phased), freq.report_order(table)
 
 

@@ -10,6 +10,8 @@ from surveyloom.operators import filters as flt
 from surveyloom.operators import frequency as freq
 from surveyloom.operators import prepost
 from surveyloom.operators import summary
+from surveyloom.plans import reports
+from surveyloom.plans.dimensions import Dimensions
 
 RESPONSE = (f"survey_id string, response_id string, recorded_at timestamp_ntz, end_at timestamp_ntz, channel string, "
             f"progress double, answers array<{ANSWER_TYPE}>")
@@ -108,7 +110,7 @@ def test_cutoff_includes_its_midnight(spark):
 
 def phased(spark, pre, post):
     one, two = (responses(spark, [{"Q": v} for v in values]) for values in (pre, post))
-    return prepost.two_surveys(one, two, "S")
+    return prepost.as_phase(one, "S", "pre").unionByName(prepost.as_phase(two, "S", "post"))
 
 
 def test_pre_post(spark):
@@ -149,3 +151,63 @@ def test_counting_reads_the_responses_once(spark):
     counted = freq.counted_rows(responses(spark, [{"Q": "1"}])).groupBy("survey_id", "column_id", "kind", "code").count()
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and "Python" not in plan and "SortMergeJoin" not in plan
+
+
+def two_surveys(spark, pre, post, pre_columns, post_columns):
+    sides = []
+    for rows, columns, survey in ((pre, pre_columns, "A"), (post, post_columns, "B")):
+        asked, offered = dims(spark, [(c, "MultipleChoice") for c in columns], [(c, "1", f"{c} of {survey}") for c in columns], survey)
+        sides.append((responses(spark, rows, survey=survey), Dimensions(asked, offered)))
+    (pre, pre_dims), (post, post_dims) = sides
+    return reports.pre_post_of_two_surveys(pre, post, pre_dims, post_dims, "AB")
+
+
+def test_each_of_two_surveys_has_its_own_questions(spark):
+    pre = [{"Q": "1", "P": "1"}, {"Q": "1"}, {"R": "1"}]
+    post = [{"R": "1"}, {"Q": "1", "R": "2"}, {"P": "9"}]
+    header, found = two_surveys(spark, pre, post, ["Q", "P"], ["Q", "R"])
+    # Answers to what a survey does not ask make no respondent.
+    assert table(header, "phase", "n_responses") == [("post", 2), ("pre", 2)]
+    assert table(found, "column_id", "code", "value", "pre_n", "pre_frequency", "post_n", "post_frequency") == [
+        ("P", "1", "P of A", 1, "50.0%", 0, "0.0%"), ("P", "NULL", "", 1, "50.0%", 0, "0.0%"),
+        ("Q", "1", "Q of A", 2, "100.0%", 1, "50.0%"), ("Q", "NULL", "", 0, "0.0%", 1, "50.0%"),
+        ("R", "1", "R of B", 0, "0.0%", 1, "50.0%"), ("R", "2", "", 0, "0.0%", 1, "50.0%"),
+    ]
+
+
+def test_large_surveys_are_split_by_their_size(spark, monkeypatch):
+    questions, options = dims(spark, [("Q", "MultipleChoice"), ("T", "FreeText"), ("X", "Draw")])
+    small, large = dims(spark, [("Q", "MultipleChoice"), ("T", "FreeText")], survey="B")[0], questions
+    both = large.unionByName(small)
+    data = responses(spark, [{"Q": "1", "T": "a", "X": "b", "Z": "c"}] * 300 + [{"Z": "1"}] * 5).unionByName(
+        responses(spark, [{"Q": "2", "T": "d"}] * 20, survey="B")).cache()
+    assert flt.splits_of(data) == {}
+    before = [sorted(map(str, f(data).collect())) for f in (
+        lambda r: flt.drop_all_null(r, both, flt.REPORTABLE), lambda r: flt.free_text_view(r, both))]
+    assert len(before[0]) == len(before[1]) == 320
+    monkeypatch.setattr(flt, "ROWS_PER_SPLIT", 50)
+    monkeypatch.setattr(flt, "BROADCAST_BYTES", 0)
+    assert flt.splits_of(data) == {"S": 7}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = [sorted(map(str, f(data).collect())) for f in (
+            lambda r: flt.drop_all_null(r, both, flt.REPORTABLE), lambda r: flt.free_text_view(r, both))]
+        assert after == before
+        joined = flt.with_survey_dimension(data, large.select("survey_id").distinct()).withColumn("part", F.spark_partition_id())
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert joined.select("part").distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_answers_that_are_not_reported_are_left_before_they_are_rows(spark):
+    questions, options = dims(spark, [("Q", "MultipleChoice"), ("T", "FreeText")])
+    data = responses(spark, [{"Q": "1", "T": "a", "Z": "c"}])
+    kept = reports.usable_responses(data, questions, flt.REPORTABLE)
+    assert [a["column_id"] for r in kept.collect() for a in r["answers"]] == ["Q"]
+    plan = freq.counted_rows(kept)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("array_contains")
+    view = flt.free_text_view(data, questions)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_contains_key" in view or "array_contains(map_keys" in view
+    assert [tuple(r) for r in flt.free_text_view(data, questions).select("column_id", "text", "question_text").collect()] == [("T", "a", "Text of T")]

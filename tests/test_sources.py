@@ -194,6 +194,67 @@ def test_written_tables_read_back(spark, tmp_path):
         assert {(r["survey_id"], int(r["n"])) for r in back.collect()} == {("s1", 1), ("s1", 2), ("s2", 3)}
 
 
+def test_writing_one_survey_leaves_the_others(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "survey_id string, n int"
+    T.write_tables(spark.createDataFrame([("a", 1), ("b", 2)], schema), path)
+    T.write_tables(spark.createDataFrame([("b", 3), ("c", 4)], schema), path)
+    expected = {("a", 1), ("b", 3), ("c", 4)}
+
+    def stored():
+        return {(r["survey_id"], r["n"]) for r in T.read_table(spark, path).collect()}
+
+    assert stored() == expected
+    failing = spark.range(100).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("survey_id"),
+        F.when(F.col("id") == 99, F.raise_error(F.lit("broken")).cast("int")).otherwise(F.col("id").cast("int")).alias("n"),
+    )
+    with pytest.raises(Exception, match="broken"):
+        T.write_tables(failing, path)
+    assert stored() == expected
+
+
+def page(next_offset, *ids, name="n"):
+    following = None if next_offset is None else f"https://example.com/s?offset={next_offset}"
+    return json.dumps({"result": {"elements": [{"id": i, "name": name} for i in ids], "nextPage": following}})
+
+
+PAGES = "offset string, landed int, page string"
+
+
+def chain_of(spark, rows, **more):
+    chain, problems = L.page_chain(spark.createDataFrame(rows, PAGES), **more)
+    return {r["offset"]: r["position"] for r in chain.collect()}, sorted((r["offset"], r["problem"]) for r in problems.collect())
+
+
+def test_a_listing_is_followed_page_by_page(spark):
+    whole = [(str(i), 1, page(i + 1 if i < 40 else None, str(i))) for i in range(41)]
+    assert chain_of(spark, whole) == ({str(i): i for i in range(41)}, [])
+    assert L.complete_pages(spark.createDataFrame(whole, PAGES)).count() == 41
+    assert chain_of(spark, whole[:1] and [("0", 1, page(None))]) == ({"0": 0}, [])
+
+
+def test_gaps_circles_and_missing_beginnings_of_a_listing(spark):
+    rows = [(str(i), 1, page(i + 1 if i < 9 else None, str(i))) for i in range(10) if i != 4]
+    places, problems = chain_of(spark, rows)
+    assert places == {**{str(i): i for i in range(4)}, **{str(i): None for i in range(5, 10)}}
+    assert problems == [("4", "not landed"), ("5", "no landed page leads to it")]
+    with pytest.raises(ValueError, match="4 not landed|5 no landed page"):
+        L.complete_pages(spark.createDataFrame(rows, PAGES))
+    circle = [("0", 1, page(None)), ("a", 1, page("b")), ("b", 1, page("c")), ("c", 1, page("a"))]
+    assert chain_of(spark, circle) == ({"0": 0, "a": None, "b": None, "c": None}, [(o, "its pages lead in a circle") for o in "abc"])
+    assert ("0", "the first page was not landed") in chain_of(spark, [("5", 1, page(None))])[1]
+    home = [("0", 1, page("1")), ("1", 1, page("0"))]
+    assert chain_of(spark, home) == ({"0": 0, "1": 1}, [])
+
+
+def test_the_last_landed_version_of_an_element_stays(spark):
+    rows = [("0", 1, page("1", "x", name="older")), ("0", 2, page("1", "x", "y", name="newer")), ("1", 1, page(None, "y", name="oldest"))]
+    pages = spark.createDataFrame(rows, PAGES)
+    elements = L.union_pages(pages, "id string, name string", id_field="id", order="landed")
+    assert {tuple(r) for r in elements.collect()} == {("x", "newer"), ("y", "newer")}
+    assert chain_of(spark, rows) == ({"0": 0, "1": 1}, [])
+
+
 BROKEN = '{"responses":[{"responseId":"R","values":{"QID1":1}}'
 
 
