@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -51,7 +52,11 @@ MARKS = frozenset(
     "breadcrumbs newsletter subscribe subscription login signin signup search pagination pager widget toolbar copyright "
     "skip masthead topbar".split()
 )
-KEEPS = frozenset("with has no without main".split())
+KEEPS = frozenset("with has no without".split())
+# Names that go on after such a part without a break ("commentlist"), and the one that then means something else.
+STEMS = ("comment", "sidebar", "cookie", "newsletter", "breadcrumb", "advert", "sponsor", "navbar", "footer")
+NOT_MARKS = re.compile(r"commentar(?:y|ies)")
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -82,13 +87,13 @@ def barred(tag: str, attributes: str, inside_article: bool) -> bool:
     if not attributes.strip() or tag in ("html", "body"):
         return False
     for name, *values, hidden in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
+        value = HUMP.sub("-", "".join(values)).lower()
         if hidden or (name.lower() == "style" and "display:none" in value.replace(" ", "")):
             return True
         if name.lower() in ("class", "id", "role") and tag not in ARTICLE | {"p"} or name.lower() == "class" and tag in ARTICLE | {"p"}:
             for one in value.split():
                 parts = set(re.split(r"[-_]+", one))
-                if parts & MARKS and not parts & KEEPS:
+                if not parts & KEEPS and (parts & MARKS or any(p.startswith(STEMS) and not NOT_MARKS.match(p) for p in parts)):
                     return True
                 if not inside_article and parts & {"header"} and not parts & {"article", "post", "entry"}:
                     return True
@@ -102,6 +107,7 @@ def blocks(page: str) -> list[Block]:
     linked = 0
     link = heading = False
     stack: list[tuple[str, bool, bool]] = []  # tag, inside an article, barred
+    opened: Counter[str] = Counter()  # how many elements of each tag are open
 
     def close() -> None:
         nonlocal linked
@@ -112,6 +118,11 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         linked = 0
 
+    def leave() -> str:
+        tag = stack.pop()[0]
+        opened[tag] -= 1
+        return tag
+
     for token in TOKEN.finditer(page):
         text = token["text"]
         if text is not None:
@@ -131,19 +142,20 @@ def blocks(page: str) -> list[Block]:
             link = False
             heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6") and not end
             if end:
-                if any(t == tag for t, *_ in stack):
-                    while stack.pop()[0] != tag:
+                if opened[tag]:
+                    while leave() != tag:
                         pass
             elif tag not in EMPTY:
                 if tag in ARTICLE:
                     # Lists and menus left open end here.
                     while stack and stack[-1][0] in ("nav", "ul", "ol", "li", "menu", "p"):
-                        stack.pop()
+                        leave()
                 elif stack and stack[-1][0] == "p":
-                    stack.pop()
+                    leave()
                 _, article, bar = stack[-1] if stack else ("", False, False)
                 article = article or tag in ARTICLE
                 stack.append((tag, article, bar or barred(tag, token["attributes"], article)))
+                opened[tag] += 1
     close()
     return found
 
@@ -162,24 +174,30 @@ def language(page: list[Block], declared: str | None) -> frozenset:
 
 
 def first_pass(page: list[Block], stops: frozenset) -> None:
-    """Label blocks by what they are: link density, length, stop-word density."""
+    """Label blocks by what they are: link density, length, stop-word density.
+
+    What a page declares about itself comes first: nothing outside its article
+    and nothing barred is good, and inside it a block of links is no menu but
+    one that the second pass decides.
+    """
     declared = any(b.article and not b.barred for b in page)
     for block in page:
+        linked = block.linked > LINKS * len(block.text)
         if block.barred or (declared and not block.article):
             block.label = BAD
-        elif block.linked > LINKS * len(block.text):
-            block.label = BAD
+        elif linked:
+            block.label = SHORT if block.article else BAD
         elif len(block.text) < SHORT_CHARS:
             block.label = BAD if block.linked and not block.article else SHORT
-        elif block.article:
-            # The page itself has declared the text.
-            block.label = GOOD if len(block.text) >= LONG_CHARS or stop_share(block.text, stops) >= STOPS_LOW else NEAR
         else:
             share = stop_share(block.text, stops)
             if share >= STOPS_HIGH:
                 block.label = GOOD if len(block.text) >= LONG_CHARS else NEAR
+            elif share >= STOPS_LOW or block.article:
+                block.label = NEAR
             else:
-                block.label = NEAR if share >= STOPS_LOW else BAD
+                # Few stop words and no link may be a list of names as well as a menu's text.
+                block.label = BAD if block.linked else SHORT
 
 
 def second_pass(page: list[Block]) -> None:
@@ -187,10 +205,15 @@ def second_pass(page: list[Block]) -> None:
 
     Between a good and a bad one near-good blocks are good and short ones take
     the nearer's label (good if both are as near), headings the next one's.
-    Inside a declared article they are good. On a page without any good block,
-    all that are neither barred nor links are.
+    Barred blocks are out of the page and say nothing of those beside them.
+    Inside a declared article ambiguous blocks are good. On a page without any
+    good block the near-good ones are, and without those all that are neither
+    barred nor links.
     """
-    decided = [b.label if b.label in (GOOD, BAD) else None for b in page]
+    if not any(b.label == GOOD for b in page):
+        for block in page:
+            block.label = GOOD if block.label == NEAR else block.label
+    decided = [b.label if b.label == GOOD or (b.label == BAD and not b.barred) else None for b in page]
     before, after = decided[:], decided[:]
     gap_before, gap_after = [0] * len(page), [0] * len(page)
     for i in range(1, len(page)):
