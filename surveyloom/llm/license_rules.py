@@ -22,19 +22,20 @@ class Rule:
 
 
 # Words between the parts of a name.
-V = r"(?: version| v)? ?"
+V = r"(?: version| ?v)? ?"
 GIVEN = (
     r"(?:licensed|released|distributed|available|published|provided|covered|redistribute(?: it)?|used?|made available)"
     r"(?: \S+){0,3}? (?:under|by|with)(?: the)?(?: terms of(?: the)?)?"
 )
 
-# Families with versions: label, keyword, full name, short name, versions. "{v}" takes the version.
+# Families with versions: label, keyword, full name, short name, versions. "{v}" takes the version, "{w}" the whole of it
+# where its first number alone would say too little.
 VERSIONED = [
     ("GPL-{v}", "general public license", r"(?:gnu )?general public license{v}", r"(?:gnu )?gpl{v}", "1.0 2.0 3.0"),
     ("LGPL-{v}", "lesser general public", r"(?:gnu )?(?:lesser|library) general public license{v}", r"(?:gnu )?lgpl{v}", "2.0 2.1 3.0"),
     ("AGPL-{v}", "affero", r"(?:gnu )?affero general public license{v}", r"(?:gnu )?agpl{v}", "1.0 3.0"),
     ("GFDL-{v}", "free documentation", r"(?:gnu )?free documentation license{v}", r"(?:gnu )?gfdl{v}", "1.1 1.2 1.3"),
-    ("Apache-{v}", "apache", r"apache (?:software )?license{v}", r"apache{v}", "1.0 1.1 2.0"),
+    ("Apache-{v}", "apache", r"apache (?:software )?license{v}", r"apache{w}", "1.0 1.1 2.0"),
     ("MPL-{v}", "mozilla public", r"mozilla public license{v}", r"mpl{v}", "1.0 1.1 2.0"),
     ("EPL-{v}", "eclipse public", r"eclipse public license{v}", r"epl{v}", "1.0 2.0"),
     ("EUPL-{v}", "european union public", r"european union public licen[cs]e{v}", r"eupl{v}", "1.0 1.1 1.2"),
@@ -43,7 +44,7 @@ VERSIONED = [
     ("AFL-{v}", "academic free", r"academic free license{v}", r"afl{v}", "1.1 1.2 2.0 2.1 3.0"),
     ("OSL-{v}", "open software license", r"open software license{v}", r"osl{v}", "1.0 1.1 2.0 2.1 3.0"),
     ("OFL-{v}", "open font", r"(?:sil )?open font license{v}", r"(?:sil )?ofl{v}", "1.0 1.1"),
-    ("Artistic-{v}", "artistic", r"(?:perl )?artistic license{v}", r"artistic{v}", "1.0 2.0"),
+    ("Artistic-{v}", "artistic", r"(?:perl )?artistic license{v}", r"artistic{w}", "1.0 2.0"),
     ("PHP-{v}", "php license", r"php license{v}", r"php license{v}", "3.0 3.01"),
     ("ZPL-{v}", "zope public", r"zope public license{v}", r"zpl{v}", "1.1 2.0 2.1"),
     ("LPPL-{v}", "project public", r"latex project public license{v}", r"lppl{v}", "1.0 1.1 1.2 1.3"),
@@ -70,6 +71,10 @@ SHORT_KEYWORDS = {
 # Licenses without versions, and sentences: label, keyword, priority, pattern.
 PLAIN_RULES = [
     ("MIT", "mit license", NAME, r"(?:the )?mit license"),
+    ("MIT", "mit licensed", NAME, r"mit licensed"),
+    ("MIT", "license mit", SHORT, r"license mit"),
+    ("MIT", "under", GRANT, r"(?:licensed|released|distributed|available|published|provided)(?: \S+){0,3}? under(?: the)?(?: terms of(?: the)?)? mit(?: license)?"),
+    ("MIT", "under the mit", SHORT, r"under the mit"),
     ("MIT", "expat", NAME, r"expat license"),
     ("MIT", "permission is hereby granted", TEXT, r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("ISC", "isc license", NAME, r"isc license"),
@@ -148,26 +153,44 @@ def compiled(label: str, keyword: str, priority: int, pattern: str) -> Rule:
     return Rule(label, keyword.encode(), priority, re.compile(rb"(?<![^ ])(?:" + pattern.encode() + rb")(?![^ ])"))
 
 
+# Labels of plain rules that are no names of licenses.
+NO_LICENSE = {
+    "public-domain", "all-rights-reserved", "some-rights-reserved", "no-rights-reserved", "copyright", "proprietary", "warranty-disclaimer",
+}
+TAG = "spdx license identifier"
+
+
+def tag(label: str, more: str = "") -> Rule:
+    """The rule of a license's machine-readable tag."""
+    spelled = label.lower().replace("-", " ").replace(".", " ").replace("+", " ")
+    return compiled(label, TAG, TEXT, f"{TAG} {re.escape(spelled)}{more}")
+
+
 def build_rules() -> list[Rule]:
-    """Every plain rule; of a versioned family, for each version: its full and short name, a grant, an SPDX tag."""
+    """Every plain rule and its tag; of a versioned family, for each version: its full and short name, a grant, a tag."""
     rules = [compiled(*r) for r in PLAIN_RULES]
+    rules += [tag(label) for label in sorted({r[0] for r in PLAIN_RULES} - NO_LICENSE)]
     for label, keyword, full, short, versions in VERSIONED:
         family = label.removesuffix("-{v}")
         for v in versions.split():
             # "2.0" stands as "2 0" or "2"; other versions only in full.
             number = V + v.replace(".0", "(?: 0)?").replace(".", " ")
             name = label.format(v=v)
-            both = "|".join(p.replace("{v}", number) for p in (full, short))
+            named = [p.replace("{v}", number).replace("{w}", V + v.replace(".", " ")) for p in (full, short)]
+            both = "|".join(named)
             short_keyword = SHORT_KEYWORDS.get(family, family.lower())
             rules += [
-                compiled(name, keyword, NAME, full.replace("{v}", number)),
-                compiled(name, short_keyword, SHORT, short.replace("{v}", number)),
+                compiled(name, keyword, NAME, named[0]),
+                compiled(name, short_keyword, SHORT, named[1]),
                 compiled(name, keyword, GRANT, f"{GIVEN} (?:{both})"),
                 compiled(name, short_keyword, GRANT, f"{GIVEN} (?:{both})"),
-                compiled(name, "spdx license identifier", TEXT, "spdx license identifier " + name.lower().replace("-", " ").replace(".", " ") + "(?: only)?"),
+                tag(name, "(?: only)?"),
             ]
             if "GPL" in family:
+                # With the grant before it, so that it holds all that a rule without "or later" finds there.
                 later = r" (?:or|and)(?: \S+){0,3} (?:later|newer)(?: version)?"
-                rules.append(compiled(f"{name}-or-later", keyword, GRANT, full.replace("{v}", number) + later))
-                rules.append(compiled(f"{name}-or-later", short_keyword, GRANT, short.replace("{v}", number) + later))
+                rules += [
+                    compiled(f"{name}-or-later", word, GRANT, f"(?:{GIVEN} )?(?:{both}){later}") for word in (keyword, short_keyword)
+                ]
+                rules.append(tag(f"{name}-or-later"))
     return rules

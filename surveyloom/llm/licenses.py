@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,7 +68,12 @@ def scan_text(text: bytes) -> tuple:
     words = plain_words(text)
     joined = b" ".join(words)
     base = [(m.start(), BASE[m[0]]) for m in BASE_PATTERN.finditer(joined)]
-    place = lambda at: joined.count(b" ", 0, at)
+    starts = [0, *accumulate(len(w) + 1 for w in words)]
+
+    def place(at: int) -> int:
+        """The number of the word that holds or follows a byte."""
+        return bisect_left(starts, at)
+
     detections = detect(joined)
     doubt = 1.0
     for priority in {rule.label: rule.priority for _, _, rule in detections}.values():
@@ -81,7 +88,7 @@ def scan_text(text: bytes) -> tuple:
         ",".join(sorted(base_labels | {rule.label for _, _, rule in detections})),
         1 - doubt if detections else 0.0,
         [
-            {"label": r.label, "priority": r.priority, "first_word": place(a), "n_words": joined.count(b" ", a, b) + 1}
+            {"label": r.label, "priority": r.priority, "first_word": place(a), "n_words": place(b) - place(a)}
             for a, b, r in detections
         ],
     )
