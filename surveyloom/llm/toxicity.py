@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.common import Memo, map_batches, plain_words, utf8
-from surveyloom.session import ship_package
+from surveyloom.session import ship_package, store
 
 # The model is fitted on so many labelled documents at most, the ones with the smallest id hashes.
 SAMPLE = 20_000
@@ -21,10 +21,12 @@ SAMPLE = 20_000
 STEMS = (4, 5, 6)
 # Weight of the Dirichlet prior, in tokens, of which a term has its share of all text, and what each term has besides.
 PRIOR, FLAT = 500.0, 0.5
-# A term enters the lexicon from so many standard errors, toxic documents and log-odds; the strongest ones stay.
-SIGNIFICANT, SEEN, STRONG, TERMS = 4.0, 4, 1.0, 20_000
+# A term enters the lexicon from so many standard errors, toxic documents and log-odds.
+SIGNIFICANT, SEEN, STRONG = 4.0, 4, 1.0
 # Segments count from this score on when the distribution of chance segments is fitted.
 CHANCE = 1.0
+# Evidence is told apart in such parts of one when it is calibrated, between these bounds.
+FINE, LEAST, MOST = 64.0, -64.0, 1024.0
 THRESHOLD = 0.3
 # Bytes of text counted before partial counts leave a task.
 COUNTED = 8 << 20
@@ -71,28 +73,38 @@ def segments(words: list[bytes], weights: Memo, drift: float) -> list[tuple[int,
     """All maximal scoring segments (start, end, score), by one scan from left to right.
 
     Tokens without a term cost ``drift`` each; only tokens with one can begin or
-    end a segment, so the scan steps over the rest.
+    end a segment, so the scan steps over the rest. A segment that may still grow
+    knows the last one before it whose left sum is lower, so the scan jumps from
+    one to the other and looks at each a bounded number of times.
     """
-    kept: list[tuple[int, int, float, float]] = []  # start, end, sum before the start, sum to the end
+    starts: list[int] = []
+    ends: list[int] = []
+    lows: list[float] = []  # sum before the start
+    highs: list[float] = []  # sum to the end
+    lower: list[int] = []  # the last segment before with a lower sum before its start, -1 for none
+    gone, total = 0, 0.0
     for i, weight in enumerate(map(weights.__getitem__, words)):
         if weight <= 0:
             continue
-        gone = len(kept) and kept[-1][4]
-        before = (kept[-1][5] if kept else 0.0) + drift * (i - gone)
-        after = before + weight
-        start, low = i, before
-        stack = kept
-        place = len(stack) - 1
-        while True:
-            while place >= 0 and stack[place][2] >= low:
-                place -= 1
-            if place < 0 or stack[place][3] >= after:
+        low = total + drift * (i - gone)
+        gone, total = i + 1, low + weight
+        start, at = i, len(lows) - 1
+        while at >= 0:
+            if lows[at] >= low:
+                at = lower[at]
+            elif highs[at] >= total:
                 break
-            start, low = stack[place][0], stack[place][2]
-            del stack[place:]
-            place -= 1
-        stack.append((start, i + 1, low, after, i + 1, after))
-    return [(start, end, after - low) for start, end, low, after, *_ in kept]
+            else:
+                # All from there on become one with the new one.
+                start, low, before = starts[at], lows[at], lower[at]
+                del starts[at:], ends[at:], lows[at:], highs[at:], lower[at:]
+                at = before
+        starts.append(start)
+        ends.append(i + 1)
+        lows.append(low)
+        highs.append(total)
+        lower.append(at)
+    return [(start, end, high - low) for start, end, low, high in zip(starts, ends, lows, highs)]
 
 
 def training(documents: DataFrame, labels: DataFrame, ident: str, text: str, sample: int) -> DataFrame:
@@ -136,13 +148,10 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counted(words)
 
 
-def rising(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The best rising step function of y over x (pool adjacent violators)."""
+def rising(x: np.ndarray, sums: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best rising step function of ``sums / weights`` over rising ``x`` (pool adjacent violators)."""
     blocks: list[list[float]] = []  # x from which it holds, sum, weight
-    order = np.argsort(x, kind="stable")
-    at, first = np.unique(x[order], return_index=True)
-    sums, weights = np.add.reduceat(y[order].astype(float), first), np.diff([*first, len(x)])
-    for value, total, weight in zip(at, sums, weights):
+    for value, total, weight in zip(x, sums, weights):
         blocks.append([value, total, weight])
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
             _, total, weight = blocks.pop()
@@ -157,8 +166,9 @@ def fit(
     """Learn terms, chance segments and calibration from labelled documents.
 
     ``labels`` holds the ids to learn from with ``toxic`` 0 or 1; null ids and
-    labels are left out. Term counts are summed in Spark; the driver gets at most
-    ``TERMS`` terms and one row of three numbers for each sampled document.
+    labels are left out. Term counts are summed in Spark; the driver gets the
+    significant terms, which the sample bounds, and how often each evidence
+    value occurs, in steps of 1 / ``FINE`` between bounds.
     Without any toxic or without any clean document nothing is toxic.
     """
     spark = documents.sparkSession
@@ -183,7 +193,6 @@ def fit(
         .select("term", "toxic", "clean", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
         .where((F.col("z") >= SIGNIFICANT) & (F.col("odds") >= STRONG))
         .orderBy(F.desc("z"), "term")
-        .limit(TERMS)
         .collect()
     )
     terms = {r["term"]: (r["odds"], r["z"]) for r in strongest}
@@ -208,13 +217,16 @@ def fit(
             ["toxic", "n", "best", "many", "over"],
         )
 
-    seen_rows = map_batches(train, measure, "toxic int, n long, best double, many long, over double").toPandas()
-    clean = seen_rows[seen_rows["toxic"] != 1]
+    measured = store(map_batches(train, measure, "toxic int, n long, best double, many long, over double"), "measured")
+    clean = measured.where("toxic <> 1").agg(*(F.sum(c).alias(c) for c in ("n", "many", "over"))).first()
+    many, over, n = ((clean[c] or 0) + 1 for c in ("many", "over", "n"))
     # Scores of chance segments fall off exponentially; one segment as by theory (lam 1) is added.
-    model.lam = (clean["many"].sum() + 1) / (clean["over"].sum() + 1)
-    model.k = (clean["many"].sum() + 1) / (clean["n"].sum() + 1) * math.exp(model.lam * CHANCE)
-    x = np.array([model.evidence(n, best) for n, best in zip(seen_rows["n"], seen_rows["best"])])
-    model.steps = rising(x, (seen_rows["toxic"] == 1).to_numpy())
+    model.lam = many / over
+    model.k = many / n * math.exp(model.lam * CHANCE)
+    evidence = model.lam * F.col("best") - F.log(model.k * F.greatest("n", F.lit(1)))
+    step = (F.round(F.greatest(F.lit(LEAST), F.least(F.lit(MOST), evidence)) * FINE) / FINE).alias("x")
+    steps = measured.groupBy(step).agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count("*").alias("rows")).orderBy("x").collect()
+    model.steps = rising(*(np.array([r[c] for r in steps], float) for c in ("x", "toxic", "rows")))
     return model
 
 
