@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +18,11 @@ from surveyloom.session import ship_package, store
 SAMPLE = 20_000
 TREES = 4
 # Vectors a leaf should hold, and the sampled ones it needs at least.
-LEAF, LEAF_SAMPLE = 1024, 32
+LEAF, LEAF_SAMPLE = 256, 32
 # Vectors, and queries, of a leaf that one task compares; larger leaves are compared block by block.
 BLOCK = 8192
 # Share of the sample's nearest neighbours that the search must find, and queries it is tried with.
-RECALL, TRIED = 0.97, 256
+RECALL, TRIED = 0.95, 256
 # Scores this close are compared exactly.
 CLOSE = 1e-9
 
@@ -97,18 +99,19 @@ class Forest:
 
     def visits(self, margins: np.ndarray, effort: float) -> list[int]:
         """Leaves for one query in the order of a queue that all trees share, until they hold ``effort`` of the rows."""
-        queue = [(-np.inf, root) for root in self.roots]
+        queue = [(0.0, 0.0, root) for root in self.roots]
         found, seen = [], 0.0
         while queue and (seen < effort or not found):
-            worst, node = heappop(queue)
+            far, _, node = heappop(queue)
             if node < 0:
                 found.append(-node - 1)
                 seen += self.share[-node - 1]
                 continue
             margin = margins[node]
             for side, child in ((-margin, self.children[node][0]), (margin, self.children[node][1])):
-                # A node is as promising as the worst margin on the way to it.
-                heappush(queue, (max(worst, -side), child))
+                # A node is as far as the splits on the way to it whose other side the query is on, squared and summed;
+                # of equally far ones the one whose split is clearest comes first.
+                heappush(queue, (far + min(0.0, side) ** 2, -abs(margin) if side > 0 else abs(margin), child))
         return found
 
     def calibrate(self, sample: np.ndarray, k: int) -> None:
@@ -149,31 +152,41 @@ def nearest(
     the true neighbours has to be found.
 
     Vectors that are null, zero, or hold null or non-finite components take no
-    part, nor do those of another length than most have, nor rows without an id.
-    Fewer than ``k`` candidates give fewer rows, an empty table none. Rows with
-    the same id and vector count once.
+    part, nor do rows without an id. Vectors of different lengths have no cosine:
+    each length has its own forest. Fewer than ``k`` candidates give fewer rows,
+    an empty table none. Rows with the same id and vector count once; rows with
+    the same id and different vectors are different candidates, and each of them
+    that asks has its own ranks.
     """
-    spark = df.sparkSession
-    ship_package(spark)
+    ship_package(df.sparkSession)
+    single = df.schema[vector].dataType.simpleString() == "array<float>"
     valid = df.where(usable(vector) & F.col(ident).isNotNull()).select(
-        F.col(ident).alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks")
+        F.col(ident).alias("id"), F.col(vector).cast("array<float>" if single else "array<double>").alias("v"), is_query.alias("asks")
     )
-    lengths = valid.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    valid = valid.where(F.size("v") == (lengths["n"] if lengths else 0))
+    lengths = [r[0] for r in valid.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    found = [_nearest(valid.where(F.size("v") == n), k) for n in lengths or [0]]
+    return reduce(DataFrame.unionByName, found).select("query_id", "rank", F.col("id").alias(ident), "score")
+
+
+def _nearest(valid: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, id, score) among (id, v, asks) of one length."""
+    spark = valid.sparkSession
+    numbers = valid.schema["v"].dataType.simpleString()
     # The smallest ids of each distinct vector; the limit applies before the shuffle.
     place = Window.partitionBy("v").orderBy("id")
     smallest = valid.groupBy("v", "id").agg(F.max("asks").alias("asks")).withColumn("place", F.row_number().over(place))
     groups = (
         smallest.where(F.col("place") <= k + 1)
         .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        .withColumn("key", F.col("ids")[0])
+        # A vector's own number, as ids may repeat; written down before it is used.
+        .withColumn("key", F.monotonically_increasing_id())
     )
     groups = store(groups, "vectors")
     asking = valid.where("asks").select("id", "v").distinct()
     # By (id, vector) unique: the key of a query's vector.
     queries = store(asking.join(groups.select("v", "key"), "v").select("id", "key"), "queries")
     count = groups.count()
-    sampled = groups.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("v").toArrow()
+    sampled = groups.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").toArrow()
     sample = unit(vectors_of(sampled.column(0))) if sampled.num_rows else np.zeros((0, 1))
     forest = Forest(sample, -(-count // LEAF))
     forest.calibrate(sample, k)
@@ -200,11 +213,11 @@ def nearest(
             ["leaf", "key", "v"],
         )
 
-    kind = df.schema[ident].dataType.simpleString()
-    indexed = map_batches(groups.select("key", "ids", "v"), index, f"leaf long, key {kind}, ids array<{kind}>, v array<double>")
+    kind = valid.schema["id"].dataType.simpleString()
+    indexed = map_batches(groups.select("key", "ids", "v"), index, f"leaf long, key long, ids array<{kind}>, v {numbers}")
     asked = map_batches(
         groups.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v"), ask,
-        f"leaf long, key {kind}, v array<double>",
+        f"leaf long, key long, v {numbers}",
     )
     asked = store(asked, "asked")
     # A leaf's vectors and queries in blocks; every block of the one meets every block of the other.
@@ -227,8 +240,11 @@ def nearest(
             return pa.table({n: pa.array([], t) for n, t in (("query", queries.schema.field("key").type), ("key", candidates.schema.field("key").type), ("ids", candidates.schema.field("ids").type), ("score", pa.float64()))})
         a, b = vectors_of(candidates.column("v")), vectors_of(queries.column("v"))
         ua, ub = unit(a), unit(b)
-        keys = candidates.column("key").to_pylist()
-        rank = np.argsort(np.argsort(np.array(keys)))
+        # Equal scores go by the smaller id.
+        firsts = candidates.column("ids").combine_chunks()
+        order = pc.sort_indices(pa.table({"id": pc.list_element(firsts, 0), "key": candidates.column("key")}), [("id", "ascending"), ("key", "ascending")])
+        rank = np.empty(len(order), np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
         chosen, askers, scores = [], [], []
         for first in range(0, len(ub), 256):
             near = ub[first : first + 256] @ ua.T
@@ -247,20 +263,20 @@ def nearest(
         })
 
     pairs = left.groupBy("leaf", "i", "j").cogroup(right.groupBy("leaf", "i", "j")).applyInArrow(
-        rerank, f"query {kind}, key {kind}, ids array<{kind}>, score double"
+        rerank, f"query long, key long, ids array<{kind}>, score double"
     )
-    top = Window.partitionBy("query").orderBy(F.desc("score"), "key")
+    top = Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0], "key")
     best = (
         pairs.groupBy("query", "key").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
         .withColumn("place", F.row_number().over(top))
         .where(F.col("place") <= k + 1)
     )
-    by_query = Window.partitionBy("query_id", "asker").orderBy(F.desc("score"), "id")
-    found = (
+    by_query = Window.partitionBy("query_id", "asker").orderBy(F.desc("score"), "id", "key")
+    return (
         queries.select(F.col("id").alias("query_id"), F.col("key").alias("asker"))
-        .join(best.select(F.col("query").alias("asker"), "score", F.explode("ids").alias("id")), "asker")
-        .where("id <> query_id")
+        .join(best.select(F.col("query").alias("asker"), "key", "score", F.explode("ids").alias("id")), "asker")
+        .where("id <> query_id OR key <> asker")
         .withColumn("rank", F.row_number().over(by_query))
         .where(F.col("rank") <= k)
+        .select("query_id", "rank", "id", "score")
     )
-    return found.select("query_id", "rank", F.col("id").alias(ident), "score")
