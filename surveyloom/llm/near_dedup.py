@@ -16,6 +16,8 @@ from surveyloom.session import ship_package, store
 
 # The tree that deals fingerprints to shards is fitted on so many of them at most.
 SAMPLE = 1 << 18
+# Fewer than so many fingerprints, with more than this part of all rows each, are joined by broadcast.
+HOT = 1000
 # Fingerprints a shard should hold, and the sampled ones it needs at least.
 SHARD = 1 << 14
 SHARD_SAMPLE = 16
@@ -210,12 +212,19 @@ def near_duplicates(df: DataFrame, ident: str = "doc_id", text: str = "text", le
     gives no rows. Other columns are not looked at.
     """
     prints = store(fingerprints(df, ident, text, length), "fingerprints")
-    distinct = store(prints.groupBy("fp").agg(F.min("ident").alias("first")), "distinct")
+    distinct = store(prints.groupBy("fp").agg(F.min("ident").alias("first"), F.count("*").alias("rows")), "distinct")
     roots = store(connected(store(linked_fingerprints(distinct, radius), "pairs")), "roots")
     inside = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = inside.groupBy("root").agg(F.min("first").alias("component"))
     component = inside.join(least, "root").select("fp", "component")
-    of = distinct.join(component, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return prints.join(of, "fp").select(
+    of = distinct.join(component, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"), "rows")
+    # Copies of one text would all meet in one task, so the commonest texts are looked up where their rows are:
+    # at most HOT fingerprints have more than one row in HOT.
+    many = max(HOT, (distinct.agg(F.sum("rows")).first()[0] or 0) // HOT)
+    hot = F.broadcast(of.where(F.col("rows") > many).select("fp", F.col("component_id").alias("known"), F.lit(True).alias("hot")))
+    looked = prints.join(hot, "fp", "left")
+    rest = looked.where("hot is null").select("ident", "fp").join(of.select("fp", "component_id"), "fp")
+    found = looked.where("hot").select("ident", "fp", F.col("known").alias("component_id")).unionByName(rest.select("ident", "fp", "component_id"))
+    return found.select(
         F.col("ident").alias(ident), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
