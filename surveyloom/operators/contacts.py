@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyloom.operators.filters import literal_time
-from surveyloom.session import store
+from surveyloom.session import freeing, store
 from surveyloom.sources.tables import BucketedTable
 
 CONTACT_ID = "contact_id"
@@ -40,8 +40,9 @@ def contacts_upsert(contacts: DataFrame, updates: DataFrame, order: str, key: st
 
 def merge_contacts(table: BucketedTable, updates: DataFrame, order: str) -> list[int]:
     """Apply partial updates to a stored contact table; which buckets were rewritten."""
-    merged = store(latest_updates(updates, order, table.key).withColumn(order, F.lit(0)), "updates")
-    return table.change(merged, lambda stored, changes: contacts_upsert(stored, changes, order, table.key))
+    with freeing(table.spark):
+        merged = store(latest_updates(updates, order, table.key).withColumn(order, F.lit(0)), "updates")
+        return table.change(merged, lambda stored, changes: contacts_upsert(stored, changes, order, table.key))
 
 
 def _merged_map(old: Column, new: Column) -> Column:

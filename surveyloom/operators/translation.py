@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions.text import clean_text, remove_emojis
-from surveyloom.session import ship_package, store
+from surveyloom.session import freeing, ship_package, store
 
 ERROR = "error"
 # A batch translator gets a list of texts and returns as many results; a result
@@ -139,8 +139,9 @@ class TranslationMemory:
     ) -> None:
         """Ask for what is unknown and append the answers; those that may succeed another time are not kept."""
         # Answers are stored apart first, so that a task that is repeated while they are appended calls nothing again.
-        given = store(call_translator(self.unknown(texts, text), translator, tasks, rate), "translations")
-        given.where(F.col("status") != AGAIN).write.mode("append").parquet(self.path)
+        with freeing(self.spark):
+            given = store(call_translator(self.unknown(texts, text), translator, tasks, rate), "translations")
+            given.where(F.col("status") != AGAIN).write.mode("append").parquet(self.path)
 
 
 def translations(

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,23 +62,48 @@ def checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+# The tables stored inside each open ``freeing`` block, the innermost last.
+_inside: list[list[str]] = []
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Like :func:`checkpoint`, but columnar and compressed. The tables stay until
-    :func:`drop_stored`, since results that read them may be used later.
+    the :func:`freeing` block around ends or until :func:`drop_stored`, since
+    results that read them may be used later.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{STORED}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _inside:
+        _inside[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(context._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, every table that was stored in it.
+
+    What the block computes has to be written or collected inside it.
+    """
+    _inside.append([])
+    try:
+        yield
+    finally:
+        for path in _inside.pop():
+            _delete(spark, path)
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Delete every table this application has stored; results that still read them end with it."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{STORED}/{context.applicationId}")
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_folder(spark).rstrip('/')}/{STORED}/{spark.sparkContext.applicationId}")
 
 
 def ship_package(spark: SparkSession) -> None:

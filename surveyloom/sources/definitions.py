@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.json import STRICT
 from surveyloom.functions.text import strip_html
+from surveyloom.sources.rejects import parsed_documents, rejected_documents
 
 CHOICE = "struct<recode:string,choiceText:string,imageDescription:string>"
 QUESTION = (
@@ -41,9 +42,14 @@ def parse_definitions(documents: DataFrame, mode: str = STRICT) -> DataFrame:
 
     A broken document ends the job; with ``mode="PERMISSIVE"`` it is passed over.
     """
-    return documents.select(
-        "survey_id", F.from_json("document", DEFINITION, {"mode": mode})["result"].alias("result")
-    ).select("survey_id", "result.*")
+    return parsed_documents(documents.select("survey_id", "document"), "document", DEFINITION, mode).select(
+        "survey_id", "document.result.*"
+    )
+
+
+def rejected_definitions(documents: DataFrame) -> DataFrame:
+    """The documents that are no definitions: ``(survey_id, problem, record)``."""
+    return rejected_documents(documents.select("survey_id", "document"), "document", DEFINITION)
 
 
 def read_definitions(documents: DataFrame, mode: str = STRICT) -> DataFrame:
@@ -74,12 +80,8 @@ def read_definitions(documents: DataFrame, mode: str = STRICT) -> DataFrame:
 
 def choice_orders(full_documents: DataFrame, mode: str = STRICT) -> DataFrame:
     """``(survey_id, base_qid, choice_order)`` from the full definition documents."""
-    parsed = full_documents.select(
-        "survey_id",
-        F.explode(F.from_json("document", FULL_DEFINITION, {"mode": mode})["result"]["Questions"]).alias(
-            "base_qid", "q"
-        ),
-    )
+    read = parsed_documents(full_documents.select("survey_id", "document"), "document", FULL_DEFINITION, mode)
+    parsed = read.select("survey_id", F.explode("document.result.Questions").alias("base_qid", "q"))
     return parsed.select("survey_id", "base_qid", F.col("q.ChoiceOrder").alias("choice_order"))
 
 

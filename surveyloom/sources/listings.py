@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.json import STRICT
 from surveyloom.session import store
+from surveyloom.sources.rejects import parsed_documents, rejected_documents
 
 # The fields each listing carries.
 ENTITIES = {
@@ -57,13 +58,21 @@ def union_pages(
     there is what :func:`page_chain` tells. A broken page ends the job; with
     ``mode="PERMISSIVE"`` it is passed over.
     """
-    shape = f"struct<result:struct<elements:array<struct<{_fields(schema)}>>>>"
-    result = F.from_json(page, shape, {"mode": mode})
     others = [c for c in pages.columns if c != page] if id_field is None else [c for c in (order,) if c]
-    rows = pages.select(*others, F.explode(result["result"]["elements"]).alias("e")).select(*others, "e.*")
+    read = parsed_documents(pages.select(*others, page), page, _page_of(schema), mode)
+    rows = read.select(*others, F.explode(F.col(page)["result"]["elements"]).alias("e")).select(*others, "e.*")
     return rows if id_field is None else one_per_id(rows, [id_field], order).drop(*others)
 
 
+def _page_of(schema: str) -> str:
+    return f"struct<result:struct<elements:array<struct<{_fields(schema)}>>>>"
+
+
+def rejected_pages(pages: DataFrame, schema: str, page: str = "page") -> DataFrame:
+    """The pages that cannot be read: other columns, ``problem`` and the text as ``record``."""
+    return rejected_documents(pages, page, _page_of(schema))
+
+
 def one_per_id(rows: DataFrame, ids: Sequence[str], order: str | None = None) -> DataFrame:
     """One row per id, the last by ``order``, combined map-side so a page landed many times costs no skew.
 

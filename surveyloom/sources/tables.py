@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.session import store
+from surveyloom.session import freeing, store
 
 
 def write_tables(
@@ -68,5 +68,6 @@ class BucketedTable:
         if touched:
             stored = self.spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
             # Stored first: the table is read until the new rows are there.
-            self.write(store(merge(stored, changes), "merged"))
+            with freeing(self.spark):
+                self.write(store(merge(stored, changes), "merged"))
         return touched

@@ -13,7 +13,9 @@ from surveyloom.operators import questions as Q
 from surveyloom.plans.dimensions import survey_dimensions
 from surveyloom.sources import definitions as D
 from surveyloom.sources import exports as E
+from surveyloom import session
 from surveyloom.sources import listings as L
+from surveyloom.sources import rejects as R
 from surveyloom.sources import tables as T
 
 EXPORT = {"responses": [
@@ -284,3 +286,29 @@ def test_a_name_given_twice_keeps_the_last(spark):
     exported = spark.createDataFrame([("R", values)], "responseId string, values string")
     row = E.responses_from_values(exported, F.lit("S")).first()
     assert row["meta"] == {"a.b": "2", "text": "{" * 50} and [a["num"] for a in row["answers"]] == [3.0]
+
+
+def test_broken_documents_and_pages_are_accounted_for(spark):
+    good = json.dumps(DEFINITION)
+    documents = spark.createDataFrame([("a", good), ("b", good[:-1]), ("c", "[1]"), ("d", ""), ("e", None), ("f", "{}")], "survey_id string, document string")
+    rejected = D.rejected_definitions(documents)
+    assert sorted((r["survey_id"], r["problem"]) for r in rejected.collect()) == [("b", "malformed"), ("c", "malformed"), ("d", "malformed"), ("e", "missing")]
+    assert tuple(R.account_of(documents, rejected).first()) == (6, 2, 4)
+    assert {r["survey_id"] for r in D.read_definitions(documents, "PERMISSIVE").collect()} == {"a"}
+    pages = spark.createDataFrame([(1, page(None, "x")), (2, page("1", "y")[:-2]), (3, "nothing")], "landed int, page string")
+    schema = L.ENTITIES["surveys"]
+    assert [r["id"] for r in L.union_pages(pages, schema, mode="PERMISSIVE").collect()] == ["x"]
+    assert sorted((r["landed"], r["problem"]) for r in L.rejected_pages(pages, schema).collect()) == [(2, "malformed"), (3, "malformed")]
+
+
+def test_tables_stored_in_a_block_end_with_it(spark):
+    import os
+
+    with session.freeing(spark):
+        kept = session.store(spark.range(5), "kept")
+        with session.freeing(spark):
+            inner = session.store(spark.range(3), "inner")
+            files = inner.inputFiles()
+            assert inner.count() == 3
+        assert not any(os.path.exists(f.removeprefix("file:").removeprefix("//")) for f in files)
+        assert kept.count() == 5
