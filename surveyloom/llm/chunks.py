@@ -22,31 +22,62 @@ TEXT_BYTES = 16 << 20
 CHUNK_BITS = 24
 
 
-def pack_ints(values: np.ndarray) -> bytes:
-    """Whole numbers from 0 to 2^63-1, seven bits a byte, low bits first; the high bit says that more follow."""
+def _packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, where each number ends in them)."""
     values = np.asarray(values, np.uint64)
-    if not len(values):
-        return b""
     size = np.ones(len(values), np.int64)
+    most = int(values.max())
     for n in range(1, 9):
+        if most < 1 << (7 * n):
+            break
         size += values >= np.uint64(1 << (7 * n))
     end = np.cumsum(size)
     out = np.zeros(end[-1], np.uint8)
+    begin = end - size
     for n in range(int(size.max())):
-        more = size > n
-        part = (values[more] >> np.uint64(7 * n)) & np.uint64(0x7F)
-        out[end[more] - size[more] + n] = part.astype(np.uint8) | ((size[more] > n + 1).astype(np.uint8) << 7)
-    return out.tobytes()
+        more = np.flatnonzero(size > n) if n else slice(None)
+        part = ((values[more] >> np.uint64(7 * n)) & np.uint64(0x7F)).astype(np.uint8)
+        out[begin[more] + n] = part | ((size[more] > n + 1).astype(np.uint8) << 7)
+    return out, end
+
+
+def pack_ints(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 to 2^63-1, seven bits a byte, low bits first; the high bit says that more follow."""
+    return _packed(values)[0].tobytes() if len(values) else b""
+
+
+def pack_runs(values: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """``pack_ints`` of each of the runs that ``values`` are made of, all packed together."""
+    if not len(values):
+        return [b""] * len(lengths)
+    out, end = _packed(values)
+    raw = out.tobytes()
+    bounds = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+    return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def unpack_ints(packed: bytes) -> np.ndarray:
     raw = np.frombuffer(packed, np.uint8)
     if not len(raw):
         return np.zeros(0, np.int64)
-    last = np.nonzero(raw < 0x80)[0]
+    last = np.flatnonzero(raw < 0x80)
+    if len(last) == len(raw):
+        return raw.astype(np.int64)
     first = np.concatenate([[0], last[:-1] + 1])
-    place = np.arange(len(raw)) - np.repeat(first, last - first + 1)
-    return np.add.reduceat((raw & 0x7F).astype(np.int64) << (7 * place), first)
+    size = last - first + 1
+    out = (raw[first] & 0x7F).astype(np.int64)
+    for n in range(1, int(size.max())):
+        more = np.flatnonzero(size > n)
+        out[more] |= (raw[first[more] + n] & 0x7F).astype(np.int64) << (7 * n)
+    return out
+
+
+def unpack_runs(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers of all, how many each holds) of what ``pack_ints`` gave."""
+    raw = b"".join(packed)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint8) < 0x80)])
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int64)
+    return unpack_ints(raw), np.diff(ends[bounds])
 
 
 def pack_rising(values: np.ndarray) -> bytes:

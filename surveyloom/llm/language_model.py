@@ -17,8 +17,10 @@ from surveyloom.llm.chunks import (
     chunked,
     pack_ints,
     pack_rising,
+    pack_runs,
     unpack_ints,
     unpack_rising,
+    unpack_runs,
 )
 from surveyloom.llm.common import spaced_words, utf8
 from surveyloom.llm.trie import Trie
@@ -129,21 +131,18 @@ def score(
             number.default_factory = number.__len__
             trained = rows.column("trains").to_pylist()
             number[END]
-            found = []
+            listed, lengths = [], []
             for t in texts:
                 words = spaced_words(t)
                 words.append(END)
-                found.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-            counts = np.zeros(len(number), np.int64)
-            for at, trains in zip(found, trained):
-                if trains:
-                    counts += np.bincount(at, minlength=len(number)) if len(at) > 1000 else 0
-                    if len(at) <= 1000:
-                        np.add.at(counts, at, 1)
+                lengths.append(len(words))
+                listed += map(number.__getitem__, words)
+            tokens, lengths = np.array(listed, np.int64), np.array(lengths)
+            counts = np.bincount(tokens[np.repeat(np.array(trained, bool), lengths)], minlength=len(number))
             n = len(texts)
             yield empty(
                 kinds, chunk=np.full(n, chunk), ident=rows.column("ident").combine_chunks(), trains=trained,
-                tokens=[pack_ints(at) for at in found], size=np.full(n, len(number)),
+                tokens=pack_runs(tokens, lengths), size=np.full(n, len(number)),
             )
             words = list(number)
             dealt = list(by_bucket(np.fromiter((bucket_of(w, buckets) for w in words), np.int64, len(words))))
@@ -199,20 +198,19 @@ def score(
     total, distinct = int(sums["n"] or 0), int(sums["v"] or 0)
     words = vocabulary.where("chunk is not null").select("chunk", "numbers", "ids", "counts")
 
-    def open_chunk(documents: pa.Table, replies: pa.Table) -> tuple[list[np.ndarray], np.ndarray, Vocabulary, Pairs]:
-        texts = [unpack_ints(t) for t in documents.column("tokens").to_pylist()]
+    def open_chunk(documents: pa.Table, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, Vocabulary, Pairs]:
+        """(how many tokens each text has, all tokens, what is known of them, their pairs)."""
+        tokens, lengths = unpack_runs(documents.column("tokens").to_pylist())
         rows = zip(*(replies.column(c).to_pylist() for c in ("numbers", "ids", "counts")))
         known = Vocabulary(int(documents.column("size")[0].as_py()), list(rows))
-        tokens = np.concatenate(texts)
-        ends = np.cumsum([len(t) for t in texts]) - 1
-        return texts, tokens, known, Pairs(tokens, tokens[ends], known, total, buckets)
+        return lengths, tokens, known, Pairs(tokens, tokens[np.cumsum(lengths) - 1], known, total, buckets)
 
     # 3. Each chunk sends its distinct pairs, with how often training has them.
     def send_pairs(documents: pa.Table, replies: pa.Table) -> pa.Table:
         if not documents.num_rows:
             return pa.table({n: pa.array([], t) for n, t in pair_kinds.items()})
-        texts, tokens, known, pairs = open_chunk(documents, replies)
-        trained = np.repeat(np.array(documents.column("trains").to_pylist(), bool), [len(t) for t in texts])
+        lengths, tokens, known, pairs = open_chunk(documents, replies)
+        trained = np.repeat(np.array(documents.column("trains").to_pylist(), bool), lengths)
         counts = np.bincount(pairs.which[trained & (pairs.which >= 0)], minlength=len(pairs))
         rows = []
         for bucket, at in by_bucket(pairs.bucket):
@@ -240,13 +238,15 @@ def score(
             gaps, runs, of_context, tokens, counts = map(unpack_ints, row)
             messages.append((np.repeat(np.cumsum(gaps), runs), tokens, counts, np.repeat(of_context, runs)))
         contexts, tokens, counts, of_context = map(np.concatenate, zip(*messages))
-        rows = np.nonzero(counts)[0]
-        pairs, first, inverse = np.unique(contexts[rows] << 32 | tokens[rows], return_index=True, return_inverse=True)
-        sums = np.zeros(len(pairs), np.int64)
-        np.add.at(sums, inverse, counts[rows])
-        codes = code_of(sums / (of_context[rows][first] + mu))
-        trie = Trie.view(Trie.build(pairs >> 32, pairs & 0xFFFFFFFF, codes).to_bytes())
-        replies = [pack_ints(trie.find(c, t)) for c, t, *_ in messages]
+        # All chunks' pairs once each; those that training has go into the trie, which then answers for all.
+        pairs, first, which = np.unique(contexts << 32 | tokens, return_index=True, return_inverse=True)
+        sums = np.bincount(which, weights=counts, minlength=len(pairs)).astype(np.int64)
+        rows = np.flatnonzero(sums)
+        contexts, tokens = pairs >> 32, pairs & 0xFFFFFFFF
+        codes = code_of(sums[rows] / (of_context[first[rows]] + mu))
+        trie = Trie.view(Trie.build(contexts[rows], tokens[rows], codes).to_bytes())
+        found = trie.find(contexts, tokens)[which]
+        replies = pack_runs(found, np.array([len(m[0]) for m in messages]))
         bucket = int(table.column("bucket")[0].as_py())
         chunk = table.column("chunk").to_pylist()
         extra = [trie.to_bytes()] if levels else []
@@ -270,19 +270,19 @@ def score(
     def add_up(table: pa.Table) -> pa.Table:
         part = table.column("part").to_numpy()
         documents, replies, answered = (table.filter(pa.array(part == i)) for i in range(3))
-        texts, tokens, known, pairs = open_chunk(documents, replies)
+        lengths, tokens, known, pairs = open_chunk(documents, replies)
         codes = np.zeros(len(pairs) + 1, np.uint16)
         found = dict(zip(answered.column("bucket").to_pylist(), answered.column("codes").to_pylist()))
         for bucket, at in by_bucket(pairs.bucket):
             codes[at] = unpack_ints(found[bucket])
         count = known.counts[tokens]
         single = (count + 0.5) / (total + 0.5 * (distinct + 1))
-        first = np.cumsum([0, *(len(t) for t in texts)])[:-1]
+        first = np.cumsum(lengths) - lengths
         context = known.counts[np.concatenate([[tokens[-1]], tokens[:-1]])]
         both = value_of(codes[pairs.which]) + mu / (context + mu) * single
         return pa.table({
             "ident": documents.column("ident"), "trains": documents.column("trains"),
-            "n_tokens": pa.array([len(t) for t in texts], pa.int64()),
+            "n_tokens": pa.array(lengths, pa.int64()),
             "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
             "base_score": pa.array(np.add.reduceat(np.log10(single), first)),
             "score": pa.array(np.add.reduceat(np.log10(np.where(context > 0, both, single)), first)),

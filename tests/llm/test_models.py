@@ -7,10 +7,32 @@ import pytest
 from pyspark.sql import functions as F
 
 from plain import ODD, corpus, odd_documents, spaced
-from surveyloom.llm import chunks, language_model, neighbours
+from surveyloom.llm import chunks, language_model, neighbours, trie
 from surveyloom.llm.trie import EliasFano, Trie
 
 
+def test_packed_runs():
+    rng = np.random.default_rng(0)
+    lengths = rng.integers(1, 20, 50)
+    values = rng.integers(0, 2 ** rng.integers(1, 40, lengths.sum()))
+    packed = chunks.pack_runs(values, lengths)
+    assert packed == [chunks.pack_ints(v) for v in np.split(values, np.cumsum(lengths)[:-1])]
+    back, found = chunks.unpack_runs(packed)
+    assert (back == values).all() and (found == lengths).all()
+    assert chunks.pack_runs(values[:0], np.array([0, 0])) == [b"", b""]
+
+
+def test_few_and_many_queries_of_a_trie_agree(monkeypatch):
+    rng = np.random.default_rng(3)
+    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 300, 3000), rng.integers(0, 40, 3000))})
+    context, token = map(np.array, zip(*pairs))
+    tree = trie.Trie.build(context, token, rng.integers(1, 60_000, len(pairs)).astype(np.uint16))
+    asked = rng.integers(0, 310, 5000), rng.integers(0, 45, 5000)
+    many = tree.find(*asked)
+    monkeypatch.setattr(trie, "FEW", 0)
+    assert (tree.find(*asked) == many).all() and (many > 0).sum() > 500
+
+
 def test_packed_numbers():
     values = np.array([0, 1, 127, 128, 16383, 16384, 2**31, 2**62])
     assert (chunks.unpack_ints(chunks.pack_ints(values)) == values).all()
@@ -23,7 +45,7 @@ def test_elias_fano(n, most):
     rng = np.random.default_rng(n)
     values = np.sort(rng.integers(0, most, n)).astype(np.uint64)
     coded = EliasFano.build(values)
-    assert (coded.get(np.arange(n)) == values).all()
+    assert (coded.get(np.arange(n)) == values).all() and (coded.all() == values).all()
     wanted = rng.integers(0, most + 1, 200).astype(np.uint64)
     low = rng.integers(0, n + 1, 200)
     high = np.maximum(low, rng.integers(0, n + 1, 200))
@@ -37,10 +59,10 @@ def test_trie_from_a_memory_mapped_file(tmp_path):
     context, token = map(np.array, zip(*pairs))
     codes = rng.integers(1, 60_000, len(pairs)).astype(np.uint16)
     (tmp_path / "trie").write_bytes(Trie.build(context, token, codes).to_bytes())
-    trie = Trie.view(np.memmap(tmp_path / "trie", np.uint8, "r"))
+    mapped = Trie.view(np.memmap(tmp_path / "trie", np.uint8, "r"))
     asked = np.concatenate([context, rng.integers(0, 2000, 5000)]), np.concatenate([token, rng.zipf(1.3, 5000) % 10_000])
     held = dict(zip(pairs, codes.tolist()))
-    assert trie.find(*asked).tolist() == [held.get(p, 0) for p in zip(*map(np.ndarray.tolist, asked))]
+    assert mapped.find(*asked).tolist() == [held.get(p, 0) for p in zip(*map(np.ndarray.tolist, asked))]
 
 
 def check_scores(rows, trains, got, mu=language_model.MU):
@@ -115,6 +137,18 @@ def test_small_tables_are_exact_with_ties_and_unusable_vectors(spark):
     assert neighbours.nearest(frame.where("vec_id = 5"), F.lit(True)).count() == 0
 
 
+def test_repeated_ids_and_vectors_of_two_lengths(spark):
+    one, two = [1.0, 0.0, 0.2], [0.0, 1.0, 0.1]
+    rows = [(50, one), (50, two), (1, [0.9, 0.1, 0.2]), (2, [0.1, 0.9, 0.1]), (3, [0.5, 0.5, 0.0]), (4, [1.0, 1.0]), (100, [1.0, 0.0]), (150, [1.0] * 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = neighbours.nearest(frame, F.col("vec_id") % 50 == 0, k=10).collect()
+    fifty = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 50)
+    # Each of the two rows ranks all others, the one of its own id included.
+    assert fifty == sorted([(1, 1), (2, 3), (3, 2), (4, 50), (1, 2), (2, 3), (3, 1), (4, 50)])
+    assert [(r["vec_id"], round(r["score"], 6)) for r in got if r["query_id"] == 100] == [(4, round(0.5**0.5, 6))]
+    assert not [r for r in got if r["query_id"] == 150]
+
+
 def test_recall_over_several_leaves(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "LEAF", 64)
     monkeypatch.setattr(neighbours, "BLOCK", 40)
