@@ -1,4 +1,4 @@
-"""Language-model scores from a bigram trie that is spread over buckets of contexts."""
+"""Language-model scores from a bigram trie with absolute discounting, spread over buckets of contexts."""
 
 from __future__ import annotations
 
@@ -28,8 +28,10 @@ from surveyloom.session import ship_package, store
 
 # The token after a text's last word; words hold no white space.
 END = b"\n"
-# Weight of the unigram distribution in a context's, in tokens.
-MU = 100.0
+# What is taken off the count of every pair, and given to the distribution below: Kneser and Ney's customary discount.
+DISCOUNT = 0.75
+# Stands for every token that training does not have; numbers of tokens are smaller.
+NONE = 0xFFFFFFFF
 # Probabilities are kept in steps of so many decades, rounded down, from 1 to 0 on; code 0 is none.
 STEP = 0.001
 # A context with more than this share of a bucket's tokens is spread over several buckets.
@@ -64,25 +66,32 @@ class Vocabulary:
             self.ids[at], self.counts[at] = unpack_ints(ids), unpack_ints(counts)
 
 
+def spread_of(of_context: np.ndarray, buckets: int, total: int) -> np.ndarray:
+    """Over how many buckets contexts with these counts are spread, by token."""
+    return 1 + (of_context * buckets / (HOT * max(total, 1))).astype(np.int64)
+
+
 class Pairs:
-    """The distinct (context, token) pairs of a chunk that training may know, dealt to buckets of contexts.
+    """The distinct (context, token) pairs of a chunk whose context training has, dealt to buckets of contexts.
 
     ``which`` gives the pair of each token of the chunk, -1 for none; a text's
-    first token has the end as its context.
+    first token has the end as its context. Tokens that training does not have
+    are one token, ``NONE``.
     """
 
     def __init__(self, tokens: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary, total: int, buckets: int):
         end = int(ends[0])
         context = np.concatenate([[end], tokens[:-1]])
-        known = (vocabulary.counts[context] > 0) & (vocabulary.counts[tokens] > 0)
-        both = vocabulary.ids[context[known]] << 32 | vocabulary.ids[tokens[known]]
+        known = vocabulary.counts[context] > 0
+        named = np.where(vocabulary.counts > 0, vocabulary.ids, NONE)
+        both = vocabulary.ids[context[known]] << 32 | named[tokens[known]]
         pairs, first, inverse = np.unique(both, return_index=True, return_inverse=True)
         self.which = np.full(len(tokens), -1, np.int64)
         self.which[known] = inverse
         self.contexts, self.tokens = pairs >> 32, pairs & 0xFFFFFFFF
         self.of_context = vocabulary.counts[context[known][first]]
-        spread = 1 + (self.of_context * buckets / (HOT * max(total, 1))).astype(np.int64)
-        mixed = self.contexts * 0x9E3779B1 + self.tokens % spread * 0x85EBCA77
+        self.spread = spread_of(self.of_context, buckets, total)
+        mixed = self.contexts * 0x9E3779B1 + self.tokens % self.spread * 0x85EBCA77
         self.bucket = ((mixed ^ mixed >> 29) & 0x7FFFFFFF) % buckets
 
     def __len__(self) -> int:
@@ -90,22 +99,26 @@ class Pairs:
 
 
 def score(
-    df: DataFrame, trains: Column, ident: str = "doc_id", text: str = "text", mu: float = MU, levels: bool = False
+    df: DataFrame, trains: Column, ident: str = "doc_id", text: str = "text", discount: float = DISCOUNT, levels: bool = False
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """(ident, trains, n_tokens, n_known, train_tokens, base_score, score) for every row of ``df``.
 
     Learns from the rows for which ``trains`` holds. ``base_score`` is the log10
     probability under smoothed token counts, ``score`` that under
 
-        P(w | v) = (count(v, w) + mu * P(w)) / (count(v) + mu)
+        P(w | v) = max(count(v, w) - discount, 0) / count(v) + discount * kinds(v) / count(v) * P(w)
 
     with P(w) as in the base score, v the token before and the end before the
-    first; in an unknown context P(w | v) = P(w). The first part is what the trie
-    holds, as codes rounded down, so that no context gives out more than 1.
+    first, and kinds(v) how many different tokens follow v (interpolated
+    absolute discounting); in an unknown context P(w | v) = P(w). The first part
+    is what the trie holds, as codes rounded down, so that no context gives out
+    more than 1.
 
     Chunks of documents look their tokens up once each, then their distinct
     pairs; a bucket of contexts counts its pairs over all chunks, builds its
-    trie and answers from it. With ``levels`` the tries come too: (bucket, trie).
+    trie and answers from it. A context with so many tokens that they are spread
+    over several buckets has its kinds added up from all of them: fewer than four
+    numbers a bucket. With ``levels`` the tries come too: (bucket, trie).
 
     Null and empty texts are the end alone; null ids and repeated rows come
     back as they are; where ``trains`` is null a row does not train; without
@@ -190,7 +203,8 @@ def score(
         })
 
     vocabulary = store(
-        stored.where("bucket is not null").select("chunk", "bucket", "words", "numbers", "counts").groupBy("bucket")
+        stored.where("bucket is not null").select("chunk", "bucket", "words", "numbers", "counts")
+        .repartition(buckets, "bucket").groupBy("bucket")
         .applyInArrow(count_words, "chunk long, numbers binary, ids binary, counts binary, total long, distinct long"),
         "vocabulary",
     )
@@ -227,7 +241,9 @@ def score(
         "chunk": pa.int64(), "bucket": pa.int32(), "contexts": pa.binary(), "runs": pa.binary(), "of_context": pa.binary(),
         "tokens": pa.binary(), "counts": pa.binary(),
     }
-    sent = documents.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(
+    # As many tasks as buckets, so that what a task reads does not grow with the input.
+    both = [t.repartition(buckets, "chunk").groupBy("chunk") for t in (documents, words)]
+    sent = both[0].cogroup(both[1]).applyInArrow(
         send_pairs, "chunk long, bucket int, contexts binary, runs binary, of_context binary, tokens binary, counts binary"
     )
 
@@ -242,44 +258,64 @@ def score(
         pairs, first, which = np.unique(contexts << 32 | tokens, return_index=True, return_inverse=True)
         sums = np.bincount(which, weights=counts, minlength=len(pairs)).astype(np.int64)
         rows = np.flatnonzero(sums)
-        contexts, tokens = pairs >> 32, pairs & 0xFFFFFFFF
-        codes = code_of(sums[rows] / (of_context[first[rows]] + mu))
-        trie = Trie.view(Trie.build(contexts[rows], tokens[rows], codes).to_bytes())
+        contexts, tokens, of_context = pairs >> 32, pairs & 0xFFFFFFFF, of_context[first]
+        trie = Trie.view(
+            Trie.build(contexts[rows], tokens[rows], code_of((sums[rows] - discount) / of_context[rows])).to_bytes()
+        )
         found = trie.find(contexts, tokens)[which]
         replies = pack_runs(found, np.array([len(m[0]) for m in messages]))
+        # How many kinds of tokens follow each context, in the order of a message's contexts.
+        some, begins = np.unique(contexts, return_index=True)
+        kinds = np.add.reduceat((sums > 0).astype(np.int64), begins)
+        asked = [m[0][np.flatnonzero(np.diff(m[0], prepend=-1))] for m in messages]
+        each = pack_runs(kinds[np.searchsorted(some, np.concatenate(asked))], np.array(list(map(len, asked))))
+        hot = np.flatnonzero(spread_of(of_context[begins], buckets, total) > 1)
         bucket = int(table.column("bucket")[0].as_py())
         chunk = table.column("chunk").to_pylist()
-        extra = [trie.to_bytes()] if levels else []
-        none = [None] * len(extra)
+        # Behind the chunks' replies: the kinds of the bucket's spread contexts, and the trie if it is wanted.
         return pa.table({
-            "chunk": pa.array(chunk + none, pa.int64()), "bucket": pa.array([bucket] * (len(chunk) + len(none)), pa.int32()),
-            "codes": pa.array(replies + none, pa.binary()), "trie": pa.array([None] * len(chunk) + extra, pa.binary()),
+            "chunk": pa.array([*chunk, None], pa.int64()), "bucket": pa.array([bucket] * (len(chunk) + 1), pa.int32()),
+            "codes": pa.array([*replies, None], pa.binary()), "kinds": pa.array([*each, pack_ints(kinds[hot])], pa.binary()),
+            "hot": pa.array([None] * len(chunk) + [pack_rising(some[hot])], pa.binary()),
+            "trie": pa.array([None] * len(chunk) + [trie.to_bytes() if levels else None], pa.binary()),
         })
 
     answers = store(
-        sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, codes binary, trie binary"), "answers"
+        sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, codes binary, kinds binary, hot binary, trie binary"), "answers"
     )
+    # Of each spread context one number for each of its buckets.
+    spread: dict[int, int] = {}
+    for r in answers.where("chunk is null").select("hot", "kinds").collect():
+        for context, n in zip(unpack_rising(r["hot"]).tolist(), unpack_ints(r["kinds"]).tolist()):
+            spread[context] = spread.get(context, 0) + n
+    listed = sorted(spread)
+    shared = spark.sparkContext.broadcast((np.array(listed, np.int64), np.array([spread[c] for c in listed], np.int64)))
 
     # 5. Each chunk adds up the logarithms of its documents' tokens.
     parts = (
         documents.withColumn("part", F.lit(0))
         .unionByName(words.withColumn("part", F.lit(1)), allowMissingColumns=True)
-        .unionByName(answers.where("chunk is not null").select("chunk", "bucket", "codes").withColumn("part", F.lit(2)), allowMissingColumns=True)
+        .unionByName(answers.where("chunk is not null").select("chunk", "bucket", "codes", "kinds").withColumn("part", F.lit(2)), allowMissingColumns=True)
     )
 
     def add_up(table: pa.Table) -> pa.Table:
         part = table.column("part").to_numpy()
         documents, replies, answered = (table.filter(pa.array(part == i)) for i in range(3))
         lengths, tokens, known, pairs = open_chunk(documents, replies)
-        codes = np.zeros(len(pairs) + 1, np.uint16)
-        found = dict(zip(answered.column("bucket").to_pylist(), answered.column("codes").to_pylist()))
+        codes, kinds = np.zeros(len(pairs) + 1, np.uint16), np.zeros(len(pairs) + 1, np.int64)
+        rows = zip(*(answered.column(c).to_pylist() for c in ("bucket", "codes", "kinds")))
+        found = {bucket: replies for bucket, *replies in rows}
         for bucket, at in by_bucket(pairs.bucket):
-            codes[at] = unpack_ints(found[bucket])
+            codes[at] = unpack_ints(found[bucket][0])
+            begins = np.diff(pairs.contexts[at], prepend=-1) != 0
+            kinds[at] = unpack_ints(found[bucket][1])[np.cumsum(begins) - 1]
+        hot = np.flatnonzero(pairs.spread > 1)
+        kinds[hot] = shared.value[1][np.searchsorted(shared.value[0], pairs.contexts[hot])]
         count = known.counts[tokens]
         single = (count + 0.5) / (total + 0.5 * (distinct + 1))
         first = np.cumsum(lengths) - lengths
         context = known.counts[np.concatenate([[tokens[-1]], tokens[:-1]])]
-        both = value_of(codes[pairs.which]) + mu / (context + mu) * single
+        both = value_of(codes[pairs.which]) + discount * kinds[pairs.which] / np.maximum(context, 1) * single
         return pa.table({
             "ident": documents.column("ident"), "trains": documents.column("trains"),
             "n_tokens": pa.array(lengths, pa.int64()),
@@ -288,7 +324,7 @@ def score(
             "score": pa.array(np.add.reduceat(np.log10(np.where(context > 0, both, single)), first)),
         })
 
-    scored = parts.groupBy("chunk").applyInArrow(
+    scored = parts.repartition(buckets, "chunk").groupBy("chunk").applyInArrow(
         add_up, f"ident {ident_type}, trains boolean, n_tokens long, n_known long, base_score double, score double"
     )
     out = scored.select(

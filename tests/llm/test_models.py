@@ -65,10 +65,11 @@ def test_trie_from_a_memory_mapped_file(tmp_path):
     assert mapped.find(*asked).tolist() == [held.get(p, 0) for p in zip(*map(np.ndarray.tolist, asked))]
 
 
-def check_scores(rows, trains, got, mu=language_model.MU):
+def check_scores(rows, trains, got, discount=language_model.DISCOUNT):
     texts = [[*spaced(t), b"\n"] for _, t in rows]
     count = Counter(w for t, y in zip(texts, trains) if y for w in t)
     pairs = Counter(p for t, y in zip(texts, trains) if y for p in zip([b"\n", *t], t))
+    kinds = Counter(v for v, _ in pairs)
     total, distinct = sum(count.values()), len(count)
 
     def single(w):
@@ -78,7 +79,7 @@ def check_scores(rows, trains, got, mu=language_model.MU):
     for (i, _), t in zip(rows, texts):
         base = sum(math.log10(single(w)) for w in t)
         full = sum(
-            math.log10((pairs[v, w] + mu * single(w)) / (count[v] + mu)) if count[v] else math.log10(single(w))
+            math.log10((max(pairs[v, w] - discount, 0) + discount * kinds[v] * single(w)) / count[v]) if count[v] else math.log10(single(w))
             for v, w in zip([b"\n", *t], t)
         )
         want.append((i, len(t), sum(count[w] > 0 for w in t), total, base, full))
@@ -99,6 +100,23 @@ def test_scores_equal_plain_counts(spark, monkeypatch):
     )
 
 
+def test_a_spread_context_counts_the_kinds_of_all_its_buckets(spark):
+    rnd = random.Random(4)
+    # Every other word is the same one, and a great many different ones follow it.
+    rows = [(i, " ".join(f"the w{rnd.randrange(3000)}" for _ in range(300))) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert (language_model.spread_of(np.array([12_000]), 10, 24_040) > 1).all()
+    check_scores(rows, [i % 4 > 0 for i, _ in rows], language_model.score(frame, F.col("doc_id") % 4 > 0).collect())
+
+
+def test_probabilities_of_a_context_add_up_to_one_at_most(spark):
+    rows = [(i, "a b a c a b") for i in range(5)] + [(9, "c a"), (10, "b"), (11, "a unseen")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in language_model.score(frame, F.col("doc_id") < 5).collect()}
+    check_scores(rows, [i < 5 for i, _ in rows], language_model.score(frame, F.col("doc_id") < 5).collect())
+    assert 10 ** got[10] < 1
+
+
 def test_no_training_and_odd_rows(spark):
     got = language_model.score(odd_documents(spark), F.lit(False)).collect()
     assert len(got) == 11 and all(r["base_score"] == r["score"] == 0 and r["n_known"] == 0 for r in got)
