@@ -11,6 +11,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +19,36 @@ from pyspark.sql import functions as F
 from surveyloom.llm.common import map_batches, rank_within
 from surveyloom.session import ship_package, store
 
-# Characters of text whose new pre-tokens are encoded together, and pre-tokens remembered between them.
+# Characters of text whose new words are encoded together, and words and pre-tokens remembered between them.
 TEXT_CHARS = 4 << 20
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # Pre-tokens encoded in one string.
 JOINED = 1000
 # The tokenizer's pre-tokens and the mark at their end.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 END = "</w>"
+# What Python takes for white space and the tokenizer does not.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+class Generations:
+    """Values by key in two generations: when the young one is full it becomes the old one.
+
+    What is asked for comes back from the old one; the rest is forgotten, which
+    costs time but changes no result.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that have to be made; all others can be looked up in ``young``."""
+        new = keys.difference(self.young)
+        if len(self.young) + len(new) > self.most:
+            self.old, self.young, new = self.young, {}, keys
+        again = new.intersection(self.old)
+        self.young.update((k, self.old[k]) for k in again)
+        return list(new - again)
 
 
 class Encoder:
@@ -33,9 +56,10 @@ class Encoder:
 
     For tokenizers that compose (NFC) and lower-case a text, drop white space,
     split it by ``PRE_TOKEN`` and end every pre-token with a token marked
-    ``END``. White space is then nothing but a boundary, and many pre-tokens can
-    be encoded in one string and told apart by their ends. Texts with special
-    strings, or not composed, are encoded as they stand.
+    ``END``. White space is then nothing but a boundary, so ids are remembered
+    for whole words between white space, and many pre-tokens can be encoded in
+    one string and told apart by their ends. Texts with special strings, or not
+    composed, are encoded as they stand.
     """
 
     def __init__(self, definition: str):
@@ -46,42 +70,62 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END)]] = True
-        self.known: dict[str, bytes] = {}
+        self.words, self.tokens = Generations(REMEMBERED), Generations(REMEMBERED)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = list(map(self._parts, texts))
-        new = set().union(*filter(None, parts)).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = set().union(*filter(None, parts))
-        self._learn(list(new))
+        lower = list(map(self._lower, texts))
+        # The words between white space, each distinct one once: Python sees only those.
+        words = pc.utf8_split_whitespace(pa.array([t or "" for t in lower], pa.large_string()))
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._remember(set(distinct))
+        known = self.words.young
+        pieces = [known[w] for w in distinct]
+        size = np.array(list(map(len, pieces)), np.int64) >> 2
+        ids = np.frombuffer(b"".join(pieces), "<u4")
+        codes = coded.indices.to_numpy()
+        sizes = size[codes]
+        # Each word's ids are taken from where they stand in ``ids``.
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(size) - size)[codes] - (ends - sizes)
+        raw = ids[np.arange(int(sizes.sum())) + np.repeat(shift, sizes)].tobytes()
+        bounds = (4 * np.concatenate([[0], ends])[words.offsets.to_numpy()]).tolist()
         return [
-            self._one(text) if found is None else b"".join(map(self.known.__getitem__, found))
-            for text, found in zip(texts, parts)
+            self._one(text) if low is None else raw[a:b]
+            for text, low, a, b in zip(texts, lower, bounds, bounds[1:])
         ]
 
-    def _parts(self, text: str) -> list[str] | None:
-        """The pre-tokens of a text; None if it has to be encoded as it stands."""
+    def _remember(self, words: set[str]) -> None:
+        """Put the ids of these words where they can be looked up."""
+        new = self.words.missing(words)
+        # A word of letters is one pre-token.
+        parts = [[w] if w.isalpha() else PRE_TOKEN.findall(w) for w in new]
+        self._learn(self.tokens.missing(set().union(*parts)))
+        tokens = self.tokens.young
+        self.words.young.update((w, tokens[p[0]] if len(p) == 1 else b"".join(map(tokens.__getitem__, p))) for w, p in zip(new, parts))
+
+    def _lower(self, text: str) -> str | None:
+        """A text in lower case whose white space is a boundary and nothing else; None if it has to be encoded as it stands."""
         # Letters one at a time, as the tokenizer does it; only this one depends on its neighbours in Python.
         lower = "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
-        if any(s in text for s in self.special) or not (is_normalized("NFC", text) and is_normalized("NFC", lower)):
+        if any(s in text for s in self.special) or any(s in lower for s in SEPARATORS):
             return None
-        return PRE_TOKEN.findall(lower)
+        return lower if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", lower) else None
 
     def _learn(self, parts: list[str]) -> None:
         for i in range(0, len(parts), JOINED):
             group = parts[i : i + JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
             after = np.nonzero(self.ends[ids])[0] + 1
             if len(after) == len(group) and after[-1] == len(ids):
                 raw = ids.tobytes()
                 bounds = [0, *(4 * after).tolist()]
-                self.known.update((p, raw[a:b]) for p, a, b in zip(group, bounds, bounds[1:]))
+                self.tokens.young.update((p, raw[a:b]) for p, a, b in zip(group, bounds, bounds[1:]))
             else:
-                self.known.update((p, self._one(p)) for p in group)
+                self.tokens.young.update((p, self._one(p)) for p in group)
 
     def _one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
