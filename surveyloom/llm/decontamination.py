@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -15,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from surveyloom.llm.common import map_batches, spaced_words, utf8
 from surveyloom.llm.simhash import BITS, bits_of, value_of
+from surveyloom.session import store
 
 LENGTH = 5
 SIMILARITY = 0.8
@@ -179,16 +181,33 @@ class Items:
                 best[item] = (alike, int(np.bitwise_count(self.prints[item] ^ prints[window])), start, size)
 
 
-def item_blocks(items: DataFrame, ident: str, text: str, most: int = ITEM_BYTES) -> list[list[tuple[object, bytes]]]:
-    """Items in blocks of bounded size, each collected by itself: their total decides how many passes are made."""
+def item_blocks(items: DataFrame, ident: str, text: str, most: int) -> tuple[int, Iterator[list[tuple[object, bytes]]]]:
+    """(how many, items in blocks of bounded size): each block is collected when it is asked for."""
     kept = items.where(F.col(text).isNotNull()).select(F.col(ident).alias("ident"), F.encode(text, "UTF-8").alias("text"))
     total = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-total // most) or 1
     part = F.pmod(F.xxhash64("ident", "text"), F.lit(parts))
-    return [
+    blocks = (
         sorted(((r["ident"], bytes(r["text"])) for r in kept.where(part == i).collect()), key=lambda x: (str(x[0]), x[1]))
         for i in range(parts)
-    ]
+    )
+    return parts, blocks
+
+
+def by_block(items: DataFrame, ident: str, text: str, similarity: float, make: Callable, name: str) -> Iterator[DataFrame]:
+    """``make(index)`` for the broadcast index of each block of items.
+
+    With several blocks each result is stored and its index given up before the
+    next block is collected, so the driver never holds more than one.
+    """
+    many, blocks = item_blocks(items, ident, text, ITEM_BYTES)
+    for block in blocks:
+        shared = items.sparkSession.sparkContext.broadcast(Items(block, similarity))
+        made = make(shared)
+        if many > 1:
+            made = store(made, name)
+            shared.destroy()
+        yield made
 
 
 def leaks(
@@ -206,7 +225,6 @@ def leaks(
     columns are not looked at. Documents are not shuffled; items go to the
     tasks in blocks of bounded size, one pass over the documents for each.
     """
-    spark = docs.sparkSession
     kinds = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"doc {kinds[0]}, item {kinds[1]}, similarity double, bits int, first_word long, n_words long"
     narrow = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
@@ -229,23 +247,22 @@ def leaks(
         return search
 
     item_kind = to_arrow_type(items.schema[item].dataType)
-    parts = [
-        map_batches(narrow, search_with(spark.sparkContext.broadcast(Items(block, similarity))), schema)
-        for block in item_blocks(items, item, text)
-    ]
+    parts = by_block(items, item, text, similarity, lambda shared: map_batches(narrow, search_with(shared), schema), "leaks")
     return reduce(DataFrame.unionAll, parts).withColumnsRenamed({"doc": doc, "item": item})
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no item by :func:`leaks`, with all their columns."""
-    place = docs.columns.index(text)
-    for block in item_blocks(items, item, text):
-        shared = docs.sparkSession.sparkContext.broadcast(Items(block, similarity))
+    place, kept = docs.columns.index(text), docs
 
-        def clean(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+    def clean_with(shared) -> DataFrame:
+        def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
             return batch.filter(
                 pa.array([not shared.value.search(spaced_words(t)) for t in utf8(batch.column(place))], pa.bool_())
             )
 
-        docs = map_batches(docs, clean, docs.schema)
-    return docs
+        return map_batches(kept, clean, kept.schema)
+
+    for left in by_block(items, item, text, similarity, clean_with, "clean"):
+        kept = left
+    return kept

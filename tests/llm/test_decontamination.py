@@ -75,10 +75,15 @@ def test_multi_index_finds_all_within_the_radius():
 def test_blocks_of_items_and_odd_rows(spark, monkeypatch):
     items = spark.createDataFrame([(1, "same text here now"), (2, "x"), (3, None), (None, "a b c")], "item_id long, text string")
     whole = sorted(map(str, D.leaks(odd_documents(spark), items).collect()))
+    kept = sorted(map(str, D.without_leaks(odd_documents(spark), items).collect()))
     assert len(whole) == 5
     monkeypatch.setattr(D, "ITEM_BYTES", 10)
-    blocks = [b for b in D.item_blocks(items, "item_id", "text", 10)]
+    many, blocks = D.item_blocks(items, "item_id", "text", 10)
+    blocks = list(blocks)
+    assert many == len(blocks) > 1
     assert len(blocks) == 3 and sum(map(len, blocks)) == 3
+    assert sorted(map(str, D.leaks(odd_documents(spark), items).collect())) == whole
+    assert sorted(map(str, D.without_leaks(odd_documents(spark), items).collect())) == kept
     assert D.leaks(odd_documents(spark), items.limit(0)).count() == 0
     assert D.leaks(odd_documents(spark, []), items).count() == 0
     assert D.without_leaks(odd_documents(spark), items).columns == odd_documents(spark).columns
