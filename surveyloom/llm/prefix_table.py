@@ -16,7 +16,7 @@ import re
 import sys
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -33,7 +33,7 @@ from surveyloom.session import ship_package
 # Segments up to this many characters are remembered; longer ones are encoded where they stand.
 REMEMBERED_CHARS = 48
 # Segments, and pairs of tokens, that a worker remembers.
-REMEMBERED, REMEMBERED_PAIRS = 120_000, 400_000
+REMEMBERED, REMEMBERED_PAIRS = 100_000, 400_000
 # Rows are handed back when they hold this many bytes.
 BATCH_BYTES = 8 << 20
 NEVER = float("inf")
@@ -250,47 +250,61 @@ def sliced(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     yield batch.slice(first)
 
 
-def _with(df: DataFrame, column: str, kind: str, model: str, name: str, tool, make) -> DataFrame:
-    """The two-column frame (ident, ``column``) with a third made of each value by ``tool`` of the model."""
+def _made(df: DataFrame, column: str, keep: list[str], kinds: dict[str, str], model: str, tool: Callable, make: Callable) -> DataFrame:
+    """The columns ``keep`` with the columns ``kinds`` that ``make(tool(model's bytes), value of column)`` gives for each row."""
     spark = df.sparkSession
     ship_package(spark)
     data = spark.sparkContext.broadcast(Path(model).read_bytes())  # the file has a fixed size
-    kinds = {"binary": pa.binary(), "string": pa.string()}
+    arrow = {"binary": pa.binary(), "string": pa.string()}
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = tool(data.value)
-            values = batch.column(batch.schema.get_field_index(column))
+            at = batch.schema.get_field_index(column)
             # Rows of a large batch are taken in slices, so that no more than one slice of results is held.
-            sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
             for part in sliced(batch, sizes) if batch.num_rows else []:
-                made = [make(table, v) for v in part.column(part.schema.get_field_index(column)).to_pylist()]
+                made = zip(*[make(table, v) for v in part.column(at).to_pylist()])
+                kept = [part.column(part.schema.get_field_index(n)) for n in keep]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(made, kinds[kind])], [*part.schema.names, name]
+                    [*kept, *(pa.array(m, arrow[k]) for m, k in zip(made, kinds.values()))], [*keep, *kinds]
                 )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(over, f"{fields}, `{name}` {kind}")
+    fields = [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in keep] + [f"`{n}` {k}" for n, k in kinds.items()]
+    return df.mapInArrow(over, ", ".join(fields))
 
 
 def encode(
-    df: DataFrame, model: str, ident: str = "doc_id", text: str = "text", begin: bool = True, end: bool = True
+    df: DataFrame, model: str, ident: str = "doc_id", text: str = "text", begin: bool = True, end: bool = True,
+    decoded: bool = False,
 ) -> DataFrame:
     """(ident, ids): the ids of every whole text, as little-endian unsigned 32-bit integers, rows as they come.
 
     ``model`` is the path of a SentencePiece BPE file with byte fallback. ``begin``
     and ``end`` put ids 1 and 2 around. Null and empty texts have these alone;
     null ids and repeated rows come back as they are; an empty table gives no
-    rows. Other columns are not looked at. Texts stay in their tasks.
+    rows. Other columns are not looked at. Texts stay in their tasks. With
+    ``decoded`` the text that :func:`decode` makes of the ids comes too, in the
+    same pass.
     """
     first, last = (i.to_bytes(4, "little") if asked else b"" for i, asked in ((1, begin), (2, end)))
     narrow = df.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
-    made = _with(narrow, "text", "binary", model, "ids", encoder_of, lambda table, t: first + table.encode(t or "") + last)
-    return made.select(F.col("ident").alias(ident), "ids")
+    if decoded:
+        def tools(data: bytes) -> tuple[PrefixTable, Decoder]:
+            return encoder_of(data), decoder_of(data)
+
+        def both(found: tuple[PrefixTable, Decoder], t: str | None) -> tuple[bytes, str]:
+            ids = first + found[0].encode(t or "") + last
+            return ids, found[1].decode(ids)
+
+        made = _made(narrow, "text", ["ident"], {"ids": "binary", "text": "string"}, model, tools, both)
+    else:
+        made = _made(narrow, "text", ["ident"], {"ids": "binary"}, model, encoder_of, lambda table, t: (first + table.encode(t or "") + last,))
+    return made.withColumnRenamed("ident", ident)
 
 
 def decode(df: DataFrame, model: str, ident: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(ident, ids, text): the text of each row's ids; null ids have a null text."""
     narrow = df.select(F.col(ident).alias("ident"), F.col(ids).alias("ids"))
-    made = _with(narrow, "ids", "string", model, "text", decoder_of, lambda table, i: None if i is None else table.decode(i))
-    return made.select(F.col("ident").alias(ident), "ids", "text")
+    made = _made(narrow, "ids", ["ident", "ids"], {"text": "string"}, model, decoder_of, lambda table, i: (None if i is None else table.decode(i),))
+    return made.withColumnRenamed("ident", ident)

@@ -104,8 +104,8 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = prefix_table.decode(prefix_table.encode(table(spark, sf_dir, "documents"), model), model)
-    return decoded.select(
+    both = prefix_table.encode(table(spark, sf_dir, "documents"), model, decoded=True)
+    return both.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -103,6 +103,8 @@ def test_whole_table_with_odd_rows(spark, library):
     rows = corpus(60) + ODD + [(9, "x" * 200_000), (10, "word\r\n" * 30_000)]
     got = prefix_table.decode(prefix_table.encode(odd_documents(spark, rows), MODEL), MODEL).collect()
     found = sorted((str(r["doc_id"]), ids(r["ids"]), r["text"]) for r in got)
+    once = prefix_table.encode(odd_documents(spark, rows), MODEL, decoded=True).collect()
+    assert sorted((str(r["doc_id"]), ids(r["ids"]), r["text"]) for r in once) == found
     want = []
     for ident, text in rows:
         inner = library.encode(text or "")
