@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.answers import ANSWER_TYPE
@@ -207,13 +207,28 @@ def order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_records(spark, sf_dir).select("survey_id", F.to_json(F.struct("responses")).alias("document"))
 
 
+# Orders an export document holds, more or less; a survey with more has more documents.
+DOCUMENT_ORDERS = 1 << 18
+
+
 def land_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Two export documents of each survey, each a file."""
-    whole = order_records(spark, sf_dir).groupBy("survey_id", (F.col("key") % 2).alias("half")).agg(
-        F.flatten(F.collect_list("responses")).alias("responses")
+    """Export documents of each survey, two or a multiple of it, each a file that is written record by record."""
+    half = F.col("key") % 2
+    records = order_records(spark, sf_dir).withColumn("half", half)
+    largest = records.groupBy("survey_id", "half").count().agg(F.max("count")).first()[0] or 0
+    share = F.pmod(F.xxhash64("key"), F.lit(-(-largest // DOCUMENT_ORDERS) or 1))
+    document = ["survey_id", "half", "share"]
+    records = records.withColumn("share", share)
+    # A record for each line; no row ever holds a document.
+    inner = records.select(*document, F.lit(1).alias("place"), F.explode(F.transform("responses", lambda r: F.to_json(r))).alias("value"))
+    ends = F.array(
+        F.struct(F.lit(0).alias("place"), F.lit('{"about":"x","responses":[').alias("value")),
+        F.struct(F.lit(2).alias("place"), F.concat(F.lit('],"parts":'), F.to_json(F.array("half")), F.lit("}")).alias("value")),
     )
-    documents = whole.select("survey_id", F.to_json(F.struct(F.lit("x").alias("about"), "responses", F.array("half").alias("parts"))).alias("value"))
-    documents.repartition("survey_id", "value").write.partitionBy("survey_id").text(path)
+    outer = records.select(*document).distinct().select(*document, F.inline(ends))
+    follows = F.lag("place").over(Window.partitionBy(*document).orderBy("place")) == F.col("place")
+    lines = inner.unionByName(outer).select(*document, F.concat(F.when(follows, ",").otherwise(""), "value").alias("value"))
+    lines.write.partitionBy("half", "share", "survey_id").text(path)
     return path
 
 

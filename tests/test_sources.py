@@ -7,6 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from checks import views as V
 from surveyloom.operators import blocks as B
 from surveyloom.operators import filters as flt
 from surveyloom.operators import questions as Q
@@ -312,3 +313,22 @@ def test_tables_stored_in_a_block_end_with_it(spark):
             assert inner.count() == 3
         assert not any(os.path.exists(f.removeprefix("file:").removeprefix("//")) for f in files)
         assert kept.count() == 5
+
+
+@pytest.mark.parametrize("orders", [7, 1 << 18])
+def test_landed_documents_hold_a_record_on_each_line(spark, tmp_path, monkeypatch, orders):
+    keys = [*range(60), 4, 4, None]
+    rows = [(k, 5, "F" if (k or 0) % 5 else None, datetime.datetime(2024, 1, 1), "1-URGENT") for k in keys]
+    kind = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(V, "DOCUMENT_ORDERS", orders)
+    V.land_documents(spark, str(tmp_path), str(tmp_path / "in"))
+    files = [f.read_text() for f in tmp_path.glob("in/**/*.txt")]
+    documents = [json.loads(f) for f in files]
+    # Each file is one document, and no line of it, which is a row, grows with the survey.
+    assert all(f.count("responseId") == len(d["responses"]) == len(f.splitlines()) - 2 for f, d in zip(files, documents))
+    found = sorted(r["responseId"] for d in documents for r in d["responses"])
+    assert found == sorted(f"R_{k}_{i}" for k in keys if k is not None for i in range(k % 3))
+    assert max(len(d["responses"]) for d in documents) < (40 if orders == 7 else 100)
+    # Two of each survey, one of those without a key, and more where a survey is larger.
+    assert len(documents) == 5 if orders > 60 else len(documents) > 8
