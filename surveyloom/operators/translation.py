@@ -9,7 +9,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from surveyloom.functions.text import clean_text, remove_emojis
 from surveyloom.session import freeing, ship_package, store
 
 ERROR = "error"
+# Bytes of text that a translator gets at a time, one text at least: only they are Python objects.
+CALL_BYTES = 1 << 20
 # A batch translator gets a list of texts and returns as many results; a result
 # of None, or an exception for the batch, means failure.
 Translator = Callable[[Sequence[str]], Sequence[str | None]]
@@ -60,10 +64,22 @@ class Transient(Exception):
 DONE, REFUSED, AGAIN = "done", "refused", "again"
 
 
+def portions(texts: pa.Array, most: int | None = None) -> Iterator[list[str]]:
+    """The texts in lists of up to ``CALL_BYTES``, or of a single text, and of up to ``most`` texts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + CALL_BYTES, "right")))
+        last = last if most is None else min(last, first + most)
+        yield texts.slice(first, last - first).to_pylist()
+        first = last
+
+
 def call_translator(
     sources: DataFrame, translator: Translator, tasks: int | None = None, rate: float | None = None
 ) -> DataFrame:
-    """``(source, target, status)`` by calling the translator with batches of distinct texts.
+    """``(source, target, status)`` by calling the translator with batches of distinct texts, of bounded size.
 
     ``tasks`` is how many tasks call at a time at most, ``rate`` how many texts
     each of them sends in a second, for services that bear no more; without
@@ -90,22 +106,21 @@ def call_translator(
             return [one(text) for text in texts]
         return [(t, REFUSED if t is None else DONE) for t in targets]
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(received: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         began, sent = time.monotonic(), 0
-        for frame in frames:
-            listed = frame["source"].tolist()
-            step = len(listed) if rate is None else max(1, int(rate))
-            for i in range(0, len(listed), step):
-                texts = listed[i : i + step]
+        most = None if rate is None else max(1, int(rate))
+        for batch in received:
+            for texts in portions(batch.column(0), most):
                 if rate is not None:
                     time.sleep(max(0.0, began + sent / rate - time.monotonic()))
                     sent += len(texts)
                 target, status = zip(*answered(texts))
-                yield pd.DataFrame({"source": texts, "target": pd.Series(target, dtype="object"), "status": status})
+                columns = [pa.array(c, pa.string(), from_pandas=True) for c in (texts, target, status)]
+                yield pa.RecordBatch.from_arrays(columns, ["source", "target", "status"])
 
     ship_package(sources.sparkSession)
     dealt = sources.repartition("source") if tasks is None else sources.repartition(tasks, "source")
-    return dealt.mapInPandas(batches, "source string, target string, status string")
+    return dealt.mapInArrow(batches, "source string, target string, status string")
 
 
 class TranslationMemory:

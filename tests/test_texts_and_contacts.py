@@ -4,6 +4,7 @@ import datetime
 import time
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from surveyloom.operators import contacts as K
@@ -161,3 +162,26 @@ def test_filters_that_are_not_given_do_nothing(spark):
     assert K.distribution_filter(rows, "s", mailing_list_id="l2", send_start="2024-01-02", send_end="2024-01-02").count() == 1
     assert K.since_filter(rows, "send_date").count() == 3
     assert K.since_filter(rows, "send_date", "2024-01-02 00:00:00").count() == 2
+
+
+def test_a_translator_gets_texts_of_bounded_size(spark):
+    def translator(batch):
+        return [str(sum(len(t.encode()) for t in batch)) for _ in batch]
+
+    long = [f"{i} " + "é" * 50_000 for i in range(60)]
+    rows = [(t,) for t in [*long, "e" * (3 << 20), "", "short"]] + [(None,)]
+    sources = spark.createDataFrame(rows, "source string")
+    known = tr.call_translator(sources.where("source is not null"), translator, tasks=1).collect()
+    assert sorted(r["source"] for r in known) == sorted(t for t, in rows if t is not None)
+    sizes = {int(r["target"]) for r in known}
+    # One text of 3 MB goes alone, all others in calls of a megabyte at most.
+    assert max(sizes) == 3 << 20 and max(sizes - {3 << 20}) <= tr.CALL_BYTES
+
+
+def test_portions_hold_every_text_once():
+    texts = pa.array(["a", None, "", "b" * (2 << 20), "é", *"xyz"] * 3)
+    for most in (None, 1, 4):
+        found = list(tr.portions(texts, most))
+        assert sum(found, []) == texts.to_pylist() and all(found)
+        assert most is None or max(map(len, found)) <= most
+    assert list(tr.portions(texts.slice(5))) and not list(tr.portions(texts.slice(0, 0)))
