@@ -6,6 +6,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain, filterfalse
 from pathlib import Path
 from unicodedata import is_normalized
 
@@ -21,7 +22,7 @@ from surveyloom.session import ship_package, store
 
 # Characters of text whose new words are encoded together, and words and pre-tokens remembered between them.
 TEXT_CHARS = 4 << 20
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 # Pre-tokens encoded in one string.
 JOINED = 1000
 # The tokenizer's pre-tokens and the mark at their end.
@@ -47,7 +48,7 @@ class Generations:
         if len(self.young) + len(new) > self.most:
             self.old, self.young, new = self.young, {}, keys
         again = new.intersection(self.old)
-        self.young.update((k, self.old[k]) for k in again)
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
         return list(new - again)
 
 
@@ -99,10 +100,12 @@ class Encoder:
         """Put the ids of these words where they can be looked up."""
         new = self.words.missing(words)
         # A word of letters is one pre-token.
-        parts = [[w] if w.isalpha() else PRE_TOKEN.findall(w) for w in new]
-        self._learn(self.tokens.missing(set().union(*parts)))
-        tokens = self.tokens.young
-        self.words.young.update((w, tokens[p[0]] if len(p) == 1 else b"".join(map(tokens.__getitem__, p))) for w, p in zip(new, parts))
+        mixed = list(filterfalse(str.isalpha, new))
+        parts = list(map(PRE_TOKEN.findall, mixed))
+        self._learn(self.tokens.missing(set(chain.from_iterable(parts))), self.tokens.young)
+        tokens = self.tokens.young.__getitem__
+        self.words.young.update(zip(mixed, [b"".join(map(tokens, p)) for p in parts]))
+        self._learn(list(filter(str.isalpha, new)), self.words.young)
 
     def _lower(self, text: str) -> str | None:
         """A text in lower case whose white space is a boundary and nothing else; None if it has to be encoded as it stands."""
@@ -112,17 +115,18 @@ class Encoder:
             return None
         return lower if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", lower) else None
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str], known: dict[str, bytes]) -> None:
+        """Encode pre-tokens and put their ids into ``known``."""
         for i in range(0, len(parts), JOINED):
             group = parts[i : i + JOINED]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
             after = np.nonzero(self.ends[ids])[0] + 1
             if len(after) == len(group) and after[-1] == len(ids):
                 raw = ids.tobytes()
-                bounds = [0, *(4 * after).tolist()]
-                self.tokens.young.update((p, raw[a:b]) for p, a, b in zip(group, bounds, bounds[1:]))
+                bounds = (4 * after).tolist()
+                known.update(zip(group, map(raw.__getitem__, map(slice, [0, *bounds[:-1]], bounds))))
             else:
-                self.tokens.young.update((p, self._one(p)) for p in group)
+                known.update((p, self._one(p)) for p in group)
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()

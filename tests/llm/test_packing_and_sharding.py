@@ -96,3 +96,15 @@ def test_slots_are_gapless_and_odd_rows_kept(spark):
     want = sorted((str(i), len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
     assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in got) == want
     assert shard(odd_documents(spark), 40).count() == 11 and shard(odd_documents(spark, []), 40).count() == 0
+
+
+def test_words_of_letters_are_remembered_once(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 6)
+    plain, encoder = Tokenizer.from_file(PATH), packing.Encoder(open(PATH).read())
+    texts = ["the quick brown fox", "it's 42 foxes, isn't it?", "the quick, the brown", "", "Straße naïve fox fox", "a b c d e f g h i", "the 1st it's"]
+    encoder.encode(texts[:1])
+    # Before, each of them was kept as a word and as a pre-token.
+    assert set(encoder.words.young) == set(texts[0].split()) and not encoder.tokens.young
+    for group in (texts, texts[::-1], texts[2:4]):
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(group)]
+        assert found == [plain.encode(t, add_special_tokens=False).ids for t in group]
